@@ -7,3 +7,7 @@ from vintagelake.checks.families import features  # noqa: F401
 from vintagelake.checks.families import quality  # noqa: F401
 from vintagelake.checks.families import fundamentals  # noqa: F401
 from vintagelake.checks.families import macro  # noqa: F401
+from vintagelake.checks.families import universe  # noqa: F401
+from vintagelake.checks.families import health  # noqa: F401
+from vintagelake.checks.families import surface  # noqa: F401
+from vintagelake.checks.families import capture  # noqa: F401

@@ -205,16 +205,32 @@ class Views:
         )
 
     @cached_property
-    def raw_facts(self) -> DataFrame:
-        """Reported entries: three to six per filing."""
+    def _fact_lines(self) -> DataFrame:
+        """Three to six reported entries per order. Names are array look-ups: a long CASE would be
+        copied into every expression that uses it and outgrow code generation."""
+        tags = ", ".join(f"'{t}'" for f in TAG_FAMILIES for t in f[1:])
+        names = ", ".join(f"'{f[0]}'" for f in TAG_FAMILIES)
         base = self.table("orders").selectExpr(
             "o_orderkey AS k", "CAST(o_orderdate AS DATE) AS od", "floor(o_totalprice) AS total",
             "explode(sequence(0, CAST(2 + o_orderkey % 4 AS INT))) AS i",
-        ).selectExpr("*", "(k div 7 + i div 3) % 6 AS family", "((k div 7 + i div 3) % 6) * 3 + i % 3 AS pick")
+        ).selectExpr("*", "CAST((k div 7 + i div 3) % 6 AS INT) AS family")
+        return base.selectExpr(
+            "*",
+            f"element_at(array({tags}), family * 3 + i % 3 + 1) AS tag",
+            f"element_at(array({names}), family + 1) AS concept",
+        )
+
+    @cached_property
+    def raw_facts(self) -> DataFrame:
+        """Reported entries as a filing states them."""
+        return self._reported().drop("concept")
+
+    def _reported(self) -> DataFrame:
+        base = self._fact_lines
         return base.selectExpr(
             f"k % {self.n_securities} AS security_id",
             "concat('A', k) AS accession",
-            f"{_TAG} AS tag",
+            "tag",
             "CASE WHEN i = 4 THEN ' usd' WHEN k % 13 = 0 AND i = 1 THEN 'EUR' ELSE 'USD' END AS unit",
             "CAST(total * (1 + CASE WHEN k % 3 = 0 THEN 0.01D * i ELSE 0.0D END) AS DOUBLE) AS value",
             "CASE WHEN family < 3 THEN NULL WHEN k % 2 = 0 THEN date_add(trunc(od, 'quarter'), -365)"
@@ -224,16 +240,14 @@ class Views:
             "CASE WHEN k % 2 = 0 THEN 'FY' ELSE 'Q1' END AS fiscal_period",
             "date_add(od, CAST(k % 60 AS INT)) AS filed_date",
             "i AS ordinal",
+            "concept",
         )
 
     @cached_property
     def facts(self) -> DataFrame:
         """Stored facts: the raw entries under their concept name."""
-        family = "CASE " + " ".join(
-            f"WHEN tag IN ({', '.join(repr(t) for t in sorted(set(f[1:])))}) THEN '{f[0]}'" for f in TAG_FAMILIES
-        ) + " END"
-        return self.raw_facts.selectExpr(
-            "security_id", "accession", f"{family} AS concept", "period_start", "period_end",
+        return self._reported().selectExpr(
+            "security_id", "accession", "concept", "period_start", "period_end",
             "fiscal_period", "CAST(value AS DECIMAL(38,9)) AS value", "trim(upper(unit)) AS unit",
             "CAST(filed_date AS TIMESTAMP) AS filed_at",
         )

@@ -37,14 +37,6 @@ def listed_on(day: dt.date, valid_from="valid_from", valid_to="valid_to") -> Col
     return (F.col(valid_from) <= day) & (F.col(valid_to).isNull() | (F.col(valid_to) >= day))
 
 
-def closed_overlap(a_from, a_to, b_from, b_to) -> Column:
-    """Overlap of two closed windows; a null end or start is unbounded."""
-    far = F.lit(FAR_FUTURE)
-    return (F.col(a_from) <= F.coalesce(F.col(b_to), far)) & (
-        F.coalesce(F.col(a_to), far) >= F.coalesce(F.col(b_from), F.lit(dt.date(1, 1, 1)))
-    )
-
-
 def date_range(column: str, start: dt.date | None, end: dt.date | None) -> Column:
     """Inclusive range; a missing bound does not restrict."""
     out = F.lit(True)

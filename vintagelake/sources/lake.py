@@ -79,55 +79,66 @@ def write_months(df: DataFrame, path: str, files_per_month: int = 8) -> None:
     )
 
 
-def _month_rows(spark: SparkSession, path: str, schema: T.StructType, year: int, month: int) -> DataFrame:
-    if not exists(spark, path):
+def _months_of(df: DataFrame) -> list[tuple[int, int]]:
+    """Months present in df; their number is bounded by the calendar."""
+    rows = _with_month(df).select(*MONTH).distinct().collect()
+    return sorted((r.year, r.month) for r in rows)
+
+
+def _stored_months(spark: SparkSession, path: str, schema: T.StructType, months: list[tuple[int, int]]) -> DataFrame:
+    """Rows of some months. The filter names the partition columns, so other months are not listed or read."""
+    if not exists(spark, path) or not months:
         return spark.createDataFrame([], schema)
-    parted = T.StructType([*schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
-    rows = spark.read.schema(parted).parquet(path)
-    return rows.where((F.col("year") == year) & (F.col("month") == month)).drop(*MONTH)
+    parted = T.StructType(
+        [*schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
+    )
+    wanted = F.lit(False)
+    for year, month in months:
+        wanted = wanted | ((F.col("year") == year) & (F.col("month") == month))
+    return spark.read.schema(parted).parquet(path).where(wanted).drop(*MONTH)
 
 
-def one_month(bars: DataFrame) -> tuple[int, int] | None:
-    """The month all bars fall in, None without bars; more than one month is an error."""
-    first = F.trunc("session_date", "month")
-    lo, hi = bars.agg(F.min(first), F.max(first)).first()
-    if lo is None:
-        return None
-    if lo != hi:
-        raise ValueError(f"expected one month, got {lo:%Y-%m} to {hi:%Y-%m}")
-    return lo.year, lo.month
+def _replace_months(df: DataFrame, path: str, schema: T.StructType) -> None:
+    """Replace months that df itself was read from: materialise in the shared folder, then overwrite."""
+    spark = df.sparkSession
+    staged = session.scratch(spark, "months")
+    df.select(*schema.names).write.parquet(staged)
+    write_months(spark.read.schema(schema).parquet(staged), path)
 
 
-def update_month(bars: DataFrame, sessions: DataFrame, path: str, source: str, batch_id: int) -> DataFrame:
-    """Merge bars into their month and return the skipped non-session bars.
+def merge_bars(bars: DataFrame, sessions: DataFrame, path: str, source: str, batch_id: int) -> DataFrame:
+    """Merge bars into the months they touch and return the skipped non-session bars.
 
-    Latest knowledge, then the later batch wins per (security, session). The merged
-    month is written to the shared folder first, since it is read from the
-    partition it will replace.
+    Latest knowledge, then the later batch wins per (security, session).
     """
-    spark = bars.sparkSession
     kept, skipped = stamp_knowledge(bars, sessions)
-    month = one_month(kept)
-    if month is None:
-        return skipped
     new = kept.withColumn("source", F.lit(source)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    old = _month_rows(spark, path, schemas.BARS, *month)
-    merged = first_per_key(old.unionByName(new.select(*old.columns)), BAR_KEY, bar_order())
-    staged = session.scratch(spark, "month")
-    merged.write.parquet(staged)
-    write_months(spark.read.schema(schemas.BARS).parquet(staged), path)
+    months = _months_of(new)
+    if months:
+        old = _stored_months(bars.sparkSession, path, schemas.BARS, months)
+        merged = first_per_key(old.unionByName(new.select(*old.columns)), BAR_KEY, bar_order())
+        _replace_months(merged, path, schemas.BARS)
     return skipped
 
 
+def update_month(bars: DataFrame, sessions: DataFrame, path: str, source: str, batch_id: int) -> DataFrame:
+    """As merge_bars for a batch that must lie in one month; more than one is an error."""
+    first = F.trunc("session_date", "month")
+    kept, _ = stamp_knowledge(bars, sessions)
+    lo, hi = kept.agg(F.min(first), F.max(first)).first()
+    if lo != hi:
+        raise ValueError(f"expected one month, got {lo:%Y-%m} to {hi:%Y-%m}")
+    return merge_bars(bars, sessions, path, source, batch_id)
+
+
 def merge_gold(rows: DataFrame, path: str, months: list[tuple[int, int]], security_ids: list[int]) -> None:
     """Replace the rows of some securities inside months and leave all others in place."""
-    spark = rows.sparkSession
+    others = _stored_months(rows.sparkSession, path, schemas.GOLD, months)
+    others = others.where(~F.col("security_id").isin(security_ids))
+    inside = F.lit(False)
     for year, month in months:
-        others = _month_rows(spark, path, schemas.GOLD, year, month).where(~F.col("security_id").isin(security_ids))
-        own = rows.where((F.year("session_date") == year) & (F.month("session_date") == month))
-        staged = session.scratch(spark, "gold-month")
-        others.unionByName(own.select(*others.columns)).write.parquet(staged)
-        write_months(spark.read.schema(schemas.GOLD).parquet(staged), path)
+        inside = inside | ((F.year("session_date") == year) & (F.month("session_date") == month))
+    _replace_months(others.unionByName(rows.where(inside).select(*others.columns)), path, schemas.GOLD)
 
 
 _POINTER = "version bigint, published_at timestamp, reason string"
