@@ -231,6 +231,26 @@ def _(v: Views):
     )
 
 
+@check(
+    "ingest_capture_sessions",
+    f"""SELECT b.security_id, b.symbol, CAST(b.session_date AS VARCHAR) AS session_date, b.close, b.batch_id
+        FROM (SELECT l_suppkey AS security_id, 'S' || l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS session_date,
+            l_quantity AS close, 100 + dense_rank() OVER (ORDER BY CAST(l_shipdate AS DATE)) - 1 AS batch_id
+          FROM lineitem WHERE l_linenumber IN (1, 7) AND CAST(l_shipdate AS DATE) IN (SELECT session_date FROM sessions
+            WHERE session_date > DATE '2001-10-30')) b
+        QUALIFY row_number() OVER (PARTITION BY security_id, session_date ORDER BY close DESC) = 1""",
+)
+def _(v: Views):
+    # Stored through 2001-10-30: every later session is captured in turn.
+    stored = v.bars.where(F.col("session_date") <= F.lit(dt.date(2001, 10, 30)))
+    now = dt.datetime(2001, 12, 1, tzinfo=dt.timezone.utc)
+    targets = [r.session_date for r in capture.due_sessions(stored, v.sessions, now).collect()]
+    path = session.scratch(v.spark, "silver")
+    docs = _vendor_docs(v).drop("security_id")
+    capture.capture_sessions(docs, _symbol_ids(v), v.sessions, seeds.dq_checks(v.spark), path, targets, 100)
+    return lake.scan_bars(v.spark, path).select("security_id", "symbol", "session_date", "close", "batch_id")
+
+
 # Sinks: write, read back, compare with the view.
 @check(
     "sink_macro_export",
@@ -310,6 +330,20 @@ def _(v: Views):
     return lake.live(v.spark, root, schemas.BARS).withColumn("live_version", last)
 
 
+@check(
+    "sink_month_range",
+    f"""SELECT security_id, {_DAY}, close, volume FROM merged
+        WHERE session_date BETWEEN DATE '1997-02-10' AND DATE '1997-11-20' AND batch_id = 2""",
+)
+def _(v: Views):
+    path = session.scratch(v.spark, "silver")
+    lake.merge_bars(v.bars.where("volume > 2000"), v.sessions, path, "TIINGO", 1)
+    late = v.bars.where((F.col("volume") <= 2500) & (F.col("session_date") < F.lit(dt.date(1998, 1, 1))))
+    lake.merge_bars(late, v.sessions, path, "TIINGO", 2)
+    rows = lake.scan_months(v.spark, path, schemas.BARS, dt.date(1997, 2, 10), dt.date(1997, 11, 20))
+    return rows.where("batch_id = 2").select("security_id", "session_date", "close", "volume")
+
+
 # Adjustment oracles over vendor daily rows.
 SQL_VIEWS["daily"] = """
     SELECT * FROM vendor QUALIFY row_number() OVER (PARTITION BY security_id, session_date ORDER BY batch_id DESC, line DESC,

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from vintagelake import session
 from vintagelake.checks.registry import check
 from vintagelake.checks.views import SQL_VIEWS, TODAY, Views
 from vintagelake.operators import universe
@@ -346,6 +347,17 @@ def _(v: Views):
     return universe.candidate_manifest(_decided(v))
 
 
+@check(
+    "sink_manifest",
+    f"""SELECT ticker, 'EQUITY' AS security_type, CAST(NULL AS VARCHAR) AS name, CAST(vendor_start AS VARCHAR) AS valid_from,
+          CAST({_KEEP_END} AS VARCHAR) AS valid_to FROM decided WHERE {_ADMIT}""",
+)
+def _(v: Views):
+    path = session.scratch(v.spark, "manifest")
+    registry_files.write_manifest(universe.candidate_manifest(_decided(v)), path)
+    return registry_files.manifest(registry_files.read_csv(v.spark, path, registry_files.MANIFEST_COLUMNS))
+
+
 @check(
     "univ_decision_summary",
     "SELECT decision, count(*) AS n, (SELECT count(*) FROM decided) AS total FROM decided GROUP BY decision",

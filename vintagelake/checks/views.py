@@ -58,7 +58,13 @@ class Views:
         self.dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """A given table. A fact table that arrives in fewer pieces than there are cores (one row
+        group is one task) is spread once; a table of many files is left as it is."""
+        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in ("lineitem", "orders", "events") and df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+        return df
 
     @cached_property
     def n_securities(self) -> int:

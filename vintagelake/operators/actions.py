@@ -97,6 +97,12 @@ def same_payload(left: str, right: str) -> Column:
     return F.when(F.col(f"{left}.action_type") == "SPLIT", split).otherwise(cash)
 
 
+def _slot() -> Column:
+    """Slot of the leading payload number, two tolerances wide; rows without one share slot 0."""
+    lead = F.when(F.col("action_type") == "SPLIT", F.col("split_to")).otherwise(F.col("cash_amount"))
+    return F.coalesce(F.floor(lead / (2 * PAYLOAD_TOLERANCE)).cast("bigint"), F.lit(0))
+
+
 def write_outcomes(existing: DataFrame, incoming: DataFrame, order: Sequence[str]) -> DataFrame:
     """Outcome of appending each incoming action: inserted, skipped_exact or conflict.
 
@@ -106,15 +112,19 @@ def write_outcomes(existing: DataFrame, incoming: DataFrame, order: Sequence[str
     """
     key = [*ACTION_KEY, "source"]
     pay = ["split_from", "split_to", "cash_amount"]
-    # One row per distinct stored payload; the equality flag is reduced per incoming row.
-    stored = existing.select(*key, *pay).distinct().withColumn("_stored", F.lit(True))
-    joined = incoming.alias("i").join(
-        stored.alias("s"), [F.col(f"i.{k}") == F.col(f"s.{k}") for k in key], "left"
+    stored = existing.select(*key, *pay).distinct().withColumn("_slot", _slot())
+    # Equal payloads lie in the same or a neighbouring slot, so a key with many stored
+    # payloads is met only where the numbers nearly agree, never pair by pair.
+    near = incoming.withColumn(
+        "_slot", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: _slot() + d))
     )
-    seen = joined.groupBy([F.col(f"i.{c}") for c in incoming.columns]).agg(
-        F.max(F.coalesce(F.col("s._stored"), F.lit(False))).alias("_any"),
-        F.max(F.coalesce(F.col("s._stored"), F.lit(False)) & same_payload("i", "s")).alias("_equal"),
+    same_slot = [F.col(f"i.{k}") == F.col(f"s.{k}") for k in [*key, "_slot"]]
+    equal = (
+        near.alias("i").join(stored.alias("s"), [*same_slot, same_payload("i", "s")], "left_semi")
+        .select(*order).distinct().withColumn("_equal", F.lit(True))
     )
+    known = existing.select(*key).distinct().withColumn("_any", F.lit(True))
+    seen = incoming.join(known, key, "left").join(equal, list(order), "left")
     first = first_per_key(incoming, key, [F.col(c) for c in order]).select(*key, *pay, *order)
     flagged = seen.alias("n").join(
         first.alias("f"), [F.col(f"n.{k}") == F.col(f"f.{k}") for k in key]
@@ -123,7 +133,8 @@ def write_outcomes(existing: DataFrame, incoming: DataFrame, order: Sequence[str
     for c in order:
         is_first = is_first & (F.col(f"n.{c}") == F.col(f"f.{c}"))
     outcome = (
-        F.when(F.col("n._any"), F.when(F.col("n._equal"), "skipped_exact").otherwise("conflict"))
+        F.when(F.col("n._equal"), "skipped_exact")
+        .when(F.col("n._any"), "conflict")
         .when(is_first, "inserted")
         .when(same_payload("n", "f"), "skipped_exact")
         .otherwise("conflict")

@@ -47,19 +47,22 @@ def coverage_missing(bars: DataFrame, securities: DataFrame, identifiers: DataFr
     return listed.join(bare, "security_id", "left_semi").select("security_id", "ticker")
 
 
-def sanity(latest: DataFrame) -> DataFrame:
-    """Price-order violations of the latest bars, in one pass. Null prices violate nothing."""
+def _violations() -> dict[str, Column]:
+    """Price-order violations; null prices violate nothing."""
     outside = (
         (F.col("close") < F.col("low")) | (F.col("close") > F.col("high"))
         | (F.col("open") < F.col("low")) | (F.col("open") > F.col("high"))
     )
     nonpos = (F.col("open") <= 0) | (F.col("high") <= 0) | (F.col("low") <= 0) | (F.col("close") <= 0)
-    return latest.agg(
-        F.count_if(F.col("high") < F.col("low")).alias("high_lt_low"),
-        F.count_if(outside).alias("ohlc_outside"),
-        F.count_if(nonpos).alias("nonpositive"),
-        F.count(F.lit(1)).alias("total"),
-    ).withColumn("violations", F.col("high_lt_low") + F.col("ohlc_outside") + F.col("nonpositive"))
+    return {"high_lt_low": F.col("high") < F.col("low"), "ohlc_outside": outside, "nonpositive": nonpos}
+
+
+def sanity(latest: DataFrame) -> DataFrame:
+    """Price-order violations of the latest bars, in one pass."""
+    counts = [F.count_if(cond).alias(name) for name, cond in _violations().items()]
+    return latest.agg(*counts, F.count(F.lit(1)).alias("total")).withColumn(
+        "violations", F.col("high_lt_low") + F.col("ohlc_outside") + F.col("nonpositive")
+    )
 
 
 def duplicates(bars: DataFrame) -> DataFrame:
@@ -89,45 +92,48 @@ def zero_volume_examples(latest: DataFrame) -> DataFrame:
     )
 
 
-def gaps(latest: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Missing sessions inside each security's own first-to-last window.
+def _session_flags(sessions: DataFrame) -> DataFrame:
+    """session_date, is_session: one row per session of the pinned calendar, hence bounded."""
+    days = bounded(sessions).select("session_date")
+    return F.broadcast(days.withColumn("is_session", F.lit(True)))
+
 
-    Sessions are counted through a running index of the calendar, so nothing of
-    size securities x sessions is ever built: expected = sessions up to the last
-    bar minus sessions before the first, observed = bars that fall on a session.
+def _with_expected(own: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Add missing = sessions in [first_bar, last_bar] minus observed, from a running session count.
+
+    The count has one row per calendar day, so both look-ups are broadcast; nothing
+    of size securities x sessions is built. Days outside the calendar are clamped.
     """
     index = session_index(sessions)
-    marked = latest.join(
-        F.broadcast(index.where("is_session").select(F.col("day").alias("session_date"), "is_session")),
-        "session_date", "left",
-    )
-    own = marked.groupBy("security_id").agg(
-        F.min("symbol").alias("symbol"),
-        F.min("session_date").alias("first_bar"),
-        F.max("session_date").alias("last_bar"),
-        F.count("is_session").alias("observed"),
-    )
-    upto = F.broadcast(index.select("day", "is_session", "sessions_upto"))
-    first = upto.select(
-        F.col("day").alias("first_bar"),
+    first = index.select(
+        F.col("day").alias("_first"),
         (F.col("sessions_upto") - F.col("is_session").cast("bigint")).alias("before_first"),
     )
-    last = upto.select(F.col("day").alias("last_bar"), F.col("sessions_upto").alias("upto_last"))
-    # Bars outside the calendar: clamp to its ends.
+    last = index.select(F.col("day").alias("_last"), F.col("sessions_upto").alias("upto_last"))
     ends = index.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     clamped = (
         beside(own, ends)
-        .withColumn("first_bar", F.least(F.greatest("first_bar", "lo"), "hi"))
-        .withColumn("last_bar", F.least(F.greatest("last_bar", "lo"), "hi"))
+        .withColumn("_first", F.least(F.greatest("first_bar", "lo"), "hi"))
+        .withColumn("_last", F.least(F.greatest("last_bar", "lo"), "hi"))
     )
     return (
-        clamped.join(first, "first_bar", "left").join(last, "last_bar", "left")
+        clamped.join(F.broadcast(first), "_first", "left").join(F.broadcast(last), "_last", "left")
         .withColumn("missing", F.col("upto_last") - F.col("before_first") - F.col("observed"))
-        .select("security_id", "symbol", "missing")
-        .where(F.col("missing") > 0)
+        .drop("lo", "hi", "_first", "_last", "upto_last", "before_first")
     )
 
 
+def gaps(latest: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Number of missing sessions inside each security's own first-to-last window."""
+    own = latest.join(_session_flags(sessions), "session_date", "left").groupBy("security_id").agg(
+        F.min("symbol").alias("symbol"),
+        F.min("session_date").alias("first_bar"),
+        F.max("session_date").alias("last_bar"),
+        F.count("is_session").alias("observed"),
+    )
+    return _with_expected(own, sessions).select("security_id", "symbol", "missing").where(F.col("missing") > 0)
+
+
 def gap_dates(latest: DataFrame, sessions: DataFrame) -> DataFrame:
     """The missing sessions themselves."""
     own = latest.groupBy("security_id").agg(
@@ -166,32 +172,61 @@ def freshness(bars: DataFrame, sessions: DataFrame, today: dt.date) -> DataFrame
     )
 
 
-def _metric(df: DataFrame, name: str, value: str, passed: Column) -> DataFrame:
-    return df.select(F.lit(name).alias("metric"), F.col(value).cast("double").alias("value"), passed.alias("passed"))
+def _per_security(latest: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Everything the summary needs of the latest bars, in one pass: one row per security."""
+    marked = latest.join(_session_flags(sessions), "session_date", "left")
+    return marked.groupBy("security_id").agg(
+        F.min("session_date").alias("first_bar"),
+        F.max("session_date").alias("last_bar"),
+        F.count("is_session").alias("observed"),
+        *[F.count_if(cond).alias(name) for name, cond in _violations().items()],
+        F.count_if(F.col("volume").isNull() | (F.col("volume") <= 0)).alias("zero_volume"),
+    )
 
 
 def run_all(bars: DataFrame, securities: DataFrame, sessions: DataFrame, today: dt.date) -> DataFrame:
-    """One row per check with its verdict; gaps, zero volume and freshness only report."""
-    latest = latest_bars(bars)
+    """One row per check with its verdict; gaps, zero volume and freshness only report.
+
+    The latest bars are read once. listing_era_leak counts securities with more
+    sessions observed than their window holds, which is 0 unless windows are wrong.
+    """
+    own = _with_expected(_per_security(latest_bars(bars), sessions), sessions)
+    names = list(_violations())
+    totals = own.agg(
+        F.count(F.lit(1)).alias("with_bars"),
+        F.sum(sum((F.col(n) for n in names[1:]), F.col(names[0]))).alias("sanity_violations"),
+        F.sum("zero_volume").alias("zero_volume"),
+        F.sum(F.greatest(F.col("missing"), F.lit(0))).alias("interior_gaps"),
+        F.count_if(F.col("missing") < 0).alias("listing_era_leak"),
+        F.max("last_bar").alias("lake_max"),
+    )
+    seeded = securities.agg(F.count(F.lit(1)).alias("seeded"))
+    dup = duplicates(bars).agg(F.count(F.lit(1)).alias("duplicates"))
+    one = beside(totals, seeded, dup)
+    upto = session_index(sessions).where(F.col("day") <= F.lit(today)).agg(F.max("sessions_upto").alias("upto_today"))
+    at_max = (
+        beside(session_index(sessions), totals.select("lake_max"))
+        .where(F.col("day") <= F.col("lake_max")).agg(F.max("sessions_upto").alias("upto_lake"))
+    )
+    one = beside(one, upto, at_max)
+    pct = F.when(F.col("seeded") > 0, F.round(F.col("with_bars") * 100.0 / F.col("seeded"), 2)).otherwise(0.0)
+    behind = F.greatest(F.col("upto_today") - F.coalesce("upto_lake", F.lit(0)), F.lit(0))
+
+    def metric(name: str, value: Column, passed: Column):
+        return F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"), passed.alias("passed"))
+
+    def none(name: str):
+        return metric(name, F.col(name), F.col(name) == 0)
+
     yes = F.lit(True)
-    cov = coverage(bars, securities)
-    dup = duplicates(bars).agg(F.count(F.lit(1)).alias("n"))
-    zero = zero_volume(latest).agg(F.count(F.lit(1)).alias("n"))
-    totals = gap_totals(latest, sessions)
-    covered = (F.col("seeded") == 0) | (F.col("coverage_pct") >= COVERAGE_FLOOR_PCT)
-    rows = [
-        _metric(cov, "coverage_pct", "coverage_pct", covered),
-        _metric(sanity(latest), "sanity_violations", "violations", F.col("violations") == 0),
-        _metric(dup, "duplicates", "n", F.col("n") == 0),
-        _metric(totals, "listing_era_leak", "listing_era_leak", F.col("listing_era_leak") == 0),
-        _metric(totals, "interior_gaps", "interior_total", yes),
-        _metric(zero, "zero_volume", "n", yes),
-        _metric(freshness(bars, sessions, today), "sessions_behind", "sessions_behind", yes),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    rows = F.array(
+        metric("coverage_pct", pct, (F.col("seeded") == 0) | (pct >= COVERAGE_FLOOR_PCT)),
+        none("sanity_violations"), none("duplicates"), none("listing_era_leak"),
+        metric("interior_gaps", F.col("interior_gaps"), yes),
+        metric("zero_volume", F.col("zero_volume"), yes),
+        metric("sessions_behind", behind, yes),
+    )
+    return one.select(F.explode(rows).alias("m")).select("m.*")
 
 
 def check_policy(checks: DataFrame) -> DataFrame:

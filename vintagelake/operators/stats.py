@@ -39,7 +39,7 @@ def _correlation() -> Column:
     )
 
 
-def error_stats(pairs: DataFrame, group: str) -> DataFrame:
+def error_stats(pairs: DataFrame, *group: str) -> DataFrame:
     """Relative error of `ours` against `reference` per group; pairs with reference 0 are left out.
 
     pairs has one row per (group, session_date), so a group is bounded by the calendar.
@@ -53,7 +53,7 @@ def error_stats(pairs: DataFrame, group: str) -> DataFrame:
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     # Largest error, the earliest day among equals.
     worst = F.max(F.when(F.col("rel").isNotNull(), F.struct("rel", (-F.unix_date("session_date")).alias("day"))))
-    out = kept.groupBy(group).agg(
+    out = kept.groupBy(*group).agg(
         F.count("rel").alias("n"),
         zero(F.avg("rel")).alias("mean"),
         zero(F.percentile("rel", F.lit(0.5))).alias("median"),

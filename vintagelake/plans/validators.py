@@ -17,12 +17,26 @@ SPLIT_TOLERANCE = 1e-9
 SAMPLED_DATES = 50
 
 
-def _stats(pairs: DataFrame, ours: str, reference: str, prefix: str) -> DataFrame:
-    chosen = pairs.select(
-        "security_id", "session_date", F.col(ours).alias("ours"), F.col(reference).alias("reference")
+STATS = ("n", "mean", "median", "p95", "max", "worst_date", "correlation", "r2")
+
+
+def _stats(pairs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
+    """Error figures of several (ours, reference) column pairs, one row per security.
+
+    The pairs are stacked and measured together, so what produced them runs once.
+    """
+    stacked = F.array(
+        *[
+            F.struct(F.lit(k).alias("kind"), F.col(ours).alias("ours"), F.col(ref).alias("reference"))
+            for k, (ours, ref) in kinds.items()
+        ]
+    )
+    rows = pairs.select("security_id", "session_date", F.explode(stacked).alias("s"))
+    figures = error_stats(rows.select("security_id", "session_date", "s.*"), "security_id", "kind")
+    one = figures.groupBy("security_id").agg(
+        *[F.max(F.when(F.col("kind") == k, F.struct(*STATS))).alias(k) for k in kinds]
     )
-    out = error_stats(chosen, "security_id")
-    return out.select("security_id", *[F.col(c).alias(f"{prefix}_{c}") for c in out.columns if c != "security_id"])
+    return one.select("security_id", *[F.col(f"{k}.{c}").alias(f"{k}_{c}") for k in kinds for c in STATS])
 
 
 def self_contained(vendor: DataFrame, sample: int = SAMPLED_DATES) -> DataFrame:
@@ -44,8 +58,7 @@ def self_contained(vendor: DataFrame, sample: int = SAMPLED_DATES) -> DataFrame:
         F.count_if(F.col("action_type") == "CASH_DIVIDEND").alias("dividends"),
     )
     return (
-        _stats(pairs, "split_only", "adj_close", "split")
-        .join(_stats(pairs, "total_return", "adj_close", "total"), "security_id")
+        _stats(pairs, {"split": ("split_only", "adj_close"), "total": ("total_return", "adj_close")})
         .join(counted, "security_id", "left")
         .withColumn("splits", F.coalesce("splits", F.lit(0)))
         .withColumn("dividends", F.coalesce("dividends", F.lit(0)))
@@ -88,8 +101,7 @@ def against_vendor(
     retrieved = known.groupBy("security_id").agg(F.count(F.lit(1)).alias("retrieved"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return (
-        _stats(pairs, "lake_raw", "vendor_raw", "raw")
-        .join(_stats(pairs, "lake_adj", "vendor_adj", "adj"), "security_id")
+        _stats(pairs, {"raw": ("lake_raw", "vendor_raw"), "adj": ("lake_adj", "vendor_adj")})
         .join(expected, "security_id", "left")
         .join(retrieved, "security_id", "left")
         .withColumn("expected", zero("expected"))

@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # A month rewrite must only replace the months it carries.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Split a hot join key even where that costs one more exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

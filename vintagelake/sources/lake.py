@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vintagelake import schemas, session
+from vintagelake.functions.temporal import date_range
 from vintagelake.operators.asof import BAR_KEY, bar_order
 from vintagelake.operators.calendar import stamp_knowledge
 from vintagelake.operators.select import first_per_key
@@ -32,6 +33,40 @@ def scan_bars(spark: SparkSession, path: str) -> DataFrame:
     return scan(spark, path, schemas.BARS)
 
 
+def scan_months(
+    spark: SparkSession, path: str, schema: T.StructType, start: dt.date | None = None, end: dt.date | None = None
+) -> DataFrame:
+    """Rows of a month-partitioned dataset in a date range; months outside it are pruned by the partition columns."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    number = F.col("year") * 12 + F.col("month")
+    keep = F.lit(True)
+    if start is not None:
+        keep = keep & (number >= start.year * 12 + start.month)
+    if end is not None:
+        keep = keep & (number <= end.year * 12 + end.month)
+    rows = spark.read.schema(_with_month_fields(schema)).parquet(path).where(keep)
+    return rows.where(date_range("session_date", start, end)).drop(*MONTH)
+
+
+def _with_month_fields(schema: T.StructType) -> T.StructType:
+    return T.StructType(
+        [*schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
+    )
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Store per-security data in buckets of security_id.
+
+    Reads that window or join by security (and by security and session) then need no
+    exchange. Meant for reduced data, where a security holds one row per day at most.
+    """
+    (
+        df.write.mode("overwrite").option("path", path)
+        .bucketBy(buckets, "security_id").sortBy(*BAR_KEY).saveAsTable(table)
+    )
+
+
 def scan_gold(spark: SparkSession, path: str) -> DataFrame:
     return scan(spark, path, schemas.GOLD)
 
@@ -62,15 +97,15 @@ def write_bars(bars: DataFrame, sessions: DataFrame, path: str, source: str, bat
     return skipped
 
 
-def write_months(df: DataFrame, path: str, files_per_month: int = 8) -> None:
+def write_months(df: DataFrame, path: str) -> None:
     """Replace the months that df carries, sorted by security and session inside each file.
 
-    A month is spread over several tasks by security, so one large month is not one task.
+    Rebalancing sizes the write tasks by bytes at run time: a large month is split
+    over many tasks, small ones share a task.
     """
-    slot = F.pmod(F.hash("security_id"), F.lit(files_per_month))
     (
         _with_month(df)
-        .repartition(*MONTH, slot)
+        .hint("rebalance", *MONTH)
         .sortWithinPartitions(*MONTH, *BAR_KEY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -89,13 +124,10 @@ def _stored_months(spark: SparkSession, path: str, schema: T.StructType, months:
     """Rows of some months. The filter names the partition columns, so other months are not listed or read."""
     if not exists(spark, path) or not months:
         return spark.createDataFrame([], schema)
-    parted = T.StructType(
-        [*schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
-    )
     wanted = F.lit(False)
     for year, month in months:
         wanted = wanted | ((F.col("year") == year) & (F.col("month") == month))
-    return spark.read.schema(parted).parquet(path).where(wanted).drop(*MONTH)
+    return spark.read.schema(_with_month_fields(schema)).parquet(path).where(wanted).drop(*MONTH)
 
 
 def _replace_months(df: DataFrame, path: str, schema: T.StructType) -> None:

@@ -89,3 +89,10 @@ def holdings(docs: DataFrame, ticker_column: str, security_type: str) -> DataFra
     return first_per_key(rows, ["doc", "ticker"], [F.col("line_no")]).withColumn(
         "security_type", F.lit(security_type)
     )
+
+
+def write_manifest(rows: DataFrame, path: str) -> None:
+    """Store coverage entries as CSV text; missing columns are left blank."""
+    have = set(rows.columns)
+    text = [F.col(c).cast("string").alias(c) if c in have else F.lit(None).cast("string").alias(c) for c in MANIFEST_COLUMNS]
+    rows.select(*text).write.mode("overwrite").csv(path, header=True)
