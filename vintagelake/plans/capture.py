@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintagelake import session
 from vintagelake.operators import calendar, identity, quality
 from vintagelake.operators.asof import BAR_KEY
 from vintagelake.operators.select import beside, first_per_key
@@ -92,13 +93,20 @@ def capture_sessions(
 
     Only the list of session dates is on the driver. Returns the quality rows.
     """
-    today = max(targets)
+    spark, today = docs.sparkSession, max(targets)
     found, _ = identity.resolve_batch(docs.select("symbol").distinct(), identifiers, today)
-    bars, malformed = bronze.vendor_bars(docs.join(found, "symbol"))
+    # Parsed once into the shared folder; each session then reads its own part.
+    rows = bronze.vendor_rows(docs.join(found, "symbol")).withColumn("part", F.col("raw_date"))
+    staged = session.scratch(spark, "parsed")
+    wanted = [d.isoformat() for d in targets]
+    rows.where(F.col("part").isin(wanted)).write.partitionBy("part").parquet(staged)
+    parsed = spark.read.schema(rows.schema).parquet(staged)
+    bars = parsed.where(F.col("reason").isNull()).select(*bronze.BAR_FIELDS, "part")
+    malformed = parsed.where(F.col("reason").isNotNull())
     results = None
     for n, day in enumerate(sorted(targets)):
-        own = bars.where(F.col("session_date") == F.lit(day))
-        bad = malformed.where(F.col("raw_date") == day.isoformat())
+        own = bars.where(F.col("part") == day.isoformat()).drop("part")
+        bad = malformed.where(F.col("part") == day.isoformat())
         lake.update_month(own, sessions, path, source, first_batch + n)
         part = batch_quality(own, bad, sessions, checks, first_batch + n)
         results = part if results is None else results.unionByName(part)

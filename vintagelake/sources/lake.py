@@ -138,7 +138,9 @@ def _replace_months(df: DataFrame, path: str, schema: T.StructType) -> None:
     write_months(spark.read.schema(schema).parquet(staged), path)
 
 
-def merge_bars(bars: DataFrame, sessions: DataFrame, path: str, source: str, batch_id: int) -> DataFrame:
+def merge_bars(
+    bars: DataFrame, sessions: DataFrame, path: str, source: str, batch_id: int, one_month: bool = False
+) -> DataFrame:
     """Merge bars into the months they touch and return the skipped non-session bars.
 
     Latest knowledge, then the later batch wins per (security, session).
@@ -146,6 +148,8 @@ def merge_bars(bars: DataFrame, sessions: DataFrame, path: str, source: str, bat
     kept, skipped = stamp_knowledge(bars, sessions)
     new = kept.withColumn("source", F.lit(source)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     months = _months_of(new)
+    if one_month and len(months) > 1:
+        raise ValueError(f"expected one month, got {months}")
     if months:
         old = _stored_months(bars.sparkSession, path, schemas.BARS, months)
         merged = first_per_key(old.unionByName(new.select(*old.columns)), BAR_KEY, bar_order())
@@ -155,12 +159,7 @@ def merge_bars(bars: DataFrame, sessions: DataFrame, path: str, source: str, bat
 
 def update_month(bars: DataFrame, sessions: DataFrame, path: str, source: str, batch_id: int) -> DataFrame:
     """As merge_bars for a batch that must lie in one month; more than one is an error."""
-    first = F.trunc("session_date", "month")
-    kept, _ = stamp_knowledge(bars, sessions)
-    lo, hi = kept.agg(F.min(first), F.max(first)).first()
-    if lo != hi:
-        raise ValueError(f"expected one month, got {lo:%Y-%m} to {hi:%Y-%m}")
-    return merge_bars(bars, sessions, path, source, batch_id)
+    return merge_bars(bars, sessions, path, source, batch_id, one_month=True)
 
 
 def merge_gold(rows: DataFrame, path: str, months: list[tuple[int, int]], security_ids: list[int]) -> None:
