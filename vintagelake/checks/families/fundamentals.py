@@ -173,6 +173,19 @@ def _(v: Views):
     return fundamentals.filings(_mapped(v))
 
 
+@check(
+    "fund_filings_append",
+    f"""SELECT security_id, accession, form, CAST(period_end AS VARCHAR) AS period_end, fiscal_period,
+          CAST(filed_date AS VARCHAR) AS filed_date FROM mapped_facts WHERE accession NOT IN (
+            SELECT accession FROM mapped_facts WHERE filed_date <= DATE '{AS_OF}')
+        QUALIFY row_number() OVER (PARTITION BY accession ORDER BY ordinal, period_end, form) = 1""",
+)
+def _(v: Views):
+    facts = _mapped(v)
+    stored = fundamentals.filings(facts.where(F.col("filed_date") <= F.lit(AS_OF)))
+    return fundamentals.new_filings(stored, facts)
+
+
 @check(
     "fund_append",
     f"""SELECT {_KEY}, tag, value FROM chosen WHERE filed_date > DATE '{AS_OF}'""",

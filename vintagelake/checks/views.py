@@ -73,10 +73,13 @@ class Views:
         self.spark = session.configure(spark)
         self.dir = sf_dir.rstrip("/")
 
+    def scan(self, name: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
+
     def table(self, name: str) -> DataFrame:
         """A given table. A fact table that arrives in fewer pieces than there are cores (one row
         group is one task) is spread once; a table of many files is left as it is."""
-        df = self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
+        df = self.scan(name)
         cores = self.spark.sparkContext.defaultParallelism
         if name in ("lineitem", "orders", "events") and df.rdd.getNumPartitions() < cores:
             return df.repartition(cores, df.columns[0])
@@ -113,7 +116,7 @@ class Views:
     @cached_property
     def sessions(self) -> DataFrame:
         """Weekdays of the shipping period, less New Year and Christmas; Christmas Eve is a half day."""
-        span = self.table("lineitem").selectExpr(
+        span = self.scan("lineitem").selectExpr(
             "CAST(min(l_shipdate) AS DATE) AS lo", "CAST(max(l_shipdate) AS DATE) AS hi"
         )
         days = span.selectExpr("explode(sequence(lo, hi)) AS session_date")
@@ -218,7 +221,7 @@ class Views:
 
     @cached_property
     def macro(self) -> DataFrame:
-        days = self.table("events").selectExpr(
+        days = self.scan("events").selectExpr(
             "event_type AS series_id", "CAST(ts AS DATE) AS obs_date",
             "date_add(CAST(ts AS DATE), CAST(event_id % 7 AS INT)) AS vintage_date", "value", "event_id",
         )

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintagelake.functions.temporal import date_range, day_start, known_by, valid_on
+from vintagelake.functions.temporal import date_range, known_by, valid_on
 from vintagelake.operators.select import first_per_key
 
 BAR_KEY = ["security_id", "session_date"]
@@ -145,8 +145,3 @@ def member_bars(membership: DataFrame, bars: DataFrame, universe: str | None, as
     ids = members_asof(membership, as_of, universe).select("security_id").distinct()
     # The semi-join runs below the de-duplication: non-member bars never reach the shuffle.
     return bars_asof_raw(bars.join(ids, "security_id", "left_semi"), as_of)
-
-
-def filed_instant(filed: str) -> Column:
-    """Knowledge time of a filing: midnight UTC of the filed date."""
-    return day_start(F.col(filed))
