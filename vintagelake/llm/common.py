@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -152,3 +153,12 @@ class ByteHash:
 def crc_mod(id_col: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo divisor."""
     return F.crc32(F.col(id_col).cast("string")) % divisor
+
+
+def worker_state(key: tuple, make: Callable[[], object]):
+    """What make returns, once in each Python worker: kept between its tasks."""
+    name = f"{__package__}.worker_state"
+    store = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
