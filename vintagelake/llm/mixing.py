@@ -4,8 +4,8 @@ A source whose target is r times its size takes every document floor(r) times, a
 with probability pi = r - floor(r). The cube method draws these so that words and documents
 keep their totals: three undecided documents at a time move along the null space of the two
 constraints until one of them is decided. Randomised groups of a source do this side by
-side; what they leave undecided (two documents each at most) meets in fewer groups, until a
-source has one group, whose last few small documents land on the choice nearest to the totals.
+side; what they leave undecided (a few documents each) meets in fewer groups, until a
+source has one group, where a few documents land on the choice nearest to the totals.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from vintagelake.llm.common import cut, mapped, prepare, texts_of, words_of
 WEIGHTS = (1, 2, 3)
 MOST = 3  # times a source, and so a document, may be taken
 GROUP = 1024  # documents that one flight decides, on average
-LANDING = 12  # small documents that the last flight of a source leaves to the landing
+LANDING = 12  # documents, over all sizes, that a flight leaves for the landing
 # Sources are a dimension: their totals come to the driver. More than these are refused.
 MAX_SOURCES = 100_000
 SEED = 29
@@ -51,12 +51,13 @@ def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, mo
 def flight(sizes: list[float], x: list[float], rng: np.random.Generator, land: bool) -> list[float]:
     """Move the inclusion probabilities to 0 or 1 while the sums of x and of size * x hold.
 
-    Two documents at most stay undecided. With `land` the last few documents are kept back, and all that
-    is undecided then is decided as landed() says.
+    A few documents are held back, and two at most of the others stay undecided. With `land` all of
+    these are decided as landed() says.
     """
     x = [0.0 if p < _EPS else 1.0 if p > 1 - _EPS else p for p in x]
     waiting = [i for i, p in enumerate(x) if 0 < p < 1]
-    flown = waiting[: len(waiting) - LANDING if land else None] if not land or len(waiting) > LANDING else []
+    held = {waiting[int(q)] for q in np.linspace(0, len(waiting) - 1, LANDING)} if waiting else set()
+    flown = [i for i in waiting if i not in held]
     draws = iter(rng.random(len(flown) + 3).tolist())
     active = flown[:3]
     k = len(active)

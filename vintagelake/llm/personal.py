@@ -28,11 +28,11 @@ PATTERNS = {
 BASE = ["email", "ip", "card", "phone"]
 # What a text must hold for a pattern to be tried.
 NEEDS = {
-    "email": "contains(text, '@')",
-    "ip": r"text RLIKE '[0-9]\\.[0-9]++\\.[0-9]++\\.[0-9]'",
-    "card": r"text RLIKE '[0-9](?:[\\x20-]?[0-9]){12}'",
-    "phone": r"text RLIKE '\\+[0-9]'",
-    "iban": r"text RLIKE '[A-Z]{2}[0-9]{2}[\\x20A-Z0-9]{11}'",
+    "email": "contains(__text, '@')",
+    "ip": r"__text RLIKE '[0-9]\\.[0-9]++\\.[0-9]++\\.[0-9]'",
+    "card": r"__text RLIKE '[0-9](?:[\\x20-]?[0-9]){12}'",
+    "phone": r"__text RLIKE '\\+[0-9]'",
+    "iban": r"__text RLIKE '[A-Z]{2}[0-9]{2}[\\x20A-Z0-9]{11}'",
 }
 # Score of a confirmed span, and words nearby that raise it.
 SCORES = {"email": 0.9, "ip": 0.5, "card": 0.7, "phone": 0.6, "iban": 0.9}
@@ -104,7 +104,7 @@ def _valid(match: Column, kind: str) -> Column:
 
 def _spans(kind: str) -> Column:
     """Confirmed spans of one kind, in order: kind, start, end, match and the text before it."""
-    pieces = F.col(f"pieces_{kind}")
+    pieces = F.col(f"__pieces_{kind}")
     walked = F.aggregate(
         F.sequence(F.lit(0), F.size(pieces) - 1),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<i:int,start:int,end:int>>").alias("found")),
@@ -130,18 +130,18 @@ def _spans(kind: str) -> Column:
     return F.when(F.size(pieces) > 1, full).otherwise(none)
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """docs with `spans`: an array of kind, start, end, score of each confirmed span, by kind as listed, then start.
+def found(docs: DataFrame, into: str = "spans") -> DataFrame:
+    """docs with `into`: an array of kind, start, end, score of each confirmed span, by kind as listed, then start.
 
     Positions are code points, end exclusive. Matches of one kind are leftmost and don't overlap; those
-    that fail their check are dropped. Null, empty and clean texts have an empty array. A column named
-    spans is replaced; rows are neither joined nor shuffled.
+    that fail their check are dropped. Null, empty and clean texts have an empty array. A column already named
+    so is replaced; rows are neither joined nor shuffled.
     """
     prepare(docs.sparkSession)
-    rows = docs.withColumn("__text", F.col("text")).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = rows.withColumns({f"pieces_{k}": _pieces(F.col("text"), k) for k in PATTERNS})
-    rows = rows.withColumn("spans", F.concat(*[_spans(k) for k in PATTERNS]))
-    return rows.withColumn("text", F.col("__text")).select(*docs.drop("spans").columns, "spans")
+    rows = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = rows.withColumns({f"__pieces_{k}": _pieces(F.col("__text"), k) for k in PATTERNS})
+    rows = rows.withColumn(into, F.concat(*[_spans(k) for k in PATTERNS]))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c != into], into)
 
 
 def counted(spans: Column, kind: str) -> Column:
@@ -159,9 +159,9 @@ def masked(docs: DataFrame) -> DataFrame:
 
     n_chars, where present, follows the text. Other columns, null texts and clean texts stay as they are.
     """
-    rows = found(docs.withColumn("__keep", F.col("text").cast("string")))
-    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    text = F.col("__keep")
+    rows = found(docs, "__spans")
+    ordered = F.array_sort(F.transform("__spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    text = F.col("text").cast("string")
     walked = F.aggregate(
         ordered,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
@@ -172,9 +172,10 @@ def masked(docs: DataFrame) -> DataFrame:
             .alias("out"),
         ),
     )
-    clean = F.when(F.size("spans") > 0, F.concat(walked["out"], F.substring(text, walked["at"] + 1, F.length(text)))).otherwise(text)
-    rows = rows.withColumn("text", clean)
+    clean = F.when(F.size("__spans") > 0, F.concat(walked["out"], F.substring(text, walked["at"] + 1, F.length(text)))).otherwise(text)
+    rows = rows.withColumn("__clean", clean)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        rows = rows.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("__clean").cast(kind)).otherwise(F.col("n_chars")))
+    rows = rows.withColumn("text", F.col("__clean"))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -27,8 +27,9 @@ SLOT_ROWS = 50_000  # rows that are numbered in one task, on average
 def placed(vectors: np.ndarray, shards: int) -> np.ndarray:
     """Shard of each vector: greedy by the dot product with the residual capacities.
 
-    Both are measured in shares of a shard's even load, so no dimension outweighs another. A shard
-    that a vector would fill beyond its capacity is taken only if none has room.
+    Both are measured in shares of a shard's even load, so no dimension outweighs another; a dimension
+    that is full counts nothing. Bytes, the first one, are the law: a shard that a vector would fill
+    beyond its bytes is taken only if none has room, and then the one with the most room.
     """
     total = vectors.sum(axis=0)
     share = np.divide(vectors * shards, total, out=np.zeros(vectors.shape), where=total > 0)
@@ -36,9 +37,8 @@ def placed(vectors: np.ndarray, shards: int) -> np.ndarray:
     where = np.zeros(len(vectors), np.int64)
     for i in np.lexsort((np.arange(len(vectors)), -share.max(axis=1))).tolist():
         v = share[i]
-        fit = left @ v
-        over = np.maximum(v - left, 0).max(axis=1)
-        # Where a shard overflows, the least overflow decides.
+        fit = np.maximum(left, 0) @ v
+        over = np.maximum(v[0] - left[:, 0], 0)
         best = int(np.argmax(np.where(over <= 1e-12, fit, -1e6 * (1 + over))))
         where[i] = best
         left[best] -= v
