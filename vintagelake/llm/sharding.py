@@ -1,8 +1,8 @@
 """Shards of near equal bytes, words and rows, by vector bin packing.
 
 Copies of a text form a group and stay together. Groups are hashed into parcels, many times as
-many as shards; a group that is large for a shard is a parcel of its own, or is split into
-several. Parcels, largest first, go to the shard whose residual capacity has the highest dot
+many as shards; a group that is large for a shard is a parcel of its own, and one above half a shard
+is split into several. Parcels, largest first, go to the shard whose residual capacity has the highest dot
 product with the parcel's vector. So the packing itself sees a bounded number of vectors,
 however many texts there are.
 """
@@ -19,8 +19,8 @@ from vintagelake.llm.common import cut, mapped, prepare, texts_of, words_of
 SHARDS = 40
 ROW_BYTES = 16
 PARCELS = 128  # hashed parcels for each shard
-# A group above this share of a shard is a parcel of its own; pieces of larger ones stay under it.
-LARGE = 1 / 32
+# Shares of a shard: above OWN a group is a parcel of its own, above WHOLE it is split into pieces of up to PIECE.
+OWN, WHOLE, PIECE = 1 / 32, 1 / 2, 1 / 16
 SLOT_ROWS = 50_000  # rows that are numbered in one task, on average
 
 
@@ -68,7 +68,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot, words, text_group for each row of docs (doc_id, text).
 
     shard is 0 to shards - 1, slot numbers a shard's rows from 0 without gaps. Rows with equal texts
-    share a shard, unless together they exceed a 32nd of one; then they fill several pieces. Null and
+    share a shard, unless together they exceed half of one; then they fill several pieces. Null and
     empty texts are equal and have no bytes; repeated rows and null ids are rows like others. An
     empty table gives an empty result.
     """
@@ -80,11 +80,11 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         return rows.select(
             "doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"), "words", "text_group"
         )
-    most = [max(1.0, (total[c] or 0) / shards * LARGE) for c in ("size", "words", "rows")]
     groups = rows.groupBy("text_group").agg(*sums)
-    # Of groups above the bound there are 3 * 32 for each shard at most; each is split into pieces under it.
-    pieces = F.greatest(*[F.ceil(F.col(c) / m) for c, m in zip(("size", "words", "rows"), most, strict=True)])
-    large = cut(groups.withColumn("pieces", pieces.cast("int")).where("pieces > 1 AND rows > 1").select("text_group", "pieces"))
+    share = F.greatest(*[F.col(c) * shards / max(1, total[c] or 0) for c in ("size", "words", "rows")])
+    pieces = F.when((share > WHOLE) & (F.col("rows") > 1), F.ceil(share / PIECE)).otherwise(1)
+    # At most 3 / OWN groups for each shard can be above the bound.
+    large = cut(groups.where(share > OWN).select("text_group", pieces.cast("int").alias("pieces")))
     # Parcels: hashed ones count up from 0, pieces of large groups have the group's hash and their number.
     known = (
         rows.join(F.broadcast(large), "text_group", "left")  # bounded as above
