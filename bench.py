@@ -44,6 +44,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = session.build(f"local[{cpus}]", "bench", shuffle_partitions=int(cpus))
+    # Each fact table here is one file with one row group, which one task would read; many files are read by many.
+    spark.conf.set("vintagelake.checks.spread", "true")
     queries = registry.queries()
 
     def run(name: str) -> float:

@@ -46,6 +46,9 @@ def rows_of(names, rows):
 def compare(spark, con, sf_dir, query, sql):
     df = query(spark, sf_dir)
     got_names, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "NestedLoop" in plan or "Cartesian" in plan:
+        return "the plan has a nested-loop join", len(got)
     cur = con.execute(sql)
     want_names, want = rows_of([c[0] for c in cur.description], cur.fetchall())
     if got_names != want_names:

@@ -220,7 +220,7 @@ def test_rebuild(spark, rows, expected):
 def test_upper_median(spark):
     old = [bar(i, D(2020, 1, 2), 1.0, utc(2020, 1, 2, 21), volume=100) for i in range(4)]
     new = [bar(i, D(2020, 1, 2), 1.0, utc(2020, 1, 2, 21), volume=100 + 10 * i) for i in range(4)]
-    s = rebuild.sample_summary(rebuild.shared_sample(bars(spark, old), bars(spark, new))).first()
+    s = rebuild.pairs_summary(rebuild.shared_pairs(bars(spark, old), bars(spark, new))).first()
     assert s.volume_rel_median == pytest.approx(0.2) and s.volume_diffs == 3
 
 
@@ -295,3 +295,11 @@ def test_membership_history(spark):
 def test_reads_reject_bad_ranges(spark):
     with pytest.raises(ValueError):
         surface.check_range(D(2020, 1, 2), D(2020, 1, 1))
+
+
+def test_two_dividends_on_one_day(spark):
+    """Each dividend has its own factor."""
+    rows = bars(spark, [bar(1, D(2020, 1, 2), 100.0, utc(2020, 1, 2)), bar(1, D(2020, 1, 3), 90.0, utc(2020, 1, 3))])
+    acts = actions(spark, [(1, "CASH_DIVIDEND", D(2020, 1, 3), None, None, c) for c in (10.0, 5.0)])
+    got = adjust.with_factors(rows, acts, "total_return").orderBy("session_date").collect()
+    assert [r.price_factor for r in got] == [pytest.approx(0.855), 1.0]

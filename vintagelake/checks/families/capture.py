@@ -233,22 +233,45 @@ def _(v: Views):
 
 @check(
     "ingest_capture_sessions",
-    f"""SELECT b.security_id, b.symbol, CAST(b.session_date AS VARCHAR) AS session_date, b.close, b.batch_id
-        FROM (SELECT l_suppkey AS security_id, 'S' || l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS session_date,
-            l_quantity AS close, 100 + dense_rank() OVER (ORDER BY CAST(l_shipdate AS DATE)) - 1 AS batch_id
-          FROM lineitem WHERE l_linenumber IN (1, 7) AND CAST(l_shipdate AS DATE) IN (SELECT session_date FROM sessions
-            WHERE session_date > DATE '2001-10-30')) b
-        QUALIFY row_number() OVER (PARTITION BY security_id, session_date ORDER BY close DESC) = 1""",
+    """SELECT l_suppkey AS security_id, 'S' || l_suppkey AS symbol, CAST(d AS VARCHAR) AS session_date, max(l_quantity) AS close,
+         batch_id
+       FROM lineitem JOIN (SELECT session_date AS d, 99 + row_number() OVER (ORDER BY session_date) AS batch_id FROM sessions
+           WHERE session_date > DATE '1999-12-31') ON CAST(l_shipdate AS DATE) = d
+       WHERE l_linenumber IN (1, 7) GROUP BY l_suppkey, d, batch_id""",
 )
 def _(v: Views):
-    # Stored through 2001-10-30: every later session is captured in turn.
-    stored = v.bars.where(F.col("session_date") <= F.lit(dt.date(2001, 10, 30)))
+    return _captured(v)[0].select("security_id", "symbol", "session_date", "close", "batch_id")
+
+
+def _captured(v: Views):
+    """Stored through 1999: every later session is captured."""
+    stored = v.bars.where(F.col("session_date") <= F.lit(dt.date(1999, 12, 31)))
     now = dt.datetime(2001, 12, 1, tzinfo=dt.timezone.utc)
     targets = [r.session_date for r in capture.due_sessions(stored, v.sessions, now).collect()]
     path = session.scratch(v.spark, "silver")
     docs = _vendor_docs(v).drop("security_id")
-    capture.capture_sessions(docs, _symbol_ids(v), v.sessions, seeds.dq_checks(v.spark), path, targets, 100)
-    return lake.scan_bars(v.spark, path).select("security_id", "symbol", "session_date", "close", "batch_id")
+    checks = seeds.dq_checks(v.spark)
+    results = capture.capture_sessions(docs, _symbol_ids(v), v.sessions, checks, path, targets, 100)
+    return lake.scan_bars(v.spark, path), results
+
+
+@check(
+    "ingest_capture_sessions_quality",
+    """WITH due AS (SELECT session_date AS d, 99 + row_number() OVER (ORDER BY session_date) AS batch_id FROM sessions
+            WHERE session_date > DATE '1999-12-31'),
+          own AS (SELECT CASE WHEN l_linenumber IN (2, 6) THEN (SELECT min(d) FROM due) ELSE CAST(l_shipdate AS DATE) END AS d,
+              l_linenumber IN (1, 7) AS good FROM lineitem),
+          n AS (SELECT due.batch_id, count(*) FILTER (WHERE good) AS size, count(*) FILTER (WHERE NOT good) AS bad
+            FROM due LEFT JOIN own USING (d) GROUP BY 1)
+       SELECT 'bars_malformed_row' AS check_name, batch_id, bad AS anomalies, size AS batch_size,
+         bad = 0 OR (size > 0 AND bad / size <= 0.01) OR size = 0 AS passed FROM n
+       UNION ALL SELECT 'bars_non_session_date', batch_id, 0, size, true FROM n""",
+)
+def _(v: Views):
+    value = lambda f: F.get_json_object("observed", f"$.{f}").cast("bigint")
+    return _captured(v)[1].select(
+        "check_name", "batch_id", value("count").alias("anomalies"), value("batch_size").alias("batch_size"), "passed"
+    )
 
 
 # Sinks: write, read back, compare with the view.
@@ -410,10 +433,8 @@ SQL_VIEWS["daily_adj"] = """
         THEN (a.prev - a.cash) / a.prev ELSE 1.0 END), 1.0) AS total_return,
       any_value(d.close) * coalesce(product(coalesce(a.sf, 1.0)), 1.0) AS split_only
     FROM daily d LEFT JOIN daily_acts a ON a.security_id = d.security_id AND d.session_date < a.ex_date GROUP BY 1, 2"""
-SQL_VIEWS["daily_sample"] = """
-    SELECT a.* FROM daily_adj a JOIN spread USING (security_id, session_date)"""
-SQL_VIEWS["stats_total"] = _stats_sql("total_return", "adj_close", "daily_sample")
-SQL_VIEWS["stats_split"] = _stats_sql("split_only", "adj_close", "daily_sample")
+SQL_VIEWS["stats_total"] = _stats_sql("total_return", "adj_close", "daily_adj")
+SQL_VIEWS["stats_split"] = _stats_sql("split_only", "adj_close", "daily_adj")
 
 
 @check(
@@ -438,10 +459,8 @@ SQL_VIEWS["lake_adj"] = """
     SELECT b.security_id, b.session_date, b.close AS lake_raw, b.close * f.price_factor AS lake_adj
     FROM bars_asof b JOIN factors_total f USING (security_id, session_date)"""
 SQL_VIEWS["common_days"] = """
-    SELECT * EXCLUDE (pos, n) FROM (SELECT l.*, d.close AS vendor_raw, d.adj_close AS vendor_adj,
-        row_number() OVER (PARTITION BY security_id ORDER BY session_date) - 1 AS pos, count(*) OVER (PARTITION BY security_id) AS n
-      FROM lake_adj l JOIN daily d USING (security_id, session_date))
-    WHERE n <= 50 OR pos IN (SELECT CAST(floor(i * (n / 50.0::DOUBLE)) AS BIGINT) FROM (SELECT unnest(range(50)) AS i))"""
+    SELECT l.*, d.close AS vendor_raw, d.adj_close AS vendor_adj
+    FROM lake_adj l JOIN daily d USING (security_id, session_date)"""
 SQL_VIEWS["vendor_raw_stats"] = _stats_sql("lake_raw", "vendor_raw", "common_days")
 SQL_VIEWS["vendor_adj_stats"] = _stats_sql("lake_adj", "vendor_adj", "common_days")
 

@@ -196,7 +196,9 @@ SQL_VIEWS["messages"] = """
 @check(
     "lineage_batch_stats",
     """SELECT t.batch_id, t.n AS symbols_processed, round(t.s, 2) AS elapsed_seconds, coalesce(w.n, 0) AS warnings,
-         w.last AS last_warning, coalesce(f.n, 0) AS failures, f.last AS last_failure
+         w.last AS last_warning, coalesce(f.n, 0) AS failures, f.last AS last_failure,
+         (SELECT count(*) FROM messages m WHERE m.batch_id = t.batch_id AND m.kind = 'warning') AS n_warnings,
+         (SELECT count(*) FROM messages m WHERE m.batch_id = t.batch_id AND m.kind = 'failure') AS n_failures
        FROM (SELECT c_nationkey AS batch_id, count(*) AS n, count(*) / 8 AS s FROM customer GROUP BY 1) t
        LEFT JOIN (SELECT batch_id, count(*) AS n, arg_max(text, ord) AS last FROM (SELECT * FROM messages WHERE kind = 'warning'
          QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY ord, text) <= 200) GROUP BY 1) w ON w.batch_id = t.batch_id
@@ -212,13 +214,14 @@ def _(v: Views):
     totals = customers.groupBy(F.col("c_nationkey").cast("bigint").alias("batch_id")).agg(
         F.count(F.lit(1)).alias("symbols_processed"), F.round(F.count(F.lit(1)) / 8, 2).alias("elapsed_seconds")
     )
-    schema = "symbols_processed bigint, elapsed_seconds double, warnings array<string>, failures array<string>"
+    schema = "symbols_processed bigint, elapsed_seconds double, n_warnings bigint, n_failures bigint, warnings array<string>, failures array<string>"
     out = lineage.batch_stats(messages, totals).withColumn("p", F.from_json("params", schema))
     last = lambda c: F.when(F.size(c) > 0, F.element_at(c, -1))
     return out.select(
         "batch_id", "p.symbols_processed", "p.elapsed_seconds",
         F.size("p.warnings").alias("warnings"), last(F.col("p.warnings")).alias("last_warning"),
         F.size("p.failures").alias("failures"), last(F.col("p.failures")).alias("last_failure"),
+        "p.n_warnings", "p.n_failures",
     )
 
 

@@ -16,21 +16,24 @@ _LISTED = f"i.valid_from <= DATE '{TODAY}' AND (i.valid_to IS NULL OR i.valid_to
 @check(
     "dq_coverage",
     """SELECT s.seeded, b.n AS with_bars, s.seeded - b.n AS missing,
-         round(100.0::DOUBLE * b.n / s.seeded, 2) AS coverage_pct, 0 AS orphan_ids
-       FROM (SELECT count(*) AS seeded FROM securities) s, (SELECT count(DISTINCT security_id) AS n FROM bars) b""",
+         round(100.0::DOUBLE * b.n / s.seeded, 2) AS coverage_pct, o.n AS orphan_ids
+       FROM (SELECT count(*) AS seeded FROM securities) s, (SELECT count(DISTINCT security_id) AS n FROM bars) b,
+         (SELECT count(DISTINCT security_id + 3) AS n FROM bars WHERE security_id + 3 NOT IN (SELECT security_id FROM securities)) o""",
 )
 def _(v: Views):
-    return quality.coverage(v.bars, v.securities)
+    # Ids are moved by three: the first securities have no bars, the last bars no security.
+    return quality.coverage(v.bars.withColumn("security_id", F.col("security_id") + 3), v.securities)
 
 
 @check(
     "dq_coverage_missing",
     f"""SELECT i.security_id, i.id_value AS ticker FROM identifiers i
-        WHERE {_LISTED} AND i.security_id NOT IN (SELECT security_id FROM bars WHERE session_date >= DATE '2001-11-03')""",
+        WHERE {_LISTED} AND i.security_id NOT IN (SELECT security_id - security_id % 3 FROM bars)""",
 )
 def _(v: Views):
-    recent = v.bars.where(F.col("session_date") >= F.lit(dt.date(2001, 11, 3)))
-    return quality.coverage_missing(recent, v.securities, v.identifiers, TODAY)
+    # All bars count for every third security, so the others have none.
+    moved = v.bars.withColumn("security_id", F.expr("security_id - security_id % 3"))
+    return quality.coverage_missing(moved, v.securities, v.identifiers, TODAY)
 
 
 SQL_VIEWS["dq_sanity_view"] = """
@@ -253,12 +256,11 @@ def _(v: Views):
 @check(
     "dq_without_actions",
     f"""SELECT i.id_value AS ticker FROM identifiers i WHERE {_LISTED} AND i.security_id NOT IN (
-          SELECT security_id FROM actions WHERE ex_date >= DATE '2001-07-25' AND security_id IS NOT NULL)
-        ORDER BY 1 LIMIT 20""",
+          SELECT security_id - security_id % 3 FROM actions WHERE security_id IS NOT NULL)""",
 )
 def _(v: Views):
-    recent = v.actions.where(F.col("ex_date") >= F.lit(dt.date(2001, 7, 25)))
-    return quality.without_actions(v.securities, v.identifiers, recent, TODAY)
+    moved = v.actions.withColumn("security_id", F.expr("security_id - security_id % 3"))
+    return quality.without_actions(v.securities, v.identifiers, moved, TODAY)
 
 
 @check(
@@ -301,12 +303,10 @@ SQL_VIEWS["bad_dates"] = """
 SQL_VIEWS["shared"] = """
     SELECT o.security_id, o.session_date, o.open AS old_open, o.high AS old_high, o.low AS old_low, o.close AS old_close,
       o.volume AS old_volume, n.open AS new_open, n.high AS new_high, n.low AS new_low, n.close AS new_close,
-      n.volume AS new_volume,
-      (o.security_id * 1000003 + (o.session_date - DATE '1970-01-01') * 7919 + 420 * 104729) % 1000033 AS draw
+      n.volume AS new_volume
     FROM (SELECT * FROM old_lake QUALIFY row_number() OVER (PARTITION BY security_id, session_date ORDER BY known DESC,
             batch_id DESC, source, close DESC, volume DESC, open DESC, high DESC, low DESC, trade_count DESC, vwap DESC) = 1) o
-    JOIN new_lake n USING (security_id, session_date)
-    ORDER BY draw, o.security_id, o.session_date, n.open, n.high, n.low, n.close, n.volume LIMIT 5000"""
+    JOIN new_lake n USING (security_id, session_date)"""
 SQL_VIEWS["shared_prices"] = """
     SELECT security_id, session_date, f.field, f.o AS old_value, f.n AS new_value FROM (
       SELECT security_id, session_date, unnest([{'field': 'open', 'o': old_open, 'n': new_open},
@@ -357,10 +357,11 @@ def _(v: Views):
 @check(
     "rebuild_sample",
     """SELECT security_id, CAST(session_date AS VARCHAR) AS session_date, old_close, new_close, old_volume, new_volume
-       FROM shared""",
+       FROM shared ORDER BY md5('420|' || security_id || '|' || CAST(session_date AS VARCHAR)), security_id, session_date,
+         new_open, new_high, new_low, new_close, new_volume LIMIT 5000""",
 )
 def _(v: Views):
-    out = rebuild.shared_sample(*_lakes(v))
+    out = rebuild.sampled(rebuild.shared_pairs(*_lakes(v)))
     return out.select("security_id", "session_date", "old_close", "new_close", "old_volume", "new_volume")
 
 
@@ -369,7 +370,7 @@ def _(v: Views):
     "SELECT security_id, CAST(session_date AS VARCHAR) AS session_date, field, old_value, new_value FROM shared_prices",
 )
 def _(v: Views):
-    return rebuild.price_diffs(rebuild.shared_sample(*_lakes(v)))
+    return rebuild.price_diffs(rebuild.shared_pairs(*_lakes(v)))
 
 
 @check(
@@ -378,12 +379,12 @@ def _(v: Views):
        WHERE old_volume IS DISTINCT FROM new_volume""",
 )
 def _(v: Views):
-    return rebuild.volume_diffs(rebuild.shared_sample(*_lakes(v)))
+    return rebuild.volume_diffs(rebuild.shared_pairs(*_lakes(v)))
 
 
 @check(
     "rebuild_report",
-    """WITH r AS (SELECT (SELECT count(*) FROM shared) AS sampled, (SELECT count(*) FROM shared_prices) AS price_diffs,
+    """WITH r AS (SELECT (SELECT count(*) FROM shared) AS compared, (SELECT count(*) FROM shared_prices) AS price_diffs,
            (SELECT count(*) FROM shared WHERE old_volume IS DISTINCT FROM new_volume) AS volume_diffs,
            (SELECT volume_rel_median FROM shared_median) AS volume_rel_median,
            (SELECT count(*) FROM old_lake) AS old_rows, (SELECT count(*) FROM new_lake) AS new_rows,

@@ -79,9 +79,10 @@ def _events(bars: DataFrame, actions: DataFrame) -> DataFrame:
         actions.groupBy("security_id", F.col("ex_date").alias("session_date"))
         .agg(
             F.product(F.when(F.col("action_type") == "SPLIT", split_price_factor())).alias("_split"),
-            F.max(F.when(F.col("action_type") == "CASH_DIVIDEND", F.coalesce("cash_amount", F.lit(0.0)))).alias(
-                "_cash"
-            ),
+            # One entry per dividend of the day; each has its own factor.
+            F.sort_array(
+                F.collect_list(F.when(F.col("action_type") == "CASH_DIVIDEND", F.coalesce("cash_amount", F.lit(0.0))))
+            ).alias("_cash"),
         )
         .withColumn("_bar", F.lit(0))
     )
@@ -97,7 +98,7 @@ def _previous_close():
 def _with_total_return_factors(bars: DataFrame, actions: DataFrame) -> DataFrame:
     """One shuffle by security: reference closes forward, then factor products backward."""
     timed = _events(bars, actions).withColumn("_ref", _previous_close())
-    dividend = F.when(F.col("_cash").isNotNull(), dividend_price_factor(F.col("_ref"), F.col("_cash")))
+    dividend = F.aggregate("_cash", F.lit(1.0), lambda acc, c: acc * F.coalesce(dividend_price_factor(F.col("_ref"), c), F.lit(1.0)))
     split = F.coalesce("_split", F.lit(1.0))
     timed = timed.withColumn("_f", split * F.coalesce(dividend, F.lit(1.0))).withColumn("_s", split)
     # From the end of the line backwards, a bar sees exactly the actions of later days.

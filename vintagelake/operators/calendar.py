@@ -20,9 +20,18 @@ LAST_SESSION = dt.date(2030, 12, 31)
 
 
 def bounded(sessions: DataFrame) -> DataFrame:
-    """One row per date inside the pinned period: at most 25,202 rows, safe to broadcast."""
-    inside = sessions.where(F.col("session_date").between(F.lit(FIRST_SESSION), F.lit(LAST_SESSION)))
-    return F.broadcast(first_per_key(inside, ["session_date"], [F.col("close_utc").desc()]))
+    """One row per date: at most 25,202 rows, safe to broadcast. A session outside the pinned period is an error."""
+    outside = F.raise_error(
+        F.concat(F.lit("session outside the calendar: "), F.coalesce(F.col("session_date").cast("string"), F.lit("no date")))
+    )
+    inside = F.col("session_date").between(F.lit(FIRST_SESSION), F.lit(LAST_SESSION))
+    day = F.when(inside, F.col("session_date")).otherwise(outside.cast("date"))
+    return F.broadcast(first_per_key(sessions.withColumn("session_date", day), ["session_date"], [F.col("close_utc").desc()]))
+
+
+def of_exchange(sessions: DataFrame, exchange: str) -> DataFrame:
+    """Sessions of one exchange, from a table that is keyed by exchange and session."""
+    return sessions.where(F.col("exchange") == exchange)
 
 
 def with_close(bars: DataFrame, sessions: DataFrame) -> DataFrame:

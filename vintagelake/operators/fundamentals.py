@@ -16,6 +16,8 @@ CONFLICT_TOLERANCE = 0.005
 ANNUAL_DAYS = (350, 380)
 QUARTER_DAYS = (85, 95)
 
+# A larger alias table than this is no dictionary and is refused.
+MAX_ALIASES = 10_000
 GROUP = ["security_id", "accession", "concept", "period_start", "period_end"]
 
 
@@ -44,9 +46,16 @@ def unit_matches(unit: str = "unit", expected: str = "expected_unit") -> Column:
     return F.col(expected).isNull() | (got == F.col(expected)) | (normal == F.col(expected))
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    """A dictionary table for broadcasting, after its size was checked."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows in a dictionary table")
+    return F.broadcast(df)
+
+
 def map_facts(raw: DataFrame, index: DataFrame) -> DataFrame:
     """Every raw fact with its concept, or with the tag text to log as unmapped."""
-    joined = raw.join(index, "tag", "left")
+    joined = raw.join(small(index, MAX_ALIASES), "tag", "left")
     mismatch = F.format_string(
         "%s#UNIT_MISMATCH(expected=%s,got=%s)", F.col("tag"), F.col("expected_unit"), F.col("unit")
     )
@@ -193,7 +202,7 @@ COMPUTED = {
 def computed_concepts(facts: DataFrame, capex_sign: int = 1, names: Sequence[str] = tuple(COMPUTED)) -> DataFrame:
     """Sums of two reported concepts over the same period; null when a part is missing.
 
-    facts: one known value per (security, concept, period). capex_sign=-1 turns
+    facts: one known value per (security, concept, period); of repeated ones the largest counts. capex_sign=-1 turns
     reported payments into outflows.
     """
     parts = sorted({p for n in names for p in COMPUTED[n]})
@@ -201,7 +210,7 @@ def computed_concepts(facts: DataFrame, capex_sign: int = 1, names: Sequence[str
         facts.where(F.col("concept").isin(parts))
         .groupBy("security_id", "period_start", "period_end")
         .pivot("concept", parts)
-        .agg(F.first("value"))
+        .agg(F.max("value"))
     )
 
     def part(name: str) -> Column:

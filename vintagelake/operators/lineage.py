@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagelake import seeds
 from vintagelake.operators.select import absent_from, first_n_per_key, first_per_key, upsert
 from vintagelake.operators.universe import next_ids
+from vintagelake.sources.registry_files import exists
 
-# How many messages a batch keeps.
-WARNING_CAP = 200
-FAILURE_CAP = 50
+# How many messages the JSON of a batch shows. All are kept as rows of the messages table.
+WARNING_HEAD = 200
+FAILURE_HEAD = 50
 
 
 def ensure_sources(existing: DataFrame, names: DataFrame) -> DataFrame:
@@ -45,9 +46,9 @@ def batch_state(events: DataFrame) -> DataFrame:
 
 
 def batch_stats(messages: DataFrame, totals: DataFrame) -> DataFrame:
-    """Operational figures of each batch as JSON, with the first warnings and failures.
+    """Operational figures of each batch as JSON, with the first warnings and failures and the number of all.
 
-    messages: batch_id, kind (warning or failure), ord, text. The caps are applied
+    messages: batch_id, kind (warning or failure), ord, text; they stay stored as rows. The heads are cut
     per batch before anything is collected.
     """
 
@@ -57,10 +58,15 @@ def batch_stats(messages: DataFrame, totals: DataFrame) -> DataFrame:
         return rows.groupBy("batch_id").agg(F.transform(listed, lambda m: m["text"]).alias(name))
 
     empty = F.array().cast("array<string>")
-    joined = totals.join(head("warning", WARNING_CAP, "warnings"), "batch_id", "left").join(
-        head("failure", FAILURE_CAP, "failures"), "batch_id", "left"
+    joined = totals.join(head("warning", WARNING_HEAD, "warnings"), "batch_id", "left").join(
+        head("failure", FAILURE_HEAD, "failures"), "batch_id", "left"
     )
+    kinds = messages.groupBy("batch_id").agg(
+        F.count_if(F.col("kind") == "warning").alias("n_warnings"), F.count_if(F.col("kind") == "failure").alias("n_failures")
+    )
+    joined = joined.join(kinds, "batch_id", "left")
     figures = [F.col(c) for c in totals.columns if c != "batch_id"]
+    figures += [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_warnings", "n_failures")]
     params = F.to_json(
         F.struct(
             *figures, F.coalesce("warnings", empty).alias("warnings"), F.coalesce("failures", empty).alias("failures")
@@ -87,3 +93,18 @@ def upsert_features(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 def upsert_checks(existing: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(existing, new, ["name"])
+
+
+def run_batch(spark: SparkSession, registry: str, run: str, epoch: int) -> int:
+    """Batch id of an epoch of a run: the one registered, or the next after all registered ones, which is stored.
+
+    The registry has one row per micro-batch; a run is one writer, so ids are given one at a time.
+    """
+    schema = "run string, epoch bigint, batch_id bigint"
+    known = spark.read.schema(schema).parquet(registry) if exists(spark, registry) else spark.createDataFrame([], schema)
+    own = F.max(F.when((F.col("run") == run) & (F.col("epoch") == epoch), F.col("batch_id")))
+    found = known.agg(own.alias("own"), F.coalesce(F.max("batch_id"), F.lit(0)).alias("last")).first()
+    if found.own is not None:
+        return found.own
+    spark.createDataFrame([(run, epoch, found.last + 1)], schema).coalesce(1).write.mode("append").parquet(registry)
+    return found.last + 1

@@ -19,7 +19,6 @@ FRESH_TOLERANCE_SESSIONS = 1
 SAMPLE_CAP = 20
 DUPLICATE_EXAMPLES = 10
 ZERO_VOLUME_EXAMPLES = 50
-NO_ACTION_EXAMPLES = 20
 
 
 def with_bars_ids(bars: DataFrame) -> DataFrame:
@@ -74,21 +73,21 @@ def duplicates(bars: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_examples(bars: DataFrame) -> DataFrame:
+def duplicate_examples(bars: DataFrame, n: int = DUPLICATE_EXAMPLES) -> DataFrame:
     order = [F.col("copies").desc(), "security_id", "session_date", "knowledge_time"]
-    return duplicates(bars).orderBy(*order).limit(DUPLICATE_EXAMPLES)
+    return duplicates(bars).orderBy(*order).limit(n)
 
 
 def zero_volume(latest: DataFrame) -> DataFrame:
     return latest.where(F.col("volume").isNull() | (F.col("volume") <= 0))
 
 
-def zero_volume_examples(latest: DataFrame) -> DataFrame:
+def zero_volume_examples(latest: DataFrame, n: int = ZERO_VOLUME_EXAMPLES) -> DataFrame:
     return (
         zero_volume(latest)
         .select("symbol", "session_date", "security_id")
         .orderBy("session_date", "symbol", "security_id")
-        .limit(ZERO_VOLUME_EXAMPLES)
+        .limit(n)
     )
 
 
@@ -255,7 +254,7 @@ def verdicts(counts: DataFrame) -> DataFrame:
     )
 
 
-def anomaly_counts(anomalies: DataFrame, batches: DataFrame) -> DataFrame:
+def anomaly_counts(anomalies: DataFrame, batches: DataFrame, sample: int = SAMPLE_CAP) -> DataFrame:
     """Anomalies per (check, batch) beside the batch size, clean batches included.
 
     anomalies: check_name, batch_id, label. batches: check_name, batch_id, batch_size.
@@ -265,7 +264,7 @@ def anomaly_counts(anomalies: DataFrame, batches: DataFrame) -> DataFrame:
     key = ["check_name", "batch_id"]
     total = anomalies.groupBy(*key).agg(F.count(F.lit(1)).alias("anomalies"))
     head = (
-        first_n_per_key(anomalies, key, [F.col("label")], SAMPLE_CAP)
+        first_n_per_key(anomalies, key, [F.col("label")], sample)
         .groupBy(*key)
         .agg(F.sort_array(F.collect_list("label")).alias("sample"))
     )
@@ -303,10 +302,10 @@ def action_totals(actions: DataFrame) -> DataFrame:
 
 
 def without_actions(securities: DataFrame, identifiers: DataFrame, actions: DataFrame, today: dt.date) -> DataFrame:
-    """First listed tickers whose security has no action."""
+    """Listed tickers whose security has no action."""
     bare = securities.select("security_id").join(actions.select("security_id").distinct(), "security_id", "left_anti")
     listed = tickers(identifiers).where(listed_on(today))
-    return listed.join(bare, "security_id", "left_semi").select("ticker").orderBy("ticker").limit(NO_ACTION_EXAMPLES)
+    return listed.join(bare, "security_id", "left_semi").select("ticker")
 
 
 def action_conflicts(actions: DataFrame) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelake.operators.asof import BAR_KEY, latest_bars
 from vintagelake.operators.calendar import bounded
 from vintagelake.operators.select import beside
 
-# Size of the compared sample and relative price tolerance.
+# Size of a sample, where one is asked for, and relative price tolerance.
 SAMPLE_SIZE = 5000
 PRICE_TOLERANCE = 0.001
 SAMPLE_SEED = 420
@@ -42,23 +42,19 @@ def duplicate_pairs(new: DataFrame) -> DataFrame:
     return new.groupBy(*BAR_KEY).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
-def _draw(seed: int) -> Column:
-    """Integer mix of the key; the same in any engine."""
-    days = F.datediff("session_date", F.lit("1970-01-01").cast("date"))
-    return (F.col("security_id") * 1000003 + days * 7919 + F.lit(seed) * 104729) % 1000033
-
-
-def shared_sample(old: DataFrame, new: DataFrame, size: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED) -> DataFrame:
-    """Fixed-size repeatable sample of pairs both sides hold.
-
-    Old rows are reduced to the latest version, new rows are taken as they are.
-    The draw orders by a hash of the key: a top-n per task, not a full sort.
-    """
+def shared_pairs(old: DataFrame, new: DataFrame) -> DataFrame:
+    """All pairs that both sides hold. Old rows are reduced to the latest version, new rows are taken as they are."""
     values = [*PRICES, "volume"]
     left = latest_bars(old).select(*BAR_KEY, *[F.col(c).alias(f"old_{c}") for c in values])
     right = new.select(*BAR_KEY, *[F.col(c).alias(f"new_{c}") for c in values])
-    both = left.join(right, BAR_KEY).withColumn("draw", _draw(seed))
-    return both.orderBy("draw", *BAR_KEY, *[f"new_{c}" for c in values]).limit(size)
+    return left.join(right, BAR_KEY)
+
+
+def sampled(pairs: DataFrame, size: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED) -> DataFrame:
+    """Fixed-size repeatable sample of pairs: the lowest hashes of seed and key, a top-n per task, not a full sort."""
+    draw = F.md5(F.concat_ws("|", F.lit(seed), "security_id", "session_date"))
+    values = [f"new_{c}" for c in (*PRICES, "volume")]
+    return pairs.withColumn("draw", draw).orderBy("draw", *BAR_KEY, *values).limit(size).drop("draw")
 
 
 def _price_differs(old: Column, new: Column, tolerance: float) -> Column:
@@ -67,7 +63,7 @@ def _price_differs(old: Column, new: Column, tolerance: float) -> Column:
     return one_null | F.coalesce(F.abs(old - new) > scale * tolerance, F.lit(False))
 
 
-def price_diffs(sample: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
+def price_diffs(pairs: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
     """Prices that differ by more than the tolerance, one row per field."""
     fields = F.array(
         *[
@@ -75,7 +71,7 @@ def price_diffs(sample: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFr
             for c in PRICES
         ]
     )
-    rows = sample.select(*BAR_KEY, F.explode(fields).alias("p")).select(*BAR_KEY, "p.*")
+    rows = pairs.select(*BAR_KEY, F.explode(fields).alias("p")).select(*BAR_KEY, "p.*")
     return rows.where(_price_differs(F.col("old_value"), F.col("new_value"), tolerance))
 
 
@@ -83,28 +79,40 @@ def _volume_differs() -> Column:
     return ~F.col("old_volume").eqNullSafe(F.col("new_volume"))
 
 
-def volume_diffs(sample: DataFrame) -> DataFrame:
-    return sample.where(_volume_differs()).select(*BAR_KEY, "old_volume", "new_volume")
-
+def volume_diffs(pairs: DataFrame) -> DataFrame:
+    return pairs.where(_volume_differs()).select(*BAR_KEY, "old_volume", "new_volume")
 
-def sample_summary(sample: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
-    """Difference counts and the upper median of the relative volume difference, in one pass.
 
-    The list behind the median holds at most one number per sampled pair.
-    """
+def pairs_summary(pairs: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
+    """Number of pairs, difference counts, and the upper median of the relative volume difference."""
     per_row = sum(
         (_price_differs(F.col(f"old_{c}"), F.col(f"new_{c}"), tolerance).cast("int") for c in PRICES), F.lit(0)
     )
     comparable = (F.col("old_volume") != 0) & F.col("new_volume").isNotNull()
     rel = F.when(comparable, F.abs(F.col("old_volume") - F.col("new_volume")) / F.col("old_volume"))
-    ordered = F.sort_array(F.collect_list(rel))
-    middle = F.floor(F.size("_rels") / 2).cast("int") + 1
-    return sample.agg(
-        F.count(F.lit(1)).alias("sampled"),
+    counts = pairs.agg(
+        F.count(F.lit(1)).alias("compared"),
         F.coalesce(F.sum(per_row), F.lit(0)).alias("price_diffs"),
         F.count_if(_volume_differs()).alias("volume_diffs"),
-        ordered.alias("_rels"),
-    ).withColumn("volume_rel_median", F.try_element_at("_rels", middle)).drop("_rels")
+    )
+    return beside(counts, upper_median(pairs.select(rel.alias("rel")), "rel").withColumnRenamed("rel", "volume_rel_median"))
+
+
+def upper_median(df: DataFrame, value: str) -> DataFrame:
+    """One row: the element floor(n / 2) of the sorted values, nulls left out; null when there are none.
+
+    A sketch brackets it within 0.1 % of the ranks; only the distinct values in the bracket are
+    ordered in one task.
+    """
+    values = df.select(F.col(value).alias("x")).where("x IS NOT NULL")
+    near = values.agg(F.percentile_approx("x", [0.499, 0.501], 10_000).alias("p"))
+    bracket = near.select(F.col("p")[0].alias("lo"), F.col("p")[1].alias("hi"))
+    placed = beside(values, bracket)
+    total = placed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") < F.col("lo")).alias("below"))
+    some = placed.where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = beside(some.withColumn("upto", upto), total)
+    return ranked.where(F.col("below") + F.col("upto") > F.floor(F.col("n") / 2)).agg(F.min("x").alias(value))
 
 
 def pair_summary(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -136,14 +144,15 @@ def knowledge_summary(new: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def report(
-    old: DataFrame, new: DataFrame, sessions: DataFrame, size: int = SAMPLE_SIZE,
+    old: DataFrame, new: DataFrame, sessions: DataFrame, sample: int | None = None,
     seed: int = SAMPLE_SEED, tolerance: float = PRICE_TOLERANCE,
 ) -> DataFrame:
-    """All stages in one row. Lost pairs, duplicates and wrong knowledge times fail; value differences do not."""
+    """All stages in one row, over all shared pairs or a sample of them. Lost pairs, duplicates and wrong knowledge times fail; value differences do not."""
+    pairs = shared_pairs(old, new)
     parts = beside(
         pair_summary(old, new),
         knowledge_summary(new, sessions),
-        sample_summary(shared_sample(old, new, size, seed), tolerance),
+        pairs_summary(pairs if sample is None else sampled(pairs, sample, seed), tolerance),
     )
     return parts.withColumn("passed", gate())
 

@@ -51,21 +51,34 @@ def due_sessions(bars: DataFrame, sessions: DataFrame, now: dt.datetime) -> Data
     return sessions.where((F.col("session_date") > last) & (F.col("close_utc") <= F.lit(now))).select("session_date")
 
 
-def batch_quality(
-    bars: DataFrame, malformed: DataFrame, sessions: DataFrame, checks: DataFrame, batch_id: int
-) -> DataFrame:
-    """Quality rows of one batch: bars on non-session days and rows the parser refused."""
-    _, skipped = calendar.stamp_knowledge(bars, sessions)
-    label = F.concat_ws(" ", "symbol", F.col("session_date").cast("string"), "reason").alias("label")
-    batch = F.lit(batch_id).cast("bigint").alias("batch_id")
-    off = skipped.select(F.lit(NON_SESSION).alias("check_name"), batch, label)
-    bad = malformed.select(
-        F.lit(MALFORMED).alias("check_name"), batch, F.concat_ws(" ", "symbol", "raw_date", "reason").alias("label")
+def parsed_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of vendor documents of resolved symbols, with the reason why a row is unusable, or null."""
+    rows = bronze.vendor_rows(docs.join(found, "symbol"))
+    return rows.select(*bronze.BAR_FIELDS, "raw_date", "reason")
+
+
+def usable(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("reason").isNull()).drop("raw_date", "reason")
+
+
+def batch_quality(rows: DataFrame, sessions: DataFrame, checks: DataFrame, batches: list[int]) -> DataFrame:
+    """Quality rows of batches: bars on non-session days and rows the parser refused.
+
+    rows: parsed rows with their batch_id. A batch without rows is reported with size 0.
+    """
+    timed = calendar.with_close(rows, sessions)
+    kind = F.when(F.col("reason").isNotNull(), MALFORMED).when(F.col("close_utc").isNull(), NON_SESSION)
+    label = F.when(F.col("reason").isNotNull(), F.concat_ws(" ", "symbol", "raw_date", "reason")).otherwise(
+        F.concat_ws(" ", "symbol", F.col("session_date").cast("string"), F.lit("non_session_date"))
     )
-    size = bars.agg(F.count(F.lit(1)).alias("batch_size")).select(
-        F.explode(F.array(F.lit(NON_SESSION), F.lit(MALFORMED))).alias("check_name"), batch, "batch_size"
+    anomalies = timed.select(kind.alias("check_name"), "batch_id", label.alias("label")).where("check_name IS NOT NULL")
+    sizes = rows.groupBy("batch_id").agg(F.count_if(F.col("reason").isNull()).alias("batch_size"))
+    named = rows.sparkSession.createDataFrame([(b,) for b in batches], "batch_id bigint")
+    size = named.join(sizes, "batch_id", "left").select(
+        F.explode(F.array(F.lit(NON_SESSION), F.lit(MALFORMED))).alias("check_name"), "batch_id",
+        F.coalesce("batch_size", F.lit(0)).alias("batch_size"),
     )
-    return quality.dq_results(quality.anomaly_counts(off.unionByName(bad), size), checks)
+    return quality.dq_results(quality.anomaly_counts(anomalies, size), checks)
 
 
 def backfill(
@@ -75,39 +88,35 @@ def backfill(
     """Parse vendor documents (symbol, text) and stage them as a candidate version.
 
     Returns the staged bars, the quality rows and the ambiguous symbols. Tickers are
-    resolved without a date; ambiguous ones are left out and reported.
+    resolved without a date; ambiguous ones are left out and reported. Documents are parsed once, into
+    the shared folder; bars, counts and samples are read from there.
     """
     found, ambiguous = identity.resolve_any_time(docs.select("symbol").distinct(), identifiers)
-    bars, malformed = bronze.vendor_bars(docs.join(found, "symbol"))
-    kept, _ = calendar.stamp_knowledge(bars, sessions)
-    stamped = kept.withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn("source", F.lit(source))
-    staged = lake.stage(stamped, root, version)
-    return staged, batch_quality(bars, malformed, sessions, checks, batch_id), ambiguous
+    rows = parsed_rows(docs, found).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    parsed, path = session.staged(rows, "parsed")
+    kept, _ = calendar.stamp_knowledge(usable(parsed), sessions)
+    staged = lake.stage(kept.withColumn("source", F.lit(source)), root, version)
+    results = session.stored(batch_quality(parsed, sessions, checks, [batch_id]))
+    session.discard(docs.sparkSession, path)
+    return staged, results, ambiguous
 
 
 def capture_sessions(
     docs: DataFrame, identifiers: DataFrame, sessions: DataFrame, checks: DataFrame, path: str,
     targets: list[dt.date], first_batch: int, source: str = "TIINGO",
 ) -> DataFrame:
-    """Capture due sessions one by one, each its own batch; a stopped run resumes after the last stored one.
+    """Capture all due sessions in one merge, each session its own batch. Returns the quality rows.
 
-    Only the list of session dates is on the driver. Returns the quality rows.
+    Only the list of session dates is on the driver. Rows without a readable date belong to no session;
+    they are counted with the first due one. A stopped run leaves whole months, old or new, and is repeated.
     """
-    spark, today = docs.sparkSession, max(targets)
-    found, _ = identity.resolve_batch(docs.select("symbol").distinct(), identifiers, today)
-    # Parsed once into the shared folder; each session then reads its own part.
-    rows = bronze.vendor_rows(docs.join(found, "symbol")).withColumn("part", F.col("raw_date"))
-    staged = session.scratch(spark, "parsed")
-    wanted = [d.isoformat() for d in targets]
-    rows.where(F.col("part").isin(wanted)).write.partitionBy("part").parquet(staged)
-    parsed = spark.read.schema(rows.schema).parquet(staged)
-    bars = parsed.where(F.col("reason").isNull()).select(*bronze.BAR_FIELDS, "part")
-    malformed = parsed.where(F.col("reason").isNotNull())
-    results = None
-    for n, day in enumerate(sorted(targets)):
-        own = bars.where(F.col("part") == day.isoformat()).drop("part")
-        bad = malformed.where(F.col("part") == day.isoformat())
-        lake.update_month(own, sessions, path, source, first_batch + n)
-        part = batch_quality(own, bad, sessions, checks, first_batch + n)
-        results = part if results is None else results.unionByName(part)
+    spark, days = docs.sparkSession, sorted(targets)
+    found, _ = identity.resolve_batch(docs.select("symbol").distinct(), identifiers, days[-1])
+    due = spark.createDataFrame([(d, first_batch + n) for n, d in enumerate(days)], "due date, batch_id bigint")
+    rows = parsed_rows(docs, found).withColumn("due", F.coalesce("session_date", F.lit(days[0])))
+    parsed, staged = session.staged(rows.join(F.broadcast(due), "due").drop("due"), "parsed")  # at most the calendar's days
+    lake.merge_batches(usable(parsed), sessions, path, source)
+    batches = [first_batch + n for n in range(len(days))]
+    results = session.stored(batch_quality(parsed, sessions, checks, batches))
+    session.discard(spark, staged)
     return results

@@ -123,7 +123,9 @@ def macro(
     check_range(start, end)
     code = series_id.upper()
     meta = series.where(F.upper("series_id") == code)
-    if meta.isEmpty():
+    # Looked up on the small table first: the large one is then filtered by plain values.
+    names = [r.series_id for r in meta.select("series_id").distinct().collect()]
+    if not names:
         raise NotFound(f"series {code} is unknown")
-    rows = observations.where((F.upper("series_id") == code) & date_range("obs_date", start, end))
+    rows = observations.where(F.col("series_id").isin(names) & date_range("obs_date", start, end))
     return asof.observations_asof(rows, as_of).join(meta, "series_id").orderBy("obs_date")

@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from vintagelake.operators import actions, adjust, asof
 from vintagelake.operators.stats import error_stats, evenly_spaced
 
-# Acceptance gates and the default sample.
+# Acceptance gates.
 TOTAL_RETURN_TOLERANCE = 1e-3
 CORRELATION_FLOOR = 0.9999
 SPLIT_TOLERANCE = 1e-9
-SAMPLED_DATES = 50
 
 
 STATS = ("n", "mean", "median", "p95", "max", "worst_date", "correlation", "r2")
 
 
+def _sampled(pairs: DataFrame, sample: int | None) -> DataFrame:
+    return pairs if sample is None else evenly_spaced(pairs, "security_id", "session_date", sample)
+
+
 def _stats(pairs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
     """Error figures of several (ours, reference) column pairs, one row per security.
 
@@ -39,10 +42,11 @@ def _stats(pairs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
     return one.select("security_id", *[F.col(f"{k}.{c}").alias(f"{k}_{c}") for k in kinds for c in STATS])
 
 
-def self_contained(vendor: DataFrame, sample: int = SAMPLED_DATES) -> DataFrame:
+def self_contained(vendor: DataFrame, sample: int | None = None) -> DataFrame:
     """Vendor raw prices, adjusted with actions derived from the same rows, against the vendor's adjusted close.
 
-    vendor holds one row per (security, session). Split-only prices are gated only
+    vendor holds one row per (security, session). Every day is compared, or about `sample` days per
+    security where given. Split-only prices are gated only
     where no dividend was paid, since the vendor series contains dividends.
     """
     acts = actions.derive_actions(vendor).drop("warning")
@@ -52,7 +56,7 @@ def self_contained(vendor: DataFrame, sample: int = SAMPLED_DATES) -> DataFrame:
     )
     # The volume factor is the inverse of the split part of the product.
     both = both.withColumn("split_only", F.col("close") / F.col("volume_factor"))
-    pairs = evenly_spaced(both, "security_id", "session_date", sample)
+    pairs = _sampled(both, sample)
     counted = acts.groupBy("security_id").agg(
         F.count_if(F.col("action_type") == "SPLIT").alias("splits"),
         F.count_if(F.col("action_type") == "CASH_DIVIDEND").alias("dividends"),
@@ -76,7 +80,7 @@ def self_contained(vendor: DataFrame, sample: int = SAMPLED_DATES) -> DataFrame:
 
 
 def against_vendor(
-    bars: DataFrame, stored_actions: DataFrame, vendor: DataFrame, as_of: dt.date, sample: int = SAMPLED_DATES
+    bars: DataFrame, stored_actions: DataFrame, vendor: DataFrame, as_of: dt.date, sample: int | None = None
 ) -> DataFrame:
     """The lake's raw and adjusted closes against the vendor's, per security, with action coverage."""
     known = actions.effective_actions(stored_actions, as_of)
@@ -91,7 +95,7 @@ def against_vendor(
         vendor.select("security_id", "session_date", F.col("close").alias("vendor_raw"), F.col("adj_close").alias("vendor_adj")),
         ["security_id", "session_date"],
     )
-    pairs = evenly_spaced(common, "security_id", "session_date", sample)
+    pairs = _sampled(common, sample)
     inside = (F.col("lo") < F.col("ex_date")) & (F.col("ex_date") <= F.col("hi"))
     expected = (
         actions.derive_actions(vendor).join(span, "security_id")

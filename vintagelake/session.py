@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     # Dates become timestamps at UTC midnight everywhere.
@@ -44,10 +44,13 @@ def build(master: str, app: str = "vintagelake", shuffle_partitions: int = 8) ->
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by spark.checkpoint.dir.
 
-    Only where the setting is absent (tests, a laptop) is a local folder made.
+    Only a local session without the setting (tests, a laptop) gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -56,3 +59,24 @@ def shared_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that is no longer read."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Compute df once into the shared folder: its rows read back, and the folder for discard()."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Rows that no longer depend on what they were computed from."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_root(df.sparkSession))
+    return df.checkpoint()

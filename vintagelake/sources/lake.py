@@ -132,10 +132,9 @@ def _stored_months(spark: SparkSession, path: str, schema: T.StructType, months:
 
 def _replace_months(df: DataFrame, path: str, schema: T.StructType) -> None:
     """Replace months that df itself was read from: materialise in the shared folder, then overwrite."""
-    spark = df.sparkSession
-    staged = session.scratch(spark, "months")
-    df.select(*schema.names).write.parquet(staged)
-    write_months(spark.read.schema(schema).parquet(staged), path)
+    rows, staged = session.staged(df.select(*schema.names), "months")
+    write_months(rows, path)
+    session.discard(df.sparkSession, staged)
 
 
 def merge_bars(
@@ -145,15 +144,27 @@ def merge_bars(
 
     Latest knowledge, then the later batch wins per (security, session).
     """
+    return merge_batches(bars.withColumn("batch_id", F.lit(batch_id).cast("bigint")), sessions, path, source, one_month)
+
+
+def merge_batches(
+    bars: DataFrame, sessions: DataFrame, path: str, source: str, one_month: bool = False
+) -> DataFrame:
+    """As merge_bars, for bars that name their batch_id: all batches in one rewrite of the months they touch.
+
+    The stamped bars are computed once; their months and rows are read from the shared folder.
+    """
     kept, skipped = stamp_knowledge(bars, sessions)
-    new = kept.withColumn("source", F.lit(source)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    new, staged = session.staged(kept.withColumn("source", F.lit(source)), "stamped")
     months = _months_of(new)
     if one_month and len(months) > 1:
+        session.discard(bars.sparkSession, staged)
         raise ValueError(f"expected one month, got {months}")
     if months:
         old = _stored_months(bars.sparkSession, path, schemas.BARS, months)
         merged = first_per_key(old.unionByName(new.select(*old.columns)), BAR_KEY, bar_order())
         _replace_months(merged, path, schemas.BARS)
+    session.discard(bars.sparkSession, staged)
     return skipped
 
 

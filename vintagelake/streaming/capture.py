@@ -1,9 +1,9 @@
 """Capture as a stream of vendor documents.
 
 Each file is one JSON document {"symbol": ..., "rows": [...]}. A micro-batch is
-parsed, resolved and merged into the month partitions. The merge keeps the best
-version per (security, session), so a micro-batch that is replayed after a
-failure changes nothing.
+parsed once, resolved and merged into the month partitions. Its batch id comes from a
+registry keyed by run and epoch: a micro-batch that is replayed keeps its id and changes
+nothing, and a run with a new checkpoint gets later ids than all before it.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vintagelake.operators import identity
-from vintagelake.plans.capture import batch_quality
-from vintagelake.sources import bronze, lake
+from vintagelake import session
+from vintagelake.operators import identity, lineage
+from vintagelake.plans.capture import batch_quality, parsed_rows, usable
+from vintagelake.sources import lake
 
 
 def documents(spark: SparkSession, path: str) -> DataFrame:
@@ -33,23 +34,30 @@ def merge_documents(
 ) -> None:
     """One micro-batch: parse, resolve as of today, merge bars, store the quality rows under the batch."""
     found, _ = identity.resolve_batch(docs.select("symbol").distinct(), identifiers, today)
-    bars, malformed = bronze.vendor_bars(docs.join(found, "symbol"))
-    lake.merge_bars(bars, sessions, lake_path, source, batch_id)
-    quality = batch_quality(bars, malformed, sessions, checks, batch_id)
+    rows = parsed_rows(docs, found).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    parsed, path = session.staged(rows, "parsed")
+    lake.merge_batches(usable(parsed), sessions, lake_path, source)
+    quality = batch_quality(parsed, sessions, checks, [batch_id])
     (
         quality.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id").parquet(dq_path)
     )
+    session.discard(docs.sparkSession, path)
 
 
 def start(
     spark: SparkSession, bronze_path: str, identifiers: DataFrame, sessions: DataFrame, checks: DataFrame,
     lake_path: str, dq_path: str, checkpoint: str, today: dt.date, source: str = "TIINGO",
 ) -> StreamingQuery:
-    """Process everything that has arrived, then stop; the checkpoint remembers what was done."""
+    """Process everything that has arrived, then stop; the checkpoint remembers what was done.
+
+    Batch ids are kept beside the quality rows, in <dq_path>_registry.
+    """
+    registry = f"{dq_path.rstrip('/')}_registry"
 
     def step(docs: DataFrame, epoch: int) -> None:
-        merge_documents(docs, identifiers, sessions, checks, lake_path, dq_path, epoch, today, source)
+        batch = lineage.run_batch(docs.sparkSession, registry, checkpoint, epoch)
+        merge_documents(docs, identifiers, sessions, checks, lake_path, dq_path, batch, today, source)
 
     return (
         documents(spark, bronze_path)
