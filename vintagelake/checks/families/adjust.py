@@ -45,10 +45,11 @@ def _rounded(df):
 
 @check(
     "action_asof",
-    f"SELECT {_ACT} FROM actions WHERE ex_date <= DATE '{AS_OF}' AND known <= DATE '{AS_OF}'",
+    f"SELECT {_ACT} FROM actions WHERE ex_date <= DATE '{AS_OF}' AND known <= DATE '{AS_OF}' AND source <> 'BOOTSTRAP'",
 )
 def _(v: Views):
-    sources = v.actions.selectExpr("source AS name").distinct()
+    # One source is not registered: its actions are not known.
+    sources = v.actions.selectExpr("source AS name").distinct().where("name <> 'BOOTSTRAP'")
     return actions.known_actions(v.actions, AS_OF, sources).select(*v.actions.columns)
 
 
@@ -189,6 +190,7 @@ def _(v: Views):
 
 # Actions known by the end of 1997 are stored; all later ones arrive as one batch.
 _CUT = "DATE '1997-12-31'"
+_KEYED = "action_id, security_id, action_type, ex_date, source, split_from, split_to, cash_amount"
 SQL_VIEWS["append_outcomes"] = f"""
     SELECT i.*, CASE
         WHEN s.n IS NOT NULL THEN CASE WHEN s.eq THEN 'skipped_exact' ELSE 'conflict' END
@@ -227,12 +229,18 @@ def _(v: Views):
 
 @check(
     "action_append_conflicts",
-    """SELECT action_id, 'CONFLICT ' || action_type || ' ' || CAST(ex_date AS VARCHAR) || ' ' ||
-         CASE WHEN action_type = 'SPLIT' THEN split_from || '->' || split_to ELSE '$' || cash_amount END AS message
-       FROM append_outcomes WHERE outcome = 'conflict'""",
+    f"""WITH told AS (SELECT *, CASE WHEN action_type = 'SPLIT' THEN split_from || '->' || split_to ELSE '$' || cash_amount END AS t
+           FROM (SELECT {_KEYED}, 'stored' AS outcome FROM actions WHERE known <= {_CUT}
+             UNION ALL SELECT {_KEYED}, outcome FROM append_outcomes)),
+         held AS (SELECT security_id, action_type, ex_date, source, string_agg(DISTINCT t, '; ' ORDER BY t) AS stored FROM told
+           WHERE outcome IN ('stored', 'inserted') GROUP BY ALL)
+       SELECT action_id, 'CONFLICT ' || action_type || ' ' || CAST(ex_date AS VARCHAR) || ': existing [' || stored
+         || '] != incoming [' || t || ']' AS message
+       FROM told JOIN held USING (security_id, action_type, ex_date, source) WHERE outcome = 'conflict'""",
 )
 def _(v: Views):
-    return actions.conflict_messages(_outcomes(v))
+    stored = v.actions.where(F.to_date("knowledge_time") <= F.lit(dt.date(1997, 12, 31)))
+    return actions.conflict_messages(_outcomes(v), stored)
 
 
 @check(
@@ -242,7 +250,9 @@ def _(v: Views):
        FROM derived WHERE ex_date >= DATE '1995-01-01'""",
 )
 def _(v: Views):
-    found = actions.derive_actions(v.vendor.where("session_date >= DATE'1995-01-01'")).drop("warning")
+    # The full window, from the first day of the given tables instead of the fixed one.
+    start = actions.load_window(dt.date(2001, 8, 15), full=True, history_start=dt.date(1995, 1, 1))
+    found = actions.derive_actions(v.vendor.where(F.col("session_date") >= F.lit(start))).drop("warning")
     return actions.stamp_bootstrap(found)
 
 

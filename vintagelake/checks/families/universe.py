@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from vintagelake import session
+from vintagelake import seeds, session
 from vintagelake.checks.registry import check
 from vintagelake.checks.views import SQL_VIEWS, TODAY, Views
 from vintagelake.operators import universe
@@ -275,12 +275,14 @@ SQL_VIEWS["overrides"] = """
         CASE WHEN p_size % 5 = 0 THEN 'excluded_manual_review' ELSE 'new_identity' END AS decision
       FROM part WHERE p_brand = 'Brand#7') x JOIN corroborated c ON c.ticker = x.ticker
     WHERE c.vendor_start IS NOT NULL OR x.decision LIKE 'excluded%'"""
-SQL_VIEWS["decided"] = """
-    SELECT c.*, coalesce(o.decision, CASE corroboration WHEN 'add:overlap_ok' THEN 'overlap_ok'
+_BY_RULE = """CASE corroboration WHEN 'add:overlap_ok' THEN 'overlap_ok'
         WHEN 'passthrough:translate' THEN CASE WHEN vendor_start IS NULL THEN 'excluded_blank' ELSE 'translate' END
         WHEN 'review:modern_reuse' THEN 'excluded_reuse' WHEN 'review:blank_window' THEN 'excluded_blank'
         WHEN 'passthrough:unavailable' THEN 'excluded_unavailable' WHEN 'passthrough:REVIEW' THEN 'excluded_review'
-        ELSE 'excluded_other' END) AS decision
+        ELSE 'excluded_other' END"""
+_HAND = ", ".join(f"['{t}', '{d}']" for d, names in seeds.HAND_DECISIONS.items() for t in names)
+SQL_VIEWS["decided"] = f"""
+    SELECT c.*, coalesce(o.decision, {_BY_RULE}) AS decision
     FROM corroborated c LEFT JOIN overrides o ON o.ticker = c.ticker"""
 _CLS = """ticker, intervals, CAST(index_first AS VARCHAR) AS index_first, CAST(index_last AS VARCHAR) AS index_last,
     multi_interval, vendor_status, CAST(vendor_start AS VARCHAR) AS vendor_start, CAST(vendor_end AS VARCHAR) AS vendor_end,
@@ -340,11 +342,31 @@ def _(v: Views):
 
 @check(
     "univ_candidate_manifest",
-    f"""SELECT ticker, 'EQUITY' AS security_type, CAST(vendor_start AS VARCHAR) AS valid_from,
-          CAST({_KEEP_END} AS VARCHAR) AS valid_to, decision FROM decided WHERE {_ADMIT}""",
+    f"""SELECT ticker, 'EQUITY' AS security_type, 'vendor ' || ticker AS name, CAST(vendor_start AS VARCHAR) AS valid_from,
+          CAST({_KEEP_END} AS VARCHAR) AS valid_to, decision,
+          CASE WHEN ticker IN (SELECT ticker FROM overrides) THEN 'decided by hand' ELSE 'by rule: ' || corroboration END AS rationale
+        FROM decided WHERE {_ADMIT}""",
 )
 def _(v: Views):
-    return universe.candidate_manifest(_decided(v))
+    return universe.candidate_manifest(_decided(v).withColumn("vendor_name", F.concat(F.lit("vendor "), "ticker")))
+
+
+@check(
+    "univ_decide_by_hand",
+    f"""WITH named AS (SELECT c.* REPLACE (coalesce(h.ticker, c.ticker) AS ticker), h.decision AS hand FROM corroborated c
+           LEFT JOIN (SELECT 'W' || (1 + i) AS w, t[1] AS ticker, t[2] AS decision FROM (SELECT unnest([{_HAND}]) AS t,
+             generate_subscripts([{_HAND}], 1) - 1 AS i)) h ON h.w = c.ticker)
+        SELECT ticker, corroboration, coalesce(hand, {_BY_RULE}) AS decision,
+          CASE WHEN hand IS NOT NULL THEN 'decided by hand' ELSE 'by rule: ' || corroboration END AS rationale
+        FROM named WHERE vendor_start IS NOT NULL""",
+)
+def _(v: Views):
+    # The first candidates get the tickers that are decided by hand. Undated ones can't be admitted and are left out.
+    order = [t for names in seeds.HAND_DECISIONS.values() for t in names]
+    names = v.spark.createDataFrame([(f"W{1 + i}", t) for i, t in enumerate(order)], "ticker string, name string")
+    dated = universe.corroborate(_classified(v)).where("vendor_start IS NOT NULL").join(names, "ticker", "left")
+    decided = universe.decide(dated.withColumn("ticker", F.coalesce("name", "ticker")).drop("name"), None, TODAY)
+    return decided.select("ticker", "corroboration", "decision", "rationale")
 
 
 @check(

@@ -146,17 +146,31 @@ def outcome_tallies(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("source", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-def conflict_messages(outcomes: DataFrame) -> DataFrame:
-    """Readable line for each conflicting action."""
-    told = F.when(
-        F.col("action_type") == "SPLIT", F.concat_ws("->", "split_from", "split_to")
-    ).otherwise(F.concat(F.lit("$"), F.col("cash_amount")))
-    return outcomes.where(F.col("outcome") == "conflict").select(
-        "action_id",
-        F.concat_ws(" ", F.lit("CONFLICT"), "action_type", "ex_date", told).alias("message"),
+def _told() -> Column:
+    """Payload of an action as text."""
+    return F.when(F.col("action_type") == "SPLIT", F.concat_ws("->", "split_from", "split_to")).otherwise(
+        F.concat(F.lit("$"), F.col("cash_amount"))
     )
 
 
+def conflict_messages(outcomes: DataFrame, existing: DataFrame) -> DataFrame:
+    """Readable line for each conflicting action: what is stored under its key, and what came in.
+
+    Stored are the existing rows and those that the batch inserts; only keys in conflict are looked up.
+    """
+    key = [*ACTION_KEY, "source"]
+    bad = outcomes.where(F.col("outcome") == "conflict")
+    pay = [*key, "split_from", "split_to", "cash_amount"]
+    held = existing.select(*pay).unionByName(outcomes.where(F.col("outcome") == "inserted").select(*pay))
+    stored = (
+        held.join(bad.select(*key).distinct(), key, "left_semi")
+        .select(*key, _told().alias("told")).distinct()
+        .groupBy(*key).agg(F.array_join(F.sort_array(F.collect_list("told")), "; ").alias("stored"))
+    )
+    line = F.format_string("CONFLICT %s %s: existing [%s] != incoming [%s]", "action_type", F.col("ex_date").cast("string"), "stored", _told())
+    return bad.join(stored, key).select("action_id", line.alias("message"))
+
+
 # Start of the full load and length of the rolling window.
 HISTORY_START = dt.date(2016, 1, 1)
 ROLLING_DAYS = 10
@@ -174,8 +188,9 @@ def stamp_canonical(actions: DataFrame, ingested_at: dt.datetime, source: str =
     return actions.withColumn("knowledge_time", F.lit(ingested_at)).withColumn("source", F.lit(source))
 
 
-def load_window(today: dt.date, full: bool) -> dt.date:
-    return HISTORY_START if full else today - dt.timedelta(days=ROLLING_DAYS)
+def load_window(today: dt.date, full: bool, history_start: dt.date = HISTORY_START) -> dt.date:
+    """First ex-date of a load: the whole history, or the last days."""
+    return history_start if full else today - dt.timedelta(days=ROLLING_DAYS)
 
 
 def load_status(symbols: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vintagelake import seeds
 from vintagelake.functions.temporal import FAR_FUTURE, listed_on
 from vintagelake.operators.identity import current_symbol_segments, resolve, resolve_on, tickers
 from vintagelake.operators.intervals import attach
@@ -213,21 +214,13 @@ def corroborate(classified: DataFrame) -> DataFrame:
     return classified.withColumn("corroboration", verdict)
 
 
-# Tickers decided by hand, by decision.
-OVERRIDES = {
-    "excluded_reuse": ["HOT", "HONA", "PEAK", "WRK", "SOLS", "CAM", "GENZ", "LLL", "NVLS", "PCL", "TSS", "EDS"],
-    "new_identity": ["H", "MIR", "DXC", "AAL", "NE"],
-    "verified_continuous": ["AN", "CE", "COV", "FL", "FMC", "GAS", "GGP", "HP", "KSU", "MXIM", "OI", "RIG"],
-    "excluded_manual_review": ["CBE", "MEE"],
-    "excluded_unavailable": ["ESV", "HRS"],
-}
 ADMITTING = ("new_identity", "verified_continuous", "overlap_ok", "translate")
 
 
-def decide(corroborated: DataFrame, overrides: DataFrame, today: dt.date) -> DataFrame:
-    """Decision per candidate: a decision by hand first, then the corroboration verdict.
+def decide(corroborated: DataFrame, overrides: DataFrame | None, today: dt.date) -> DataFrame:
+    """Decision per candidate with its rationale: a decision by hand first, then the corroboration verdict.
 
-    overrides: ticker, decision. An admitted candidate without a start date is an
+    overrides: ticker, decision; None stands for the fixed decisions of seeds.hand_decisions. An admitted candidate without a start date is an
     error, since no date may be invented for it.
     """
     verdict, start = F.col("corroboration"), F.col("vendor_start")
@@ -240,8 +233,12 @@ def decide(corroborated: DataFrame, overrides: DataFrame, today: dt.date) -> Dat
         .when(verdict == "passthrough:REVIEW", "excluded_review")
         .otherwise("excluded_other")
     )
+    if overrides is None:
+        overrides = seeds.hand_decisions(corroborated.sparkSession)
     by_hand = overrides.select("ticker", F.col("decision").alias("_hand"))
-    decided = corroborated.join(by_hand, "ticker", "left").withColumn("decision", F.coalesce("_hand", by_rule)).drop("_hand")
+    decided = corroborated.join(by_hand, "ticker", "left").withColumn("decision", F.coalesce("_hand", by_rule))
+    reason = F.when(F.col("_hand").isNotNull(), "decided by hand").otherwise(F.concat(F.lit("by rule: "), verdict))
+    decided = decided.withColumn("rationale", reason).drop("_hand")
     admitted = F.col("decision").isin(*ADMITTING)
     undated = F.raise_error(F.concat(F.lit("admitted without a start date: "), F.col("ticker"))).cast("boolean")
     active = F.col("vendor_end") >= F.lit(today - dt.timedelta(days=ACTIVE_TOLERANCE_DAYS))
@@ -253,8 +250,10 @@ def decide(corroborated: DataFrame, overrides: DataFrame, today: dt.date) -> Dat
 
 
 def candidate_manifest(decided: DataFrame) -> DataFrame:
+    """Admitted candidates with what led to their admission; a vendor name where the candidates carry one."""
+    name = F.col("vendor_name") if "vendor_name" in decided.columns else F.lit(None).cast("string")
     return decided.where("admitted").select(
-        "ticker", F.lit("EQUITY").alias("security_type"), "valid_from", "valid_to", "decision"
+        "ticker", F.lit("EQUITY").alias("security_type"), name.alias("name"), "valid_from", "valid_to", "decision", "rationale"
     )
 
 

@@ -202,3 +202,18 @@ def values_sql(rows: list[tuple], columns: str) -> str:
 
     body = ", ".join("(" + ", ".join(lit(x) for x in r) + ")" for r in rows)
     return f"SELECT * FROM (VALUES {body}) t({columns})"
+
+
+# Tickers decided by hand, by decision.
+HAND_DECISIONS = {
+    "excluded_reuse": ["HOT", "HONA", "PEAK", "WRK", "SOLS", "CAM", "GENZ", "LLL", "NVLS", "PCL", "TSS", "EDS"],
+    "new_identity": ["H", "MIR", "DXC", "AAL", "NE"],
+    "verified_continuous": ["AN", "CE", "COV", "FL", "FMC", "GAS", "GGP", "HP", "KSU", "MXIM", "OI", "RIG"],
+    "excluded_manual_review": ["CBE", "MEE"],
+    "excluded_unavailable": ["ESV", "HRS"],
+}
+
+
+def hand_decisions(spark: SparkSession) -> DataFrame:
+    """ticker, decision."""
+    return spark.createDataFrame([(t, d) for d, names in HAND_DECISIONS.items() for t in names], "ticker string, decision string")
