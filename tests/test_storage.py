@@ -112,6 +112,19 @@ def test_filters_reach_the_scan(spark):
     assert "symbol" not in re.search(r"ReadSchema: (.*)", _plan(narrow)).group(1)
 
 
+def test_nightly_reads_only_the_look_back(spark):
+    days = [D(2018, 1, 1) + dt.timedelta(days=i) for i in range(0, 900, 3)]
+    path = _tmp() + "/months"
+    lake.write_months(bars(spark, [bar(1, d, 1.0, utc(d.year, d.month, d.day)) for d in days]), path)
+    cal = sessions(spark, days)
+    ids, acts = identifiers(spark, [(1, "A", D(2000, 1, 1), None)]), actions(spark, [(1, "SPLIT", days[-1], 1.0, 2.0, None)])
+    start = gold_plan.nightly_plan(cal, D(2020, 6, 15), 20).first().lookback_start
+    rows = gold_plan.nightly(lake.scan_months(spark, path, schemas.BARS, start), acts, ids, cal, D(2020, 6, 15), lookback=20)
+    assert {(r.session_date.year, r.session_date.month) for r in rows.collect()} == {(2020, 6)}
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", _plan(rows)).group(1)
+    assert "year" in filters and "month" in filters
+
+
 def test_registry_files(spark):
     root = _tmp()
     with open(root + "/m.csv", "w") as f:

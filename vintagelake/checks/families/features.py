@@ -1,13 +1,16 @@
 """Price features and the feature refresh."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
+from vintagelake import schemas, session
 from vintagelake.checks.registry import check
 from vintagelake.checks.views import AS_OF, SQL_VIEWS, Views, settle, settle_sql
 from vintagelake.operators import asof, features
 from vintagelake.plans import gold as gold_plan
+from vintagelake.sources import lake
 
 SQL_VIEWS["feat"] = """
     SELECT *, close / lag(close, 1) OVER w - 1 AS return_1d, ln(close / lag(close, 1) OVER w) AS log_return_1d,
@@ -166,6 +169,29 @@ def _(v: Views):
     return gold_plan.nightly_plan(v.sessions, dt.date(2000, 4, 4))
 
 
+# The same features over bars that begin with the look-back.
+SQL_VIEWS["night_bars"] = """
+    SELECT * FROM adjusted WHERE session_date >= (SELECT min(session_date) FROM (SELECT session_date FROM sessions
+      WHERE session_date < DATE '2000-03-01' ORDER BY session_date DESC LIMIT 400))"""
+SQL_VIEWS["night0"] = re.sub(r"\badjusted\b", "night_bars", SQL_VIEWS["wide0"])
+SQL_VIEWS["night"] = re.sub(r"\bwide0\b", "night0", re.sub(r"\badjusted\b", "night_bars", SQL_VIEWS["wide"]))
+
+
+@check(
+    "gold_nightly",
+    f"""SELECT {GOLD_SQL} FROM night WHERE session_date >= DATE '2000-03-01' AND session_date < DATE '2000-05-01'""",
+)
+def _(v: Views):
+    # From the stored lake, so that the bound reaches its month partitions.
+    path = session.scratch(v.spark, "bars")
+    lake.write_months(v.bars, path)
+    start = gold_plan.nightly_plan(v.sessions, dt.date(2000, 4, 4), gold_plan.EMA_LOOKBACK).first().lookback_start
+    stored = lake.scan_months(v.spark, path, schemas.BARS, start)
+    return rounded_gold(
+        gold_plan.nightly(stored, v.actions, v.identifiers, v.sessions, dt.date(2000, 4, 4), as_of=AS_OF)
+    )
+
+
 @check(
     "gold_asof",
     f"""SELECT {GOLD_SQL} FROM wide WHERE known <= DATE '2000-03-31'

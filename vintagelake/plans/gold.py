@@ -65,3 +65,18 @@ def nightly_plan(sessions: DataFrame, today: dt.date, lookback: int = PRICE_LOOK
     return before.select("lookback_start", F.explode(listed).alias("p")).select(
         "lookback_start", "p.year", "p.month"
     )
+
+
+def nightly(
+    bars: DataFrame, actions: DataFrame, identifiers: DataFrame, sessions: DataFrame, today: dt.date,
+    as_of: dt.date | None = None, lookback: int = EMA_LOOKBACK, knowledge: str = "own",
+) -> DataFrame:
+    """The nightly refresh: months and first session as planned, so older bars are never read.
+
+    With bars from lake.scan_months the date bound prunes month partitions. The plan is two rows at most.
+    """
+    plan = nightly_plan(sessions, today, lookback).collect()
+    months = [(r.year, r.month) for r in plan]
+    return refresh(
+        bars, actions, identifiers, as_of or today, start=plan[0].lookback_start, months=months, knowledge=knowledge
+    )
