@@ -13,6 +13,7 @@ from vintagelake.operators import asof, calendar, stats
 from vintagelake.operators.select import first_per_key
 from vintagelake.plans import capture, validators
 from vintagelake.sources import bronze, lake
+from vintagelake.streaming import capture as stream
 
 NOW = dt.datetime(2000, 6, 30, 20, tzinfo=dt.timezone.utc)
 _DAY = "CAST(session_date AS VARCHAR) AS session_date"
@@ -231,6 +232,26 @@ def _(v: Views):
     )
 
 
+@check(
+    "ingest_stream",
+    """SELECT l_suppkey AS security_id, CAST(d AS VARCHAR) AS session_date, max(l_quantity) AS close,
+         strftime(s.close_utc, '%Y-%m-%d %H:%M:%S') AS knowledge_time, 1 AS batch_id
+       FROM (SELECT *, CAST(l_shipdate AS DATE) AS d FROM lineitem) JOIN sessions s ON s.session_date = d
+       WHERE l_linenumber IN (1, 7) GROUP BY l_suppkey, d, s.close_utc""",
+)
+def _(v: Views):
+    # All documents have arrived, one on each line; the stream takes them as one micro-batch and ends.
+    root = session.scratch(v.spark, "stream")
+    line = F.concat(F.lit('{"symbol": "'), "symbol", F.lit('", "rows": '), "text", F.lit("}"))
+    _vendor_docs(v).select(line.alias("value")).write.text(f"{root}/inbox")
+    query = stream.start(
+        v.spark, f"{root}/inbox", _symbol_ids(v), v.sessions, seeds.dq_checks(v.spark), f"{root}/lake", f"{root}/dq",
+        f"{root}/checkpoint", dt.date(2002, 1, 1), per_line=True,
+    )
+    query.awaitTermination()
+    return lake.scan_bars(v.spark, f"{root}/lake").select("security_id", "session_date", "close", "knowledge_time", "batch_id")
+
+
 @check(
     "ingest_capture_sessions",
     """SELECT l_suppkey AS security_id, 'S' || l_suppkey AS symbol, CAST(d AS VARCHAR) AS session_date, max(l_quantity) AS close,

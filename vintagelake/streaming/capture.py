@@ -1,6 +1,6 @@
 """Capture as a stream of vendor documents.
 
-Each file is one JSON document {"symbol": ..., "rows": [...]}. A micro-batch is
+Each file, or each line of a file, is one JSON document {"symbol": ..., "rows": [...]}. A micro-batch is
 parsed once, resolved and merged into the month partitions. Its batch id comes from a
 registry keyed by run and epoch: a micro-batch that is replayed keeps its id and changes
 nothing, and a run with a new checkpoint gets later ids than all before it.
@@ -20,9 +20,9 @@ from vintagelake.plans.capture import batch_quality, parsed_rows, usable
 from vintagelake.sources import lake
 
 
-def documents(spark: SparkSession, path: str) -> DataFrame:
+def documents(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """Stream of whole documents in arrival order."""
-    raw = spark.readStream.format("text").option("wholetext", "true").load(path)
+    raw = spark.readStream.format("text").option("wholetext", str(not per_line).lower()).load(path)
     return raw.select(
         F.get_json_object("value", "$.symbol").alias("symbol"), F.get_json_object("value", "$.rows").alias("text")
     )
@@ -47,7 +47,7 @@ def merge_documents(
 
 def start(
     spark: SparkSession, bronze_path: str, identifiers: DataFrame, sessions: DataFrame, checks: DataFrame,
-    lake_path: str, dq_path: str, checkpoint: str, today: dt.date, source: str = "TIINGO",
+    lake_path: str, dq_path: str, checkpoint: str, today: dt.date, source: str = "TIINGO", per_line: bool = False,
 ) -> StreamingQuery:
     """Process everything that has arrived, then stop; the checkpoint remembers what was done.
 
@@ -60,7 +60,7 @@ def start(
         merge_documents(docs, identifiers, sessions, checks, lake_path, dq_path, batch, today, source)
 
     return (
-        documents(spark, bronze_path)
+        documents(spark, bronze_path, per_line)
         .writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
