@@ -179,18 +179,14 @@ SQL_VIEWS["verdict"] = """
 
 
 def _anomalies(v: Views):
+    """Bars marked with both anomalies."""
     from vintagelake.operators.calendar import with_close
 
-    label = F.concat_ws(" ", "symbol", "session_date").alias("label")
-    off = with_close(v.bars, v.sessions).where("close_utc IS NULL").select(
-        F.lit("bars_non_session_date").alias("check_name"), "batch_id", label
+    marked = with_close(v.bars, v.sessions).select(
+        "batch_id", F.concat_ws(" ", "symbol", "session_date").alias("label"),
+        F.col("close_utc").isNull().alias("bars_non_session_date"), F.expr("high < low OR open < low").alias("bars_malformed_row"),
     )
-    bad = v.bars.where("high < low OR open < low").select(
-        F.lit("bars_malformed_row").alias("check_name"), "batch_id", label
-    )
-    sizes = v.bars.groupBy("batch_id").agg(F.count(F.lit(1)).alias("batch_size"))
-    names = F.array(F.lit("bars_non_session_date"), F.lit("bars_malformed_row"))
-    return off.unionByName(bad), sizes.withColumn("check_name", F.explode(names))
+    return marked, ["bars_non_session_date", "bars_malformed_row"]
 
 
 @check(

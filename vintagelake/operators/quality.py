@@ -146,11 +146,16 @@ def gap_dates(latest: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def gap_totals(latest: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Interior gaps over all securities; a gap before a first bar cannot occur and is checked to be 0."""
-    missing = gap_dates(latest, sessions)
-    return missing.agg(
-        F.count(F.lit(1)).alias("interior_total"),
-        F.count_if(F.col("session_date") < F.col("first_bar")).alias("listing_era_leak"),
+    """Number of interior gaps over all securities, from a running session count.
+
+    listing_era_leak counts securities with more sessions than their window holds, 0 unless windows are wrong.
+    """
+    own = latest.join(_session_flags(sessions), "session_date", "left").groupBy("security_id").agg(
+        F.min("session_date").alias("first_bar"), F.max("session_date").alias("last_bar"), F.count("is_session").alias("observed")
+    )
+    return _with_expected(own, sessions).agg(
+        F.coalesce(F.sum(F.greatest(F.col("missing"), F.lit(0))), F.lit(0)).alias("interior_total"),
+        F.count_if(F.col("missing") < 0).alias("listing_era_leak"),
     )
 
 
@@ -254,25 +259,34 @@ def verdicts(counts: DataFrame) -> DataFrame:
     )
 
 
-def anomaly_counts(anomalies: DataFrame, batches: DataFrame, sample: int = SAMPLE_CAP) -> DataFrame:
+def anomaly_counts(
+    rows: DataFrame, names: list[str], counts: Column | None = None, sample: int = SAMPLE_CAP, batches: DataFrame | None = None
+) -> DataFrame:
     """Anomalies per (check, batch) beside the batch size, clean batches included.
 
-    anomalies: check_name, batch_id, label. batches: check_name, batch_id, batch_size.
-    The sample keeps the first labels; the per-batch limit runs before the shuffle,
-    so the collected list never exceeds the cap.
+    rows: batch_id, label, and a flag for each check name; null is false. counts tells which rows make up the
+    batch size (all by default). batches: batch_id of batches to report even without rows. One
+    grouping gives sizes and counts; the sample keeps the first labels, and its limit runs before the
+    shuffle, so the collected list never exceeds it.
     """
+    size = F.count(F.lit(1)) if counts is None else F.count_if(counts)
+    one = rows.groupBy("batch_id").agg(size.alias("batch_size"), *[F.count_if(F.col(n)).alias(n) for n in names])
+    if batches is not None:
+        one = batches.join(one, "batch_id", "left")
+    zero = F.lit(0)
+    each = F.array(*[F.struct(F.lit(n).alias("check_name"), F.coalesce(n, zero).alias("anomalies")) for n in names])
+    total = one.select("batch_id", F.coalesce("batch_size", zero).alias("batch_size"), F.explode(each).alias("c")).select(
+        "c.check_name", "batch_id", "batch_size", "c.anomalies"
+    )
     key = ["check_name", "batch_id"]
-    total = anomalies.groupBy(*key).agg(F.count(F.lit(1)).alias("anomalies"))
+    hit = F.filter(F.array(*[F.when(F.col(n), n) for n in names]), lambda x: x.isNotNull())
+    found = rows.where(F.size(hit) > 0).select("batch_id", "label", F.explode(hit).alias("check_name"))
     head = (
-        first_n_per_key(anomalies, key, [F.col("label")], sample)
+        first_n_per_key(found, key, [F.col("label")], sample)
         .groupBy(*key)
         .agg(F.sort_array(F.collect_list("label")).alias("sample"))
     )
-    return (
-        batches.join(total, key, "left").join(head, key, "left")
-        .withColumn("anomalies", F.coalesce("anomalies", F.lit(0)))
-        .withColumn("sample", F.coalesce("sample", F.array().cast("array<string>")))
-    )
+    return total.join(head, key, "left").withColumn("sample", F.coalesce("sample", F.array().cast("array<string>")))
 
 
 def dq_results(counts: DataFrame, checks: DataFrame) -> DataFrame:

@@ -67,18 +67,17 @@ def batch_quality(rows: DataFrame, sessions: DataFrame, checks: DataFrame, batch
     rows: parsed rows with their batch_id. A batch without rows is reported with size 0.
     """
     timed = calendar.with_close(rows, sessions)
-    kind = F.when(F.col("reason").isNotNull(), MALFORMED).when(F.col("close_utc").isNull(), NON_SESSION)
-    label = F.when(F.col("reason").isNotNull(), F.concat_ws(" ", "symbol", "raw_date", "reason")).otherwise(
+    refused = F.col("reason").isNotNull()
+    label = F.when(refused, F.concat_ws(" ", "symbol", "raw_date", "reason")).otherwise(
         F.concat_ws(" ", "symbol", F.col("session_date").cast("string"), F.lit("non_session_date"))
     )
-    anomalies = timed.select(kind.alias("check_name"), "batch_id", label.alias("label")).where("check_name IS NOT NULL")
-    sizes = rows.groupBy("batch_id").agg(F.count_if(F.col("reason").isNull()).alias("batch_size"))
-    named = rows.sparkSession.createDataFrame([(b,) for b in batches], "batch_id bigint")
-    size = named.join(sizes, "batch_id", "left").select(
-        F.explode(F.array(F.lit(NON_SESSION), F.lit(MALFORMED))).alias("check_name"), "batch_id",
-        F.coalesce("batch_size", F.lit(0)).alias("batch_size"),
+    marked = timed.select(
+        "batch_id", label.alias("label"), (~refused & F.col("close_utc").isNull()).alias(NON_SESSION),
+        refused.alias(MALFORMED),
     )
-    return quality.dq_results(quality.anomaly_counts(anomalies, size), checks)
+    named = rows.sparkSession.createDataFrame([(b,) for b in batches], "batch_id bigint")
+    counts = quality.anomaly_counts(marked, [NON_SESSION, MALFORMED], ~F.col(MALFORMED), batches=named)
+    return quality.dq_results(counts, checks)
 
 
 def backfill(
