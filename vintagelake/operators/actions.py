@@ -27,6 +27,15 @@ def _factor() -> Column:
     return F.when(f == 0, F.lit(1.0)).otherwise(f)
 
 
+def row_split() -> tuple[Column, Column]:
+    """Of a vendor row: whether it carries a split, and the price factor of that split (null without one)."""
+    f = _factor()
+    is_split = F.abs(f - 1.0) > SPLIT_EPSILON
+    ratio = best_ratio(f)
+    factor = F.when(ratio_is_exact(ratio, f), ratio["d"] / ratio["n"]).otherwise(1.0 / f)
+    return is_split, F.when(is_split, factor)
+
+
 def derive_actions(vendor: DataFrame) -> DataFrame:
     """Splits and cash dividends found in vendor daily rows, one row per action.
 

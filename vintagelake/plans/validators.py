@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vintagelake.functions.pricing import dividend_price_factor
 from vintagelake.operators import actions, adjust, asof
 from vintagelake.operators.stats import error_stats, evenly_spaced
 
@@ -45,22 +46,31 @@ def _stats(pairs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
 def self_contained(vendor: DataFrame, sample: int | None = None) -> DataFrame:
     """Vendor raw prices, adjusted with actions derived from the same rows, against the vendor's adjusted close.
 
-    vendor holds one row per (security, session). Every day is compared, or about `sample` days per
+    vendor holds one row per (security, session), and an action lies on its day's row: prices are adjusted by
+    running products over a security's rows, without a join. Every day is compared, or about `sample` days per
     security where given. Split-only prices are gated only
     where no dividend was paid, since the vendor series contains dividends.
     """
-    acts = actions.derive_actions(vendor).drop("warning")
-    closes = vendor.select("security_id", "session_date", "close", "adj_close")
-    both = adjust.with_factors(closes, acts, "total_return").withColumn(
-        "total_return", F.col("close") * F.col("price_factor")
+    is_split, split = actions.row_split()
+    pays = F.col("div_cash") > 0
+    line = Window.partitionBy("security_id").orderBy("session_date").rowsBetween(Window.unboundedPreceding, -1)
+    # From the end of the line backwards: the product over strictly later days.
+    later = Window.partitionBy("security_id").orderBy(F.col("session_date").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce("_split", F.lit(1.0))
+    paid = F.when(pays, dividend_price_factor(F.last("close", ignorenulls=True).over(line), F.col("div_cash")))
+    both = (
+        vendor.withColumn("_split", split)
+        .withColumn("_own", own)
+        .withColumn("_all", own * F.coalesce(paid, F.lit(1.0)))
+        .withColumn("_splits", F.coalesce(F.product("_own").over(later), F.lit(1.0)))
+        .select(
+            "security_id", "session_date", "close", "adj_close",
+            (F.col("close") * F.coalesce(F.product("_all").over(later), F.lit(1.0))).alias("total_return"),
+            (F.col("close") * F.col("_splits")).alias("split_only"),
+        )
     )
-    # The volume factor is the inverse of the split part of the product.
-    both = both.withColumn("split_only", F.col("close") / F.col("volume_factor"))
     pairs = _sampled(both, sample)
-    counted = acts.groupBy("security_id").agg(
-        F.count_if(F.col("action_type") == "SPLIT").alias("splits"),
-        F.count_if(F.col("action_type") == "CASH_DIVIDEND").alias("dividends"),
-    )
+    counted = vendor.groupBy("security_id").agg(F.count_if(is_split).alias("splits"), F.count_if(pays).alias("dividends"))
     return (
         _stats(pairs, {"split": ("split_only", "adj_close"), "total": ("total_return", "adj_close")})
         .join(counted, "security_id", "left")
