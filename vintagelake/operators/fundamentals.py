@@ -84,34 +84,23 @@ def _pick() -> list:
 
 
 def group_summary(facts: DataFrame) -> DataFrame:
-    """One row per (filing, concept, period) with all that the policy needs.
+    """One row per (filing, concept, period) with all that the policy needs, in one aggregation.
 
-    Tags are reduced first, then groups: both are plain partial aggregates. The
-    only list holds one entry per distinct tag, which the alias table bounds.
+    A tag has one confidence, so the strongest tags are those of the rows with the best rank. The set of tags
+    is bounded by the alias table.
     """
     ranked = facts.withColumn("_rank", confidence_rank())
-    first = F.struct("ordinal", "value", "tag")
     choice = F.struct("priority", "tag", "ordinal", *_pick())
-    per_tag = ranked.groupBy(*GROUP, "tag").agg(
+    return ranked.groupBy(*GROUP).agg(
+        F.size(F.collect_set("tag")).cast("bigint").alias("n_tags"),
         F.min(F.struct("value", "ordinal", "tag", "unit")).alias("lo"),
         F.max(F.struct("value", (-F.col("ordinal")).alias("ordinal"), "tag")).alias("hi"),
-        F.min(first).alias("first"),
         F.min(choice).alias("choice"),
-        F.min("_rank").alias("rank"),
+        F.min(F.struct(F.col("_rank").alias("rank"), choice.alias("choice"))).alias("strong"),
+        F.max(F.struct((-F.col("_rank")).alias("r"), "tag")).alias("last_strong"),
+        F.min(F.struct(F.col("_rank").alias("rank"), "tag")).alias("first_strong"),
         F.max("prefer_higher_confidence").alias("prefer"),
     )
-    strong = F.struct("rank", "choice")
-    return per_tag.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("n_tags"),
-        F.min("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-        F.sort_array(F.collect_list("first")).alias("firsts"),
-        F.min("choice").alias("choice"),
-        F.min(strong).alias("strong"),
-        F.max(F.struct((-F.col("rank")).alias("r"), "tag")).alias("last_strong"),
-        F.min(F.struct("rank", "tag")).alias("first_strong"),
-        F.max("prefer").alias("prefer"),
-    )
 
 
 def resolve_groups(facts: DataFrame) -> DataFrame:
@@ -135,11 +124,19 @@ def chosen_facts(facts: DataFrame) -> DataFrame:
 
 def conflicts(facts: DataFrame) -> DataFrame:
     """The two disagreeing facts: smallest and largest value, or the first differently tagged pair."""
+    bad = resolve_groups(facts).where(F.col("resolution") == "conflict")
     same = F.col("lo.tag") == F.col("hi.tag")
+    # Only groups whose extremes have one tag need their first facts by tag.
+    key = [F.col(f"f.{c}").eqNullSafe(F.col(f"g.{c}")) for c in GROUP]
+    per_tag = (
+        facts.alias("f").join(bad.where(same).select(*GROUP).alias("g"), key, "left_semi")
+        .groupBy(*GROUP, "tag").agg(F.min(F.struct("ordinal", "value", "tag")).alias("first"))
+        .groupBy(*GROUP).agg(F.sort_array(F.collect_list("first")).alias("firsts"))
+    )
+    key = [F.col(f"b.{c}").eqNullSafe(F.col(f"t.{c}")) for c in GROUP]
     a, b = F.col("firsts")[0], F.col("firsts")[1]
-    bad = resolve_groups(facts).where(F.col("resolution") == "conflict")
-    return bad.select(
-        *GROUP,
+    return bad.alias("b").join(per_tag.alias("t"), key, "left").select(
+        *[F.col(f"b.{c}").alias(c) for c in GROUP],
         F.when(same, a["tag"]).otherwise(F.col("lo.tag")).alias("tag_a"),
         F.when(same, a["value"]).otherwise(F.col("lo.value")).alias("value_a"),
         F.when(same, b["tag"]).otherwise(F.col("hi.tag")).alias("tag_b"),
