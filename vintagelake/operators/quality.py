@@ -202,14 +202,13 @@ def run_all(bars: DataFrame, securities: DataFrame, sessions: DataFrame, today:
         F.sum("zero_volume").alias("zero_volume"),
         F.sum(F.greatest(F.col("missing"), F.lit(0))).alias("interior_gaps"),
         F.count_if(F.col("missing") < 0).alias("listing_era_leak"),
-        F.max("last_bar").alias("lake_max"),
     )
     seeded = securities.agg(F.count(F.lit(1)).alias("seeded"))
     dup = duplicates(bars).agg(F.count(F.lit(1)).alias("duplicates"))
     one = beside(totals, seeded, dup)
     upto = session_index(sessions).where(F.col("day") <= F.lit(today)).agg(F.max("sessions_upto").alias("upto_today"))
     at_max = (
-        beside(session_index(sessions), totals.select("lake_max"))
+        beside(session_index(sessions), bars.agg(F.max("session_date").alias("lake_max")))
         .where(F.col("day") <= F.col("lake_max")).agg(F.max("sessions_upto").alias("upto_lake"))
     )
     one = beside(one, upto, at_max)
