@@ -23,8 +23,8 @@ SHINGLE = 5
 COLLECTION = 12  # keys in each of the two collections
 PER_KEY = 2  # minhashes in each key
 PERCENT = 75
-# Members of a table that are compared in one block; more members make more blocks.
-BLOCK = 512
+# Shingles in a block of documents that are compared with another block at once.
+BLOCK_ITEMS = 1 << 17
 # Equal minhashes below which a pair counts as unlike: 4.7 standard deviations under the mean at 75 %.
 LEAST_EQUAL = 22
 
@@ -71,15 +71,22 @@ def _sketch(width: int):
     return run
 
 
+def _collection(sign: np.ndarray) -> np.ndarray:
+    """Keys of both collections, each mixed from its minhashes (uint64)."""
+    part = np.zeros((len(sign), 2 * COLLECTION), np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(PER_KEY):
+            part = mix(part + sign[:, j::PER_KEY] + seeds(2 * COLLECTION, 100 + j))
+    return part
+
+
 def _table_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
     """A row per document and table: all pairs of an A key and a B key."""
     n = batch.num_rows
     sign = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint32).reshape(n, -1).astype(np.uint64)
-    part = np.zeros((n, 2 * COLLECTION), np.uint64)
+    part = _collection(sign)
+    a, b = part[:, :COLLECTION], part[:, COLLECTION:]
     with np.errstate(over="ignore"):
-        for j in range(PER_KEY):
-            part = mix(part + sign[:, j::PER_KEY] + seeds(2 * COLLECTION, 100 + j))
-        a, b = part[:, :COLLECTION], part[:, COLLECTION:]
         keys = mix(a[:, :, None] * np.uint64(3) + b[:, None, :]).reshape(-1).view(np.int64)
     each = COLLECTION * COLLECTION
     return pa.RecordBatch.from_arrays(
@@ -132,25 +139,132 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return rows.sortWithinPartitions("a").mapInArrow(_confirm(width, percent), "u bigint, v bigint").distinct()
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs between components inside one block pair of one table, by comparing whole signatures."""
-    for t in runs(batches, ["key", "p", "q"]):
-        rep, comp, n = (t[c].to_numpy() for c in ("rep", "comp", "n"))
-        block = t["block"].to_numpy()
-        sign = np.frombuffer(b"".join(t["sign"].to_pylist()), np.uint32).reshape(len(rep), -1)
-        p, q = t["p"][0].as_py(), t["q"][0].as_py()
-        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        found_a, found_b = [], []
-        for i in left.tolist():
-            near = (100 * np.minimum(n[right], n[i]) >= PERCENT * np.maximum(n[right], n[i])) & (comp[right] != comp[i])
-            if p == q:
-                near &= right > i
-            js = right[near]
-            js = js[(sign[js] == sign[i]).sum(axis=1) >= LEAST_EQUAL]
-            found_a += [rep[i]] * len(js)
-            found_b += rep[js].tolist()
-        a, b = np.array(found_a, np.int64), np.array(found_b, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+def _half_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A row per document and key of the collection A."""
+    n = batch.num_rows
+    sign = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint32).reshape(n, -1).astype(np.uint64)
+    keys = _collection(sign)[:, :COLLECTION].reshape(-1).view(np.int64)
+    rest = {c: pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), COLLECTION)) for c in ("rep", "n", "comp")}
+    place = pa.array(np.tile(np.arange(COLLECTION, dtype=np.int32), n))
+    return pa.RecordBatch.from_arrays([pa.array(keys), place, *rest.values()], ["key", "place", *rest])
+
+
+def _candidates(t: pa.Table, sign: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """A row of block p and its likely partners in block q, in another component.
+
+    Each pair comes up once: under the first key of A that the two share.
+    """
+    comp, n, block = (t[c].to_numpy() for c in ("comp", "n", "block"))
+    p, q, place = (t[c][0].as_py() for c in ("p", "q", "place"))
+    keys = _collection(sign.astype(np.uint64))[:, :COLLECTION]
+    right = np.flatnonzero(block == q)
+    for i in np.flatnonzero(block == p).tolist():
+        js = right[comp[right] != comp[i]]
+        if p == q:
+            js = js[js > i]
+        js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
+        js = js[(sign[js] == sign[i]).sum(axis=1) >= LEAST_EQUAL]
+        if place and len(js):
+            js = js[~(keys[js, :place] == keys[i, :place]).any(axis=1)]
+        if len(js):
+            yield i, js
+
+
+def _signs(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["sign"].to_pylist()), np.uint32).reshape(t.num_rows, -1)
+
+
+_MEETING = ["key", "p", "q"]
+
+
+def _likely(percent: int):
+    """Rows of a block pair that have a likely partner in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches, _MEETING):
+            used = np.zeros(t.num_rows, bool)
+            for i, js in _candidates(t, _signs(t), percent):
+                used[i] = True
+                used[js] = True
+            if used.any():
+                yield from t.filter(pa.array(used)).combine_chunks().to_batches()
+
+    return run
+
+
+def _exact(percent: int):
+    """Links inside a block pair, by the full sets of all likely pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches, _MEETING):
+            rep, size = t["rep"].to_numpy(), t["n"].to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in t["items"].to_pylist()]
+            found_a, found_b = [], []
+            for i, js in _candidates(t, _signs(t), percent):
+                mine = sets[i]
+                every = np.concatenate([sets[j] for j in js])
+                at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+                ends = np.cumsum(size[js])
+                common = np.diff(np.concatenate(([0], np.cumsum(mine[at] == every)))[np.concatenate(([0], ends))])
+                js = js[100 * common >= percent * (size[js] + size[i] - common)]
+                found_a += [rep[i]] * len(js)
+                found_b += rep[js].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["u", "v"])
+
+    return run
+
+
+def _sets(width: int):
+    hasher = ByteHash()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        items = [shingles(t, width, hasher).tobytes() for t in texts_of(batch.column("text"))]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("rep"), pa.array([len(x) // 8 for x in items], pa.int64()), pa.array(items, pa.binary())],
+            ["rep", "n", "items"],
+        )
+
+    return run
+
+
+def _across(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(u, v) links between components, in buckets that hold several.
+
+    nodes: rep, n, sign, comp. The members of a bucket of collection A are cut into blocks of bounded
+    size, and blocks meet in pairs. Signatures choose the likely pairs, then the full sets of the
+    documents in them decide. Only links leave a block pair, however many pairs it tried.
+    """
+    inside = Window.partitionBy("key")
+    by_size = inside.orderBy("n", "rep")
+    members = mapped(
+        nodes.select("rep", "n", "comp", "sign"), _half_keys, "key bigint, place int, rep bigint, n bigint, comp bigint"
+    ).select(
+        "*",
+        (F.min("comp").over(inside) < F.max("comp").over(inside)).alias("several"),
+        F.floor(F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, 0)) / BLOCK_ITEMS).alias("block"),
+    ).where("several")
+    members = members.withColumn("last", F.max("block").over(inside)).withColumn("least", F.min("block").over(inside))
+    met = (
+        members.withColumn("other", F.explode(F.sequence("least", "last")))
+        .withColumn("p", F.least("block", "other"))
+        .withColumn("q", F.greatest("block", "other"))
+        .select("key", "place", "p", "q", "block", "rep", "n", "comp")
+    )
+    signs = nodes.select("rep", "n", "sign")
+    schema = "key bigint, place int, p bigint, q bigint, block bigint, rep bigint, n bigint, comp bigint, sign binary"
+    ordered = [*_MEETING, "block", "rep", "n"]
+    likely = cut(
+        met.join(signs, ["rep", "n"]).select("key", "place", "p", "q", "block", "rep", "n", "comp", "sign")
+        .repartition(*_MEETING).sortWithinPartitions(*ordered).mapInArrow(_likely(percent), schema)
+    )
+    texts = docs.join(likely.select("rep").distinct(), docs.doc_id == F.col("rep"), "left_semi")
+    sets = mapped(texts.select(F.col("doc_id").alias("rep"), "text"), _sets(width), "rep bigint, n bigint, items binary")
+    return (
+        likely.join(sets, ["rep", "n"])
+        .repartition(*_MEETING).sortWithinPartitions(*ordered)
+        .mapInArrow(_exact(percent), "u bigint, v bigint")
+        .distinct()
+    )
 
 
 def linked_classes(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -192,38 +306,18 @@ def linked_classes(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT
     )
     links = cut(verified(tried, rows, width, percent))
     found = cut(connected(links))
-    # Tables that still hold several components: their members are compared across components.
-    ids = shared.select("key", "rep", "n").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "n", F.coalesce("component", "rep").alias("comp")
-    )
-    mixed = ids.select(
-        "*",
-        (F.min("comp").over(inside) < F.max("comp").over(inside)).alias("several"),
-        (F.row_number().over(by_size) - 1).alias("place"),
-        F.count("*").over(inside).alias("members"),
-    ).where("several")
-    last = F.floor((F.col("members") - 1) / BLOCK)
-    spread = (
-        mixed.withColumn("block", F.floor(F.col("place") / BLOCK))
-        .withColumn("with_block", F.explode(F.sequence(F.lit(0), last)))
-        .join(nodes.select("rep", "sign"), "rep")
-        .select(
-            "key", F.least("block", "with_block").alias("p"), F.greatest("block", "with_block").alias("q"),
-            "block", "rep", "comp", "n", "sign",
-        )
-    )
-    more = (
-        spread.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "rep")
-        .mapInArrow(_across, "a bigint, b bigint").distinct()
-        .join(tried, ["a", "b"], "left_anti")
+    # What the tables' trials left apart is compared across components.
+    named = nodes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "rep", "n", "sign", F.coalesce("component", "rep").alias("comp")
     )
-    links = cut(links.union(verified(more, rows, width, percent)))
+    links = cut(links.union(_across(named, rows, width, percent)))
     found = connected(links)
     named = nodes.select("set_id", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_id", F.coalesce("component", "rep").alias("component_id")
     )
     return sketches.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
 
 
