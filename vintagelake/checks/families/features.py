@@ -211,8 +211,8 @@ _MEMBER = f"""security_id IN (SELECT security_id FROM membership WHERE valid_fro
 @check("flagship_member_features", f"SELECT {GOLD_SQL} FROM wide WHERE {_MEMBER}")
 def _(v: Views):
     members = asof.members_asof(v.membership, AS_OF).select("security_id").distinct()
-    bars = v.bars.join(members, "security_id", "left_semi")
-    return rounded_gold(gold_plan.refresh(bars, v.actions, v.identifiers, AS_OF))
+    bars, actions, ids = (df.join(members, "security_id", "left_semi") for df in (v.bars, v.actions, v.identifiers))
+    return rounded_gold(gold_plan.refresh(bars, actions, ids, AS_OF))
 
 
 @check(
