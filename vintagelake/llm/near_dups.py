@@ -285,23 +285,16 @@ def linked_classes(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT
     inside = Window.partitionBy("key")
     by_size = inside.orderBy("n", "rep")
     # In each table, every member is tried with the smallest id and with its neighbour by size.
-    shared = cut(
+    tried = cut(
         keys.select(
-            "*",
-            F.lag("rep").over(by_size).alias("before"),
-            F.lag("n").over(by_size).alias("before_n"),
+            "rep", "n",
+            F.lag(F.struct("rep", "n")).over(by_size).alias("before"),
             F.min(F.struct("rep", "n")).over(inside).alias("first"),
-            F.count("*").over(inside).alias("members"),
-        ).where("members > 1").select(
-            "key", "rep", "n",
-            F.when(_alike("n", "before_n", percent), F.col("before")).alias("before"),
-            F.when(_alike("n", "first.n", percent), F.col("first.rep")).alias("first"),
         )
-    )
-    tried = cut(
-        shared.select("rep", F.explode(F.array_distinct(F.array("before", "first"))).alias("other"))
-        .where("other <> rep")
-        .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
+        .where("before IS NOT NULL OR first.rep <> rep")  # not alone in its table
+        .select("rep", "n", F.explode(F.array_distinct(F.array("before", "first"))).alias("other"))
+        .where(F.col("other.rep").isNotNull() & (F.col("other.rep") != F.col("rep")) & _alike("n", "other.n", percent))
+        .select(F.least("rep", "other.rep").alias("a"), F.greatest("rep", "other.rep").alias("b"))
         .distinct()
     )
     links = cut(verified(tried, rows, width, percent))
