@@ -137,6 +137,23 @@ def test_random_strings(spark):
     assert {r.doc_id for r in rows if r.n_random} == set(range(len(good)))
 
 
+def test_random_strings_of_each_alphabet_and_length(spark):
+    rng = random.Random(9)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = [low, up, low + up, low + digits, up + "234567", low + up + digits, low + up + digits + "+/", low + up + digits + "-_"]
+    texts = [noisy(rng, a, n) for a in alphabets for n in (16, 20, 24, 40) for _ in range(100)]
+    clean = [
+        "internationalization", "Geschwindigkeitsbegrenzung", "responsabilidades", "characteristically", "getElementsByClassName",
+        "MAX_BUFFER_SIZE_LIMIT", "src/main/java/example", "state-of-the-art-methods", "a-1-b-2-c-3-d-4-e-5", "2024-01-01/2024-12-31",
+        "INV20240101123456789", "4041894974608795", "================", "UNCHARACTERISTICALLY", "da39a3ee5e6b4b0d3255bfef95601890afd80709".upper(),
+    ]
+    rows = secrets.scanned(frame(spark, texts + clean), vocabulary("byte_bpe_50k.tiktoken"), pattern()).collect()
+    found = {r.doc_id for r in rows if r.n_random or r.n_hex}
+    for lo in range(0, len(texts), 100):
+        assert len(found & set(range(lo, lo + 100))) >= 93, texts[lo]
+    assert [clean[i - len(texts)] for i in sorted(found) if i >= len(texts)] == []
+
+
 MIT = "MIT License\n\nCopyright (c) 2021 Some One\n\n" + licences._MIT_BODY
 
 

@@ -24,8 +24,9 @@ HEX = r"[0-9a-f]+"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ["assign", "access", "hex", "random"]
 
-# Random strings: maximal runs, this long, with letters and digits, at most so many characters a token.
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+# Random strings: maximal runs, this long, at most so many characters a token. Among shorter runs the ratio
+# can't tell syllables of a language that the vocabulary has not seen from random letters.
+RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
 MOST_CHARS_PER_TOKEN = 2.1
 # Lengths of hexadecimal digests: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
@@ -39,6 +40,10 @@ _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 # Words, possibly numbered, joined by single separators; dates and plain numbers.
 _IDENTIFIER = re.compile(r"([A-Za-z]*[a-z]{2}|[A-Z]{2,}|[A-Za-z])?\d{0,6}([-_/=+]+([A-Za-z]*[a-z]{2}|[A-Z]{2,}|[A-Za-z])?\d{0,6})*")
 
+# Numbers, dates, and numbers with a few letters before or after them; a run without letters is one of these.
+_NUMBERED = re.compile(r"[A-Za-z]{0,3}[0-9+/_=-]+[A-Za-z]?")
+_WORD = re.compile(r"[A-Za-z]{4,}")
+
 
 def encoding(path: str, pattern: str):
     """A tiktoken encoding from a file of ranks."""
@@ -49,17 +54,28 @@ def encoding(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def _tokens(word: str, enc) -> int:
+    """Tokens of a word inside a sentence, in the better of both cases."""
+    return min(len(enc.encode_ordinary(f" {w}")) for w in (word, word.lower()))
+
+
+def _identifier(run: str, enc) -> bool:
+    """Whether a run is made like an identifier, and its words of some length pass the ratio, too."""
+    if _NUMBERED.fullmatch(run):
+        return True
+    if not _IDENTIFIER.fullmatch(run):
+        return False
+    words = _WORD.findall(run)
+    return sum(map(len, words)) > MOST_CHARS_PER_TOKEN * sum(_tokens(w, enc) for w in words) or not words
+
+
 def looks_random(run: str, enc) -> bool:
-    """Whether a run has so few characters a token that it is no text, digest or identifier."""
-    digits = sum(c.isdigit() for c in run)
-    letters = sum(c.isalpha() for c in run)
-    if digits < 2 or letters < 4:
+    """Whether a run has so few characters a token that it is no text, digest, number or identifier."""
+    if len(run) > MOST_CHARS_PER_TOKEN * len(enc.encode_ordinary(run)):
         return False
     if _UUID.fullmatch(run) or (_HEXADECIMAL.fullmatch(run) and len(run) in DIGEST_LENGTHS):
         return False
-    if _IDENTIFIER.fullmatch(run):
-        return False
-    return len(run) <= MOST_CHARS_PER_TOKEN * len(enc.encode_ordinary(run))
+    return not _identifier(run, enc)
 
 
 def spans_of(text: str, enc) -> list[tuple[int, int, int]]:
