@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from vintagelake.llm import mixing, neighbours, packing, sharding
+from vintagelake.llm import mixing, neighbours, packing, registry, sharding
 from vintagelake.llm.common import prepare, table
 
 SF = "/root/testdata/sf0.001"
@@ -166,6 +166,30 @@ def test_packing_fills_sequences(spark):
     assert sum(r.length for r in rows) / n / packing.LENGTH > 0.99
 
 
+def test_packed_sequences_hold_their_ids(spark):
+    plain = Tokenizer.from_file(WORDS)
+    plain.encode_special_tokens = True
+    rng = random.Random(11)
+    odd = [(i % 40, " ".join(rng.choice(["word", "Other", "x1", "é"]) for _ in range(rng.randrange(0, 9000, 7))), "s") for i in range(60)]
+    odd += [(3, None, "s"), (None, "b", "s"), (5, "w " * 4095, "s")]
+    sequences, docs = defaultdict(dict), Counter()
+    for r in packing.packed(frame(spark, odd), WORDS).collect():
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length and r.offset not in sequences[r.sequence_id]
+        sequences[r.sequence_id][r.offset] = ids
+    stream = Counter()
+    for s in sequences.values():
+        whole = sum((s[at] for at in sorted(s)), [])
+        assert all(whole[at : at + len(ids)] == ids for at, ids in s.items()) and len(whole) <= packing.LENGTH
+        stream.update(whole)
+    for _, t, _ in odd:
+        docs.update([*plain.encode(t or "", add_special_tokens=False).ids, 2])
+    assert stream == docs
+    got = registry.op9_packing(spark, SF)
+    assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert got.count() >= table(spark, SF, "documents").count()
+
+
 def vectors(spark, rows):
     prepare(spark)
     return spark.createDataFrame([(i, v, 0, 0.0) for i, v in rows], "vec_id bigint, embedding array<float>, rank int, score double")

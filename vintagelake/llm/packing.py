@@ -120,7 +120,7 @@ class WordTokens:
 
 
 def tokenised(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
-    """Pieces of each row of docs: doc_id, start, length, ids_crc32, doc_tokens, turn (a random number of the row)."""
+    """Pieces of each row of docs: doc_id, start, length, ids, ids_crc32, doc_tokens, turn (a random number of the row)."""
     closing = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,15 +136,15 @@ def tokenised(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id
                 turn = zlib.crc32(f"{doc_id}:{seen}".encode())
                 for start in range(0, n, length):
                     piece = raw[4 * start : 4 * (start + length)]
-                    out.append((doc_id, start, len(piece) // 4, zlib.crc32(piece), n, turn))
+                    out.append((doc_id, start, len(piece) // 4, piece, zlib.crc32(piece), n, turn))
             if out:
-                ids, *rest = zip(*out, strict=True)
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "turn"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, *rest)], names)
+                names = ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "turn"]
+                kinds = [pa.binary() if c == "ids" else pa.int64() for c in names]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(
-        run, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, turn bigint"
+        run, "doc_id bigint, start bigint, length bigint, ids binary, ids_crc32 bigint, doc_tokens bigint, turn bigint"
     )
 
 
@@ -191,13 +191,14 @@ def _pack(length: int):
     return run
 
 
-_PACKED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+_PACKED = "doc_id bigint, start bigint, length bigint, ids binary, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
 def packed(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: a row for each piece of each row of docs.
+    """doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset: a row for each piece of each row of docs.
 
-    Every id of a document, the closing one included, lies in one piece; a sequence holds at most
+    ids are the piece's own, 32 bits each, little-endian; a sequence is its pieces' ids in the order of
+    their offsets. Every id of a document, the closing one included, lies in one piece; a sequence holds at most
     `length` ids and has no gaps. Null, empty and blank texts are the closing id alone. Repeated rows are
     packed one by one. An empty table gives an empty result. tokenizer_path names a file that every
     worker can open.
@@ -205,7 +206,7 @@ def packed(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: i
     prepare(docs.sparkSession)
     pieces = cut(tokenised(docs, tokenizer_path, length, end_id))
     whole = pieces.where(F.col("length") == length).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens",
+        "doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens",
         (F.monotonically_increasing_id() * 2 + 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"),
     )
     parts = pieces.where(F.col("length") < length)

@@ -61,7 +61,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
 
 
 def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
