@@ -100,6 +100,18 @@ def test_shards(spark):
     assert all(r.slot >= 0 for r in few) and sharding.sharded(frame(spark, [])).count() == 0
 
 
+def test_shards_hold_whole_rows(spark):
+    rows = [(None if i % 50 == 0 else i % 30, None if i % 70 == 0 else f"text {i % 200} " * (i % 9), f"source {i}") for i in range(2000)]
+    docs = frame(spark, rows).withColumn("tags", F.array("source"))
+    got = sharding.sharded(docs, 8)
+    assert got.select("doc.*").schema == docs.schema
+    out = got.select("doc.*", F.col("shard").alias("to"), "slot").collect()
+    assert len({(r.to, r.slot) for r in out}) == len(rows)
+    assert Counter((r.doc_id, r.text, r.source, r.size, r.place, r.shard, r.tags[0]) for r in out) == Counter((*r, "a", "b", "c", r[2]) for r in rows)
+    assert all(zlib.crc32((r.doc.text or "").encode()) == r.text_crc32 and r.doc.doc_id == r.doc_id for r in got.collect())
+    assert sharding.sharded(docs.where(F.lit(False))).select("doc.*").schema == docs.schema
+
+
 def test_first_fit_is_first_fit():
     rng = random.Random(6)
     sizes = sorted((rng.randrange(1, 101) for _ in range(400)), reverse=True)

@@ -46,39 +46,46 @@ def placed(vectors: np.ndarray, shards: int) -> np.ndarray:
 
 
 def facts(docs: DataFrame) -> DataFrame:
-    """doc_id, size (bytes and row overhead), words, text_crc32, text_group of each row; null text: no bytes."""
+    """row, doc_id, size (bytes and row overhead), words, text_crc32, text_group of each row; null text: no bytes.
+
+    docs has row, a number of its own for each row, beside doc_id and text.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = [len(words_of(t)) for t in texts_of(batch.column("text"))]
-        names = ["doc_id", "size", "text_crc32", "text_group"]
+        names = ["row", "doc_id", "size", "text_crc32", "text_group"]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(n, pa.int64())], [*names, "words"])
 
     text = F.col("text").cast("string")
     rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+        "row", F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("bigint").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         # Texts whose hashes collide are packed as one group, which harms nothing.
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_group"), text.alias("text"),
     )
-    return mapped(rows, run, "doc_id bigint, size bigint, text_crc32 bigint, text_group bigint, words bigint")
+    return mapped(rows, run, "row bigint, doc_id bigint, size bigint, text_crc32 bigint, text_group bigint, words bigint")
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot, words, text_group for each row of docs (doc_id, text).
+    """doc, doc_id, size, text_crc32, shard, slot, words, text_group for each row of docs (doc_id, text, any others).
 
+    doc is the row itself, a struct of all columns of docs as they are, so their names can't meet the others:
+    select("shard", "slot", "doc.*") is what a shard's file holds. The rows are stored once and dealt by a number of
+    their own, and only sizes and digests take part in the packing, so null and repeated ids keep their row.
     shard is 0 to shards - 1, slot numbers a shard's rows from 0 without gaps. Rows with equal texts
     share a shard, unless together they exceed half of one; then they fill several pieces. Null and
     empty texts are equal and have no bytes; repeated rows and null ids are rows like others. An
     empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
-    rows = cut(facts(docs))
+    held = cut(docs.select(F.struct("*").alias("doc")).withColumn("row", F.monotonically_increasing_id()))
+    rows = cut(facts(held.select("row", "doc.doc_id", "doc.text")))
     sums = [F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("rows")]
     total = rows.agg(*sums).first()
     if not total.rows:
-        return rows.select(
-            "doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"), "words", "text_group"
+        return held.join(rows, "row").select(
+            "doc", "doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"), "words", "text_group"
         )
     groups = rows.groupBy("text_group").agg(*sums)
     share = F.greatest(*[F.col(c) * shards / max(1, total[c] or 0) for c in ("size", "words", "rows")])
@@ -90,20 +97,21 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         rows.join(F.broadcast(large), "text_group", "left")  # bounded as above
         .withColumn(
             "piece",
-            F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("pieces"))).otherwise(-1),
+            F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("row"), F.col("pieces"))).otherwise(-1),
         )
         .withColumn(
             "parcel", F.when(F.col("piece") < 0, F.pmod(F.xxhash64("text_group", F.lit(1)), F.lit(shards * PARCELS))).otherwise(F.col("text_group"))
         )
     )
-    known = cut(known.select("doc_id", "size", "text_crc32", "text_group", "words", "parcel", "piece"))
+    known = cut(known.select("row", "doc_id", "size", "text_crc32", "text_group", "words", "parcel", "piece"))
     units = known.groupBy("parcel", "piece").agg(*sums).orderBy("parcel", "piece").collect()  # bounded: parcels and pieces
     where = placed(np.array([[u["size"], u["words"], u["rows"]] for u in units], float), shards)
     homes = spark.createDataFrame(
         [(u.parcel, u.piece, int(s)) for u, s in zip(units, where, strict=True)], "parcel bigint, piece bigint, shard int"
     )
     dealt = known.join(F.broadcast(homes), ["parcel", "piece"])
-    return _slotted(spark, dealt, total.rows).select("doc_id", "size", "text_crc32", "shard", "slot", "words", "text_group")
+    slotted = _slotted(spark, dealt, total.rows).select("row", "doc_id", "size", "text_crc32", "shard", "slot", "words", "text_group")
+    return held.join(slotted, "row").select("doc", "doc_id", "size", "text_crc32", "shard", "slot", "words", "text_group")
 
 
 def _slotted(spark, rows: DataFrame, n: int) -> DataFrame:
@@ -113,7 +121,7 @@ def _slotted(spark, rows: DataFrame, n: int) -> DataFrame:
     counts = rows.groupBy("shard", "stretch").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    at = F.row_number().over(Window.partitionBy("shard", "stretch").orderBy("doc_id", "text_crc32", "size"))
+    at = F.row_number().over(Window.partitionBy("shard", "stretch").orderBy("doc_id", "text_crc32", "size", "row"))
     return (
         rows.withColumn("at", at - 1)
         .join(starts, ["shard", "stretch"])
