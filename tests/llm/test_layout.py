@@ -247,6 +247,23 @@ def test_neighbours_odd_rows(spark):
     assert neighbours.nearest(vectors(spark, []), df).count() == 0 == neighbours.nearest(df, vectors(spark, [])).count()
 
 
+def test_neighbours_repeated_ids(spark):
+    rng = np.random.default_rng(12)
+    base = [(i, [float(c) for c in rng.normal(size=8)]) for i in range(1, 40)]
+    query = (0, [1.0] * 8)
+    near = [(100, [1.0 + 0.001 * (j + 1) * (c % 2) for c in range(8)]) for j in range(10)]
+    for copies in (near, near[:1] * 10):
+        rows = [query, *base, *copies]
+        got = neighbours.nearest(vectors(spark, rows), vectors(spark, [query])).orderBy("rank").collect()
+        best = {}
+        for i, s in brute_nearest(rows, [query], 99)[0]:
+            best[i] = max(s, best.get(i, -2.0))
+        want = sorted(best.items(), key=lambda x: (-x[1], x[0]))
+        assert [r.rank for r in got] == [1, 2, 3, 4, 5] and len({r.vec_id for r in got}) == 5
+        assert (got[0].vec_id, got[0].score) == (100, pytest.approx(want[0][1]))
+        assert len({r.vec_id for r in got} & {i for i, _ in want[:5]}) >= 4
+
+
 def test_pipeline(spark):
     """Each stage on what the stage before it kept; columns hold until the last one."""
     docs = table(spark, SF, "documents")

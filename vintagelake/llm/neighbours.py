@@ -55,16 +55,17 @@ class Block:
         self.sorted = (np.take_along_axis(shadow, order, axis=1) + self.lift[:, None]).reshape(-1)
         self.order = order.astype(np.int32).reshape(-1)
         self.first = np.arange(PROJECTIONS) * len(ids)
+        self.distinct = len(np.unique(ids))
 
     def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest found, ties to the smaller id."""
+        """Positions and cosines of the k nearest ids found, each with its best row; ties to the smaller id."""
         norm = float(np.sqrt((query * query).sum()))
         centre = (query / norm) @ self.axes + self.lift
         low = np.searchsorted(self.sorted, centre)
         high = low.copy()
         counts = np.zeros(len(self.ids), np.int64)
         open_ = self.ids != query_id
-        wanted = min(k, int(open_.sum()))
+        wanted = min(k, self.distinct - (not open_.all()))
         place, score = np.empty(0, np.int64), np.empty(0)
         radius = FIRST_RADIUS
         while wanted:
@@ -82,7 +83,9 @@ class Block:
                 v = self.vectors[fresh]
                 cosine = (v * query).sum(axis=1) / (self.norms[fresh] * norm)
                 place, score = np.concatenate((place, fresh)), np.concatenate((score, cosine))
-                best = np.lexsort((self.ids[place], -score))[:wanted]
+                best = np.lexsort((self.ids[place], -score))
+                # An id's first row is its best one.
+                best = best[np.sort(np.unique(self.ids[place[best]], return_index=True)[1])[:wanted]]
                 place, score = place[best], score[best]
                 if len(place) == wanted and 2 - 2 * score[-1] <= radius * radius:
                     break
@@ -116,7 +119,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     best score. Fewer candidates than k are all returned. Empty tables give an empty result.
     """
     prepare(vectors.sparkSession)
-    rows = cut(usable(vectors))
+    rows = cut(usable(vectors).dropDuplicates(["vec_id", "embedding"]))
     asked = cut(usable(queries).dropDuplicates(["vec_id", "embedding"]))
     blocks, chunks = max(1, -(-rows.count() // BLOCK)), max(1, -(-asked.count() // CHUNK))
     # Dealt by position, so that equal ids or vectors don't meet in one block.
