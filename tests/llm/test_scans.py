@@ -175,6 +175,16 @@ def test_licences(spark):
     assert want == [(i, rows[i].digest, rows[i].licence, rows[i].n_notices, rows[i].notices) for i in range(10)]
 
 
+def test_licences_titles_long_texts_and_reserved_rights(spark):
+    known = dict(licences.TEXTS[-20:])
+    texts = ["The MIT License (MIT)\n\nCopyright (c) 2021 x\n\n" + licences._MIT_BODY, "x\nAll rights reserved.\ny", "(c) 2020 x. All Rights Reserved", "Call me Ishmael."]
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"]
+    assert set(names) <= set(known)
+    rows = {r.doc_id: r for r in licences.scanned(frame(spark, texts + [known[n] for n in names]), notices=[("own", "Call me Ishmael")]).collect()}
+    assert [rows[i].licence for i in range(11)] == ["MIT", None, None, None, *names]
+    assert [rows[i].n_reserved for i in range(4)] == [0, 1, 1, 0] and rows[3].notices == "own"
+
+
 def test_digest_columns(spark):
     df = registry.op10_personal(spark, "/root/testdata/sf0.001")
     rows = df.join(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"), "doc_id").collect()

@@ -8,6 +8,8 @@ functions, and the SQL below says the same.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +74,22 @@ TEXTS = [
     ("Zlib", "zlib License\n" + _ZLIB),
     ("Zlib", _ZLIB),
 ]
+# Usual titles of the short ones beside those above.
+_TITLES = {
+    "MIT": ["The MIT License (MIT)", "MIT License (MIT)", "The MIT License"],
+    "ISC": ["The ISC License", "ISC License (ISC)"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License", "Zero-Clause BSD License"],
+    "BSD-2-Clause": ["The BSD 2-Clause License", "Simplified BSD License", "BSD License"],
+    "BSD-3-Clause": ["The BSD 3-Clause License", "New BSD License", "BSD License"],
+    "Zlib": ["The zlib License", "zlib/libpng License"],
+}
+_BARE = {name: text for name, text in TEXTS if not text.startswith(("MIT", "ISC", "BSD", "zlib"))}
+TEXTS += [(name, f"{title}\n{_BARE[name]}") for name, titles in _TITLES.items() for title in titles]
+# Long ones are files; most end with advice on their use, which copies may leave out.
+_END = "END OF TERMS AND CONDITIONS"
+for _file in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+    _text = _file.read_text(encoding="utf-8")
+    TEXTS += [(_file.stem, t) for t in dict.fromkeys((_text, _text.partition(_END)[0] + _END * (_END in _text), _text.partition(_END)[0]))]
 # One-line notices.
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -96,6 +114,8 @@ SPELLINGS = [
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A line that names who holds the copyright, or reserves all rights.
 _HOLDER = r"(^|\n)[ \t]*((copyright|\(c\)|©)[ \t]*(\(c\)|©|[0-9<\[{])[^\n]*|all rights reserved[ .\r]*)"
+# A line of these that reserves all rights.
+_RESERVED = r"(?im)^[ \t]*(?:(?:copyright|\(c\)|©)[^\n]*?)?all rights reserved[ .\r]*$"
 
 
 def _quoted(s: str) -> str:
@@ -124,30 +144,36 @@ def digests(spark, texts: list[tuple[str, str]]) -> DataFrame:
 
 
 def scanned(docs: DataFrame, texts: list[tuple[str, str]] = TEXTS, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
-    """doc_id, digest, licence, n_notices, notices for each row of docs (doc_id, text).
+    """doc_id, digest, licence, n_notices, notices, n_reserved for each row of docs (doc_id, text).
 
     digest is the MD5 of the canonical whole text (null if nothing is left of it), licence the known licence
     with that digest or null, n_notices the number of lines that are known notices, and notices their licences,
-    distinct, sorted and joined by commas. Null, empty and blank texts have neither. Repeated rows are
+    distinct, sorted and joined by commas. n_reserved is the number of lines that reserve all rights, alone or after a
+    copyright. Null, empty and blank texts have none. texts and notices are (licence, text) and may be longer
+    than those above. Repeated rows are
     scanned alike; an empty table gives an empty result. The known lists are broadcast: they are fixed, a
     few dozen digests.
     """
     spark = prepare(docs.sparkSession)
     known = digests(spark, texts)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.selectExpr("doc_id", _canonical("text", "spark") + " AS form")
+    rows = rows.select(
+        "doc_id", F.expr(_canonical("text", "spark")).alias("form"), F.regexp_count("text", F.lit(_RESERVED)).cast("bigint").alias("n_reserved")
+    )
     whole = F.trim(F.regexp_replace("form", "[ \n]+", " "))
+    # All forms of the usual notices have this word; a quick look spares most texts the digests.
+    short = spark.createDataFrame(notices, "licence string, text string").selectExpr(_canonical("text", "spark") + " AS form")
+    wanted = F.lit(True) if short.where(~F.col("form").contains("license")).count() else F.col("form").contains("license")
     names = {r.digest: r.licence for r in digests(spark, notices).collect()}
     table = F.create_map(*[F.lit(v) for pair in names.items() for v in pair])
     lines = F.filter(F.transform(F.split("form", "\n"), lambda x: F.element_at(table, F.md5(F.trim(x)))), lambda x: x.isNotNull())
     rows = rows.select(
         "doc_id", F.when(whole != "", F.md5(whole)).alias("digest"),
-        # Only short lines can be notices; a quick look spares most texts the digests.
-        F.when(F.col("form").contains("license"), lines).otherwise(F.array().cast("array<string>")).alias("found"),
+        F.when(wanted, lines).otherwise(F.array().cast("array<string>")).alias("found"), "n_reserved",
     )
     return rows.join(F.broadcast(known), "digest", "left").select(
         "doc_id", "digest", "licence", F.size("found").cast("bigint").alias("n_notices"),
-        F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("notices"),
+        F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("notices"), "n_reserved",
     )
 
 

@@ -38,7 +38,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.scanned(table(spark, sf_dir, "documents"))
+    return licences.scanned(table(spark, sf_dir, "documents")).select("doc_id", "digest", "licence", "n_notices", "notices")
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
