@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagelake.llm import (
-    language, licences, mixing, near_dups, neighbours, packing, personal, quality, secrets, sharding,
+    centroids, language, licences, mixing, near_dups, neighbours, packing, personal, quality, secrets, sharding,
 )
 from vintagelake.llm.common import table
 from vintagelake.llm.vocabularies import pattern, vocabulary
@@ -77,9 +77,15 @@ def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 _ALL = (
     op1_near_dups, op2_quality, op3_language, op4_mixing, op5_licences, op6_sharding, op7_neighbours, op8_secrets,
-    op9_packing, op10_personal,
+    op9_packing, op10_personal, op12_centroids,
 )
 
 
@@ -88,4 +94,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_licences": licences.sql()}
+    return {"op5_licences": licences.sql(), "op12_centroids": centroids.sql()}
