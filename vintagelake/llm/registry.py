@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagelake.llm import (
-    centroids, language, licences, mixing, near_dups, neighbours, packing, personal, quality, secrets, sharding,
+    centroids, language, licences, manifest, mixing, near_dups, neighbours, packing, personal, quality, secrets, sharding,
 )
 from vintagelake.llm.common import table
 from vintagelake.llm.vocabularies import pattern, vocabulary
@@ -83,9 +83,19 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Half of the rows are met again without their line ends.
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = manifest.proven(table(spark, sf_dir, "documents"), tampered).withColumn("folded_root", manifest.folded("found_leaf", "path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof("path").alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 _ALL = (
     op1_near_dups, op2_quality, op3_language, op4_mixing, op5_licences, op6_sharding, op7_neighbours, op8_secrets,
-    op9_packing, op10_personal, op12_centroids,
+    op9_packing, op10_personal, op12_centroids, op13_manifest,
 )
 
 
@@ -94,4 +104,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_licences": licences.sql(), "op12_centroids": centroids.sql()}
+    return {"op5_licences": licences.sql(), "op12_centroids": centroids.sql(), "op13_manifest": manifest.sql()}
