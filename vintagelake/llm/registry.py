@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagelake.llm import (
-    centroids, language, licences, manifest, mixing, near_dups, neighbours, packing, personal, quality, secrets, sharding,
+    centroids, language, licences, manifest, mixing, near_dups, neighbours, packing, passages, personal, quality, secrets, sharding,
 )
 from vintagelake.llm.common import table
 from vintagelake.llm.vocabularies import pattern, vocabulary
@@ -77,6 +77,10 @@ def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(table(spark, sf_dir, "embeddings")).select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
@@ -95,7 +99,7 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (
     op1_near_dups, op2_quality, op3_language, op4_mixing, op5_licences, op6_sharding, op7_neighbours, op8_secrets,
-    op9_packing, op10_personal, op12_centroids, op13_manifest,
+    op9_packing, op10_personal, op11_passages, op12_centroids, op13_manifest,
 )
 
 
