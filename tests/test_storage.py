@@ -207,23 +207,75 @@ def test_stream_capture(spark):
     assert spark.read.parquet(dq).select("batch_id").distinct().count() == 3
 
 
+def _counts(results):
+    return sorted(
+        (r.check_name, r.batch_id, json.loads(r.observed)["count"], json.loads(r.observed)["batch_size"], json.loads(r.observed)["sample"])
+        for r in results.collect()
+    )
+
+
 def test_capture_counts_rows_without_a_date(spark):
-    cal = sessions(spark, [JUL30, JUL31])
+    cal = sessions(spark, [D(2026, 7, 29), JUL30, JUL31])
     ids = identifiers(spark, [(1, "AAA", D(2000, 1, 1), None)])
     rows = [_vendor_json("2026-07-30", 10.0), _vendor_json("2026-07-31", 11.0), {"open": 1}, {**_vendor_json("2026-07-31"), "open": None},
             _vendor_json("2026-07-29", 9.0)]
     docs = spark.createDataFrame([("AAA", json.dumps(rows))], "symbol string, text string")
     path = _tmp() + "/silver"
     before = set(os.listdir(session.shared_root(spark)))
-    got = capture.capture_sessions(docs, ids, cal, seeds.dq_checks(spark), path, [JUL30, JUL31], 7)
-    seen = [(r.check_name, r.batch_id, json.loads(r.observed)["count"], json.loads(r.observed)["batch_size"]) for r in got.collect()]
-    assert sorted(seen) == [
+    got, counted = capture.capture_sessions(docs, ids, cal, seeds.dq_checks(spark), path, [JUL30, JUL31], 7)
+    assert [c[:4] for c in _counts(got)] == [
         ("bars_malformed_row", 7, 1, 1), ("bars_malformed_row", 8, 1, 1), ("bars_non_session_date", 7, 0, 1), ("bars_non_session_date", 8, 0, 1)]
+    assert pairs(counted, "batch_id", "parsed", "kept", "refused", "already_stored") == [(7, 3, 1, 1, 1), (8, 2, 1, 1, 0)]
     assert pairs(lake.scan_bars(spark, path), "session_date", "close", "batch_id") == [(JUL30, 10.0, 7), (JUL31, 11.0, 8)]
     left = {n for n in set(os.listdir(session.shared_root(spark))) - before if n.split("-")[0] in ("parsed", "stamped", "months")}
     assert not left  # scratch folders are deleted
     wide = capture.backfill(docs, ids, cal, seeds.dq_checks(spark), _tmp() + "/v", 1, 5)
-    assert wide[0].count() == 2 and [json.loads(r.observed)["count"] for r in wide[1].orderBy("check_name").collect()] == [2, 1]
+    assert wide[0].count() == 3 and [c[2] for c in _counts(wide[1])] == [2, 0]
+
+
+def test_capture_counts_weekend_bars(spark):
+    """Friday to Monday, sessions on Friday and Monday: the weekend's bars are counted with Monday."""
+    friday, monday = D(2024, 1, 5), D(2024, 1, 8)
+    cal = sessions(spark, [D(2024, 1, 4), friday, monday])
+    ids = identifiers(spark, [(1, "AAA", D(2000, 1, 1), None)])
+    days = ["2024-01-05", "2024-01-06", "2024-01-07", "2024-01-08"]
+    docs = spark.createDataFrame([("AAA", json.dumps([_vendor_json(d) for d in days]))], "symbol string, text string")
+    path = _tmp() + "/silver"
+    got, counted = capture.capture_sessions(docs, ids, cal, seeds.dq_checks(spark), path, [friday, monday], 1)
+    off = [c for c in _counts(got) if c[0] == "bars_non_session_date"]
+    assert [c[1:4] for c in off] == [(1, 0, 1), (2, 2, 3)]
+    assert off[1][4] == ["AAA 2024-01-06 non_session_date", "AAA 2024-01-07 non_session_date"]
+    assert pairs(lake.scan_bars(spark, path), "session_date", "batch_id") == [(friday, 1), (monday, 2)]
+    assert pairs(counted, "batch_id", "parsed", "kept", "non_session") == [(1, 1, 1, 0), (2, 3, 1, 2)]
+
+
+def test_every_parsed_row_has_one_batch_and_one_state(spark):
+    """All days around a due range with a gap, readable and broken, outside the calendar too."""
+    cal = [d for d in (D(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)) if d.weekday() < 5]
+    due = [D(2024, 1, 10), D(2024, 1, 11), D(2024, 1, 16), D(2024, 1, 17)]
+    days = [D(2023, 12, 20) + dt.timedelta(days=i) for i in range(80)] + [D(1950, 1, 1), D(2040, 1, 1)]
+    rows = [(d, None) for d in days] + [(d, "malformed_row:ValueError") for d in days] + [(None, "missing_date")] * 3
+    frame = spark.createDataFrame(rows, "session_date date, reason string")
+    got = capture.assigned(frame, sessions(spark, cal), due, 50).collect()
+    assert len(got) == len(rows)
+
+    def plain(day, reason):
+        batch = 50 + next((i for i, d in enumerate(due) if day is None or d >= day), len(due) - 1)
+        after = None if day is None else next((d for d in cal if d >= day), None)
+        if day is not None and day.year >= 1962 and day < due[0] and after is not None and after < due[0]:
+            return batch, "already_stored"
+        if reason:
+            return batch, "refused"
+        if day not in cal:
+            return batch, "non_session"
+        return batch, "kept" if day in due else "not_due"
+
+    key = lambda x: (str(x[0]), str(x[1]), x[2], x[3])
+    assert sorted(((r.session_date, r.reason, r.batch_id, r.state) for r in got), key=key) == sorted(
+        ((d, s, *plain(d, s)) for d, s in rows), key=key)
+    counted = capture.accounts(capture.assigned(frame, sessions(spark, cal), due, 50), [50, 51, 52, 53, 54]).collect()
+    assert all(r.parsed == sum(r[s] for s in capture.STATES) for r in counted) and sum(r.parsed for r in counted) == len(rows)
+    assert {r.batch_id: r.parsed for r in counted}[54] == 0
 
 
 def test_sessions_outside_the_calendar_are_an_error(spark):

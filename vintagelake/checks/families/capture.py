@@ -272,21 +272,36 @@ def _captured(v: Views):
     path = session.scratch(v.spark, "silver")
     docs = _vendor_docs(v).drop("security_id")
     checks = seeds.dq_checks(v.spark)
-    results = capture.capture_sessions(docs, _symbol_ids(v), v.sessions, checks, path, targets, 100)
-    return lake.scan_bars(v.spark, path), results
+    results, accounts = capture.capture_sessions(docs, _symbol_ids(v), v.sessions, checks, path, targets, 100)
+    return lake.scan_bars(v.spark, path), results, accounts
+
+
+# Each vendor row with the due session it is counted with, and what becomes of it.
+SQL_VIEWS["captured"] = """
+    SELECT due.batch_id, CASE WHEN o.d < o.lo AND s.session_date < o.lo THEN 'already_stored' WHEN NOT o.good THEN 'refused'
+        WHEN s.session_date IS NULL OR s.session_date <> o.d THEN 'non_session' WHEN due.d <> o.d THEN 'not_due' ELSE 'kept' END AS state
+    FROM (SELECT *, CASE WHEN d IS NULL THEN lo ELSE greatest(least(d, hi), lo) END AS held FROM (
+        SELECT CASE WHEN l_linenumber NOT IN (2, 6) THEN CAST(l_shipdate AS DATE) END AS d, l_linenumber IN (1, 7) AS good, lo, hi
+        FROM lineitem, (SELECT min(session_date) AS lo, max(session_date) AS hi FROM sessions WHERE session_date > DATE '1999-12-31'))) o
+    ASOF JOIN (SELECT session_date AS d, 99 + row_number() OVER (ORDER BY session_date) AS batch_id FROM sessions
+        WHERE session_date > DATE '1999-12-31') due ON o.held <= due.d
+    ASOF LEFT JOIN sessions s ON o.d <= s.session_date"""
+SQL_VIEWS["capture_accounts"] = """
+    SELECT 99 + p AS batch_id, coalesce(parsed, 0) AS parsed, coalesce(kept, 0) AS kept, coalesce(refused, 0) AS refused,
+      coalesce(non_session, 0) AS non_session, coalesce(already_stored, 0) AS already_stored, coalesce(not_due, 0) AS not_due
+    FROM (SELECT row_number() OVER (ORDER BY session_date) AS p FROM sessions WHERE session_date > DATE '1999-12-31')
+    LEFT JOIN (SELECT batch_id - 99 AS p, count(*) AS parsed, count(*) FILTER (WHERE state = 'kept') AS kept,
+        count(*) FILTER (WHERE state = 'refused') AS refused, count(*) FILTER (WHERE state = 'non_session') AS non_session,
+        count(*) FILTER (WHERE state = 'already_stored') AS already_stored, count(*) FILTER (WHERE state = 'not_due') AS not_due
+      FROM captured GROUP BY 1) USING (p)"""
 
 
 @check(
     "ingest_capture_sessions_quality",
-    """WITH due AS (SELECT session_date AS d, 99 + row_number() OVER (ORDER BY session_date) AS batch_id FROM sessions
-            WHERE session_date > DATE '1999-12-31'),
-          own AS (SELECT CASE WHEN l_linenumber IN (2, 6) THEN (SELECT min(d) FROM due) ELSE CAST(l_shipdate AS DATE) END AS d,
-              l_linenumber IN (1, 7) AS good FROM lineitem),
-          n AS (SELECT due.batch_id, count(*) FILTER (WHERE good) AS size, count(*) FILTER (WHERE NOT good) AS bad
-            FROM due LEFT JOIN own USING (d) GROUP BY 1)
-       SELECT 'bars_malformed_row' AS check_name, batch_id, bad AS anomalies, size AS batch_size,
-         bad = 0 OR (size > 0 AND bad / size <= 0.01) OR size = 0 AS passed FROM n
-       UNION ALL SELECT 'bars_non_session_date', batch_id, 0, size, true FROM n""",
+    """WITH n AS (SELECT batch_id, kept + non_session AS size, refused, non_session FROM capture_accounts),
+         c AS (SELECT 'bars_malformed_row' AS check_name, batch_id, refused AS anomalies, size AS batch_size FROM n
+           UNION ALL SELECT 'bars_non_session_date', batch_id, non_session, size FROM n)
+       SELECT *, anomalies = 0 OR batch_size = 0 OR anomalies / batch_size <= 0.01 AS passed FROM c""",
 )
 def _(v: Views):
     value = lambda f: F.get_json_object("observed", f"$.{f}").cast("bigint")
@@ -295,6 +310,11 @@ def _(v: Views):
     )
 
 
+@check("ingest_capture_accounts", "SELECT * FROM capture_accounts")
+def _(v: Views):
+    return _captured(v)[2]
+
+
 # Sinks: write, read back, compare with the view.
 @check(
     "sink_macro_export",

@@ -75,18 +75,32 @@ def upsert_exchanges(existing: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(existing, new, ["mic"])
 
 
+def _every_day(sessions: DataFrame, first: dt.date | None = None) -> DataFrame:
+    """Every calendar day from `first` (default: the first session) to the last session, with its session or null."""
+    days = bounded(sessions).select("session_date")
+    span = days.agg(F.min("session_date").alias("lo"), F.max("session_date").alias("hi"))
+    every = span.select(F.explode(F.sequence("lo" if first is None else F.lit(first), "hi")).alias("day"))
+    return every.join(days, F.col("day") == F.col("session_date"), "left")
+
+
 def session_index(sessions: DataFrame) -> DataFrame:
     """Every calendar day of the pinned span with the number of sessions up to and including it.
 
     The running count is one window over the calendar; its size is the pinned period.
     """
-    days = bounded(sessions).select("session_date")
-    span = days.agg(F.min("session_date").alias("lo"), F.max("session_date").alias("hi"))
-    every = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
-    marked = every.join(days.withColumn("hit", F.lit(1)), F.col("day") == F.col("session_date"), "left")
     running = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return marked.select(
+    return _every_day(sessions).select(
         "day",
-        F.col("hit").isNotNull().alias("is_session"),
-        F.count("hit").over(running).alias("sessions_upto"),
+        F.col("session_date").isNotNull().alias("is_session"),
+        F.count("session_date").over(running).alias("sessions_upto"),
     )
+
+
+def next_sessions(sessions: DataFrame) -> DataFrame:
+    """Every day from the start of the pinned period to the last session, with the first session at or after it.
+
+    One window over the calendar, as above; at most 25,202 rows, marked for broadcast.
+    """
+    onward = Window.orderBy("day").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    first = F.first("session_date", ignorenulls=True).over(onward)
+    return F.broadcast(_every_day(sessions, FIRST_SESSION).select("day", first.alias("next_session")))

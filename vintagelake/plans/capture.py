@@ -57,26 +57,75 @@ def parsed_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
     return rows.select(*bronze.BAR_FIELDS, "raw_date", "reason")
 
 
+# What becomes of a parsed row; each has exactly one.
+KEPT, REFUSED, OFF_SESSION, STORED, NOT_DUE = "kept", "refused", "non_session", "already_stored", "not_due"
+STATES = (KEPT, REFUSED, OFF_SESSION, STORED, NOT_DUE)
+
+
+def graded(rows: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Parsed rows with their state, where no session is due more than another: refused, on a day without a session, or kept."""
+    state = (
+        F.when(F.col("reason").isNotNull(), REFUSED).when(F.col("close_utc").isNull(), OFF_SESSION).otherwise(KEPT)
+    )
+    return calendar.with_close(rows, sessions).withColumn("state", state).drop("close_utc")
+
+
+def assigned(rows: DataFrame, sessions: DataFrame, due: list[dt.date], first_batch: int) -> DataFrame:
+    """Parsed rows with the batch_id of one due session and one state each. No row is dropped.
+
+    due: sorted sessions; the n-th has batch first_batch + n. A row belongs to the first due session at or after its
+    day, later rows to the last one, rows without a readable date to the first. Days whose session, or for a day
+    without one the next session, lies before the first due one are already stored. Sessions that are not
+    in the list, between or after the due ones, are not due.
+    """
+    first, last = due[0], due[-1]
+    starts = [first, *[d + dt.timedelta(days=1) for d in due[:-1]]]
+    spans = [(a, b, first_batch + n) for n, (a, b) in enumerate(zip(starts, due, strict=True))]
+    spans = rows.sparkSession.createDataFrame(spans, "since date, due date, batch_id bigint")
+    # Every day from the first to the last due session: at most the calendar's days.
+    days = F.broadcast(spans.select(F.explode(F.sequence("since", "due")).alias("due_day"), "due", "batch_id"))
+    day = F.col("session_date")
+    held = F.when(day.isNull(), F.lit(first)).otherwise(F.greatest(F.least(day, F.lit(last)), F.lit(first)))
+    timed = rows.join(calendar.next_sessions(sessions), day == F.col("day"), "left").withColumn("held", held)
+    state = (
+        F.when((day < F.lit(first)) & (F.col("next_session") < F.lit(first)), STORED)
+        .when(F.col("reason").isNotNull(), REFUSED)
+        .when(F.col("next_session").isNull() | (F.col("next_session") != day), OFF_SESSION)
+        .when(F.col("due") != day, NOT_DUE)
+        .otherwise(KEPT)
+    )
+    return timed.join(days, F.col("held") == F.col("due_day")).select(*rows.columns, "batch_id", state.alias("state"))
+
+
+def accounts(rows: DataFrame, batches: list[int]) -> DataFrame:
+    """For each batch the number of parsed rows and how many of them are in each state."""
+    named = rows.sparkSession.createDataFrame([(b,) for b in batches], "batch_id bigint")
+    counts = rows.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("parsed"), *[F.count_if(F.col("state") == s).alias(s) for s in STATES]
+    )
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("parsed", *STATES)]
+    return named.join(counts, "batch_id", "left").select("batch_id", *zero)
+
+
 def usable(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("reason").isNull()).drop("raw_date", "reason")
+    return rows.where(F.col("state") == KEPT).drop("raw_date", "reason", "state")
 
 
-def batch_quality(rows: DataFrame, sessions: DataFrame, checks: DataFrame, batches: list[int]) -> DataFrame:
+def batch_quality(rows: DataFrame, checks: DataFrame, batches: list[int]) -> DataFrame:
     """Quality rows of batches: bars on non-session days and rows the parser refused.
 
-    rows: parsed rows with their batch_id. A batch without rows is reported with size 0.
+    rows: parsed rows with their batch_id and state. The size of a batch is its readable bars. A batch without rows
+    is reported with size 0.
     """
-    timed = calendar.with_close(rows, sessions)
-    refused = F.col("reason").isNotNull()
+    refused, off = F.col("state") == REFUSED, F.col("state") == OFF_SESSION
     label = F.when(refused, F.concat_ws(" ", "symbol", "raw_date", "reason")).otherwise(
         F.concat_ws(" ", "symbol", F.col("session_date").cast("string"), F.lit("non_session_date"))
     )
-    marked = timed.select(
-        "batch_id", label.alias("label"), (~refused & F.col("close_utc").isNull()).alias(NON_SESSION),
-        refused.alias(MALFORMED),
-    )
+    marked = rows.select("batch_id", "state", label.alias("label"), off.alias(NON_SESSION), refused.alias(MALFORMED))
     named = rows.sparkSession.createDataFrame([(b,) for b in batches], "batch_id bigint")
-    counts = quality.anomaly_counts(marked, [NON_SESSION, MALFORMED], ~F.col(MALFORMED), batches=named)
+    counts = quality.anomaly_counts(
+        marked, [NON_SESSION, MALFORMED], F.col("state").isin(KEPT, OFF_SESSION), batches=named
+    )
     return quality.dq_results(counts, checks)
 
 
@@ -91,11 +140,11 @@ def backfill(
     the shared folder; bars, counts and samples are read from there.
     """
     found, ambiguous = identity.resolve_any_time(docs.select("symbol").distinct(), identifiers)
-    rows = parsed_rows(docs, found).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    rows = graded(parsed_rows(docs, found), sessions).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     parsed, path = session.staged(rows, "parsed")
     kept, _ = calendar.stamp_knowledge(usable(parsed), sessions)
     staged = lake.stage(kept.withColumn("source", F.lit(source)), root, version)
-    results = session.stored(batch_quality(parsed, sessions, checks, [batch_id]))
+    results = session.stored(batch_quality(parsed, checks, [batch_id]))
     session.discard(docs.sparkSession, path)
     return staged, results, ambiguous
 
@@ -103,19 +152,20 @@ def backfill(
 def capture_sessions(
     docs: DataFrame, identifiers: DataFrame, sessions: DataFrame, checks: DataFrame, path: str,
     targets: list[dt.date], first_batch: int, source: str = "TIINGO",
-) -> DataFrame:
-    """Capture all due sessions in one merge, each session its own batch. Returns the quality rows.
+) -> tuple[DataFrame, DataFrame]:
+    """Capture all due sessions in one merge, each session its own batch. Returns the quality rows and the accounts.
 
-    Only the list of session dates is on the driver. Rows without a readable date belong to no session;
-    they are counted with the first due one. A stopped run leaves whole months, old or new, and is repeated.
+    Only the list of session dates is on the driver. Every parsed row is counted with one due session in one
+    state (`assigned`); those of due sessions are merged. A stopped run leaves the old months or the new ones, and
+    is repeated.
     """
     spark, days = docs.sparkSession, sorted(targets)
     found, _ = identity.resolve_batch(docs.select("symbol").distinct(), identifiers, days[-1])
-    due = spark.createDataFrame([(d, first_batch + n) for n, d in enumerate(days)], "due date, batch_id bigint")
-    rows = parsed_rows(docs, found).withColumn("due", F.coalesce("session_date", F.lit(days[0])))
-    parsed, staged = session.staged(rows.join(F.broadcast(due), "due").drop("due"), "parsed")  # at most the calendar's days
+    rows = assigned(parsed_rows(docs, found), sessions, days, first_batch)
+    parsed, staged = session.staged(rows, "parsed")
     lake.merge_batches(usable(parsed), sessions, path, source)
     batches = [first_batch + n for n in range(len(days))]
-    results = session.stored(batch_quality(parsed, sessions, checks, batches))
+    results = session.stored(batch_quality(parsed, checks, batches))
+    counted = session.stored(accounts(parsed, batches))
     session.discard(spark, staged)
-    return results
+    return results, counted

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vintagelake import session
 from vintagelake.operators import identity, lineage
-from vintagelake.plans.capture import batch_quality, parsed_rows, usable
+from vintagelake.plans.capture import batch_quality, graded, parsed_rows, usable
 from vintagelake.sources import lake
 
 
@@ -34,10 +34,10 @@ def merge_documents(
 ) -> None:
     """One micro-batch: parse, resolve as of today, merge bars, store the quality rows under the batch."""
     found, _ = identity.resolve_batch(docs.select("symbol").distinct(), identifiers, today)
-    rows = parsed_rows(docs, found).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    rows = graded(parsed_rows(docs, found), sessions).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     parsed, path = session.staged(rows, "parsed")
     lake.merge_batches(usable(parsed), sessions, lake_path, source)
-    quality = batch_quality(parsed, sessions, checks, [batch_id])
+    quality = batch_quality(parsed, checks, [batch_id])
     (
         quality.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id").parquet(dq_path)
