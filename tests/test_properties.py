@@ -1,8 +1,10 @@
 """Properties that must hold for any input, checked against plain Python."""
 
 import datetime as dt
+import heapq
 import random
 
+import pandas as pd
 import pytest
 from helpers import D, actions, bar, bars, identifiers, pairs, utc
 from pyspark.sql import functions as F
@@ -47,6 +49,37 @@ def test_segments_equal_brute_force(spark, rule, seed):
     assert len(got) == 5 * 185
 
 
+def test_many_overlapping_windows_of_one_key(spark):
+    """100,000 windows, each overlapping tens of thousands of others: the blocks stay near n log n rows."""
+    r = random.Random(8)
+    first, n = D(1600, 1, 1).toordinal(), 100_000
+    spans = [(i, i + 1 + r.randrange(100_000)) for i in range(n)]
+    table = pd.DataFrame({"k": "K", "a": [a for a, _ in spans], "b": [b for _, b in spans], "v": range(n)})
+    day = "date_add(date'1600-01-01', cast({} as int))"
+    df = spark.createDataFrame(table).selectExpr("k", f"{day.format('a')} AS valid_from", f"{day.format('b')} AS valid_to", "v")
+    got = intervals.latest_start_segments(df, "k", ["v"]).select(
+        F.datediff("seg_from", F.lit(D(1600, 1, 1))).alias("a"), F.datediff("seg_to", F.lit(D(1600, 1, 1))).alias("b"), "v"
+    ).toPandas().sort_values("a")
+    assert D.fromordinal(first) == D(1600, 1, 1)
+    # Sweep: the open window with the latest start rules; windows that have ended are dropped from the top.
+    want, heap, at = [], [], 0
+    cuts = sorted({x for span in spans for x in span})
+    for lo, hi in zip(cuts, cuts[1:]):
+        while at < n and spans[at][0] <= lo:
+            heapq.heappush(heap, (-spans[at][0], spans[at][1], at))
+            at += 1
+        while heap and heap[0][1] <= lo:
+            heapq.heappop(heap)
+        if heap:
+            want.append((lo, hi, heap[0][2]))
+    assert list(got.itertuples(index=False, name=None)) == want
+    placed = pd.Series(range(len(cuts)), index=cuts)
+    numbered = spark.createDataFrame(pd.DataFrame({
+        "k": "K", "lo": placed[[a for a, _ in spans]].values, "hi": placed[[b for _, b in spans]].values, "v": range(n)}))
+    blocks = intervals._blocks(numbered.selectExpr("k", "struct(v) AS _ruler", "lo AS _lo", "hi AS _hi"), "k")
+    assert blocks.count() <= 2 * len(cuts)  # no more than there are aligned blocks
+
+
 def _many_bars(seed=5, n=400):
     r = random.Random(seed)
     rows = []
