@@ -3,13 +3,16 @@
 import datetime as dt
 import heapq
 import random
+import tempfile
 
 import pandas as pd
 import pytest
 from helpers import D, actions, bar, bars, identifiers, pairs, utc
 from pyspark.sql import functions as F
 
-from vintagelake.operators import adjust, asof, features, fundamentals, identity, intervals, select, stats, universe
+from vintagelake.operators import (
+    adjust, asof, features, fundamentals, identity, intervals, rebuild, select, selection, stats, universe,
+)
 from vintagelake.operators.actions import derive_actions, write_outcomes
 
 DAY0 = D(2000, 1, 1)
@@ -49,6 +52,67 @@ def test_segments_equal_brute_force(spark, rule, seed):
     assert len(got) == 5 * 185
 
 
+@pytest.mark.parametrize("kind", ["spread", "ties", "close", "signs", "one", "none"])
+def test_exact_median(spark, kind):
+    r = random.Random(hash(kind) % 1000)
+    values = {
+        "spread": [10.0 ** r.uniform(-300, 300) for _ in range(2001)],
+        "ties": [float(r.choice([0, 1, 1, 2, 7])) for _ in range(3000)],
+        "close": [1.0 + i * 2.0**-52 for i in range(999)],
+        "signs": [r.gauss(0, 1) for _ in range(1500)] + [0.0, -0.0, 5e-324, -5e-324],
+        "one": [3.5], "none": [],
+    }[kind]
+    r.shuffle(values)
+    rows = [(v, 1) for v in values] + [(None, 1), (float("nan"), 1), (float("inf"), 1)]
+    df = spark.createDataFrame(rows, "x double, n bigint")
+    want = sorted(values)[len(values) // 2] if values else None
+    assert selection.upper_median(df, "x") == want
+    weighted = [(v, r.randrange(0, 4)) for v in values]
+    flat = sorted(v for v, n in weighted for _ in range(n))
+    got = selection.upper_median(spark.createDataFrame(weighted, "x double, n bigint"), "x", "n") if weighted else None
+    assert got == (flat[len(flat) // 2] if flat else None)
+
+
+def test_rebuild_reads_each_lake_once(spark):
+    day = D(2000, 1, 3)
+    old = bars(spark, [bar(1, day, 1.0, utc(2000, 1, 3, 21))])
+    paths = [tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/b" for _ in range(2)]
+    for p in paths:
+        old.write.parquet(p)
+    lakes = [spark.read.parquet(p) for p in paths]
+    cal = spark.createDataFrame([(day, utc(2000, 1, 3, 21))], "session_date date, close_utc timestamp")
+    plan = rebuild.tagged(*lakes, cal)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning(security_id") == 2
+    assert plan.count("Exchange hashpartitioning") <= 3 and "NestedLoop" not in plan
+
+
+def test_rebuild_report_equals_its_parts(spark):
+    """Versions, repeats, lost and new pairs, nulls, all sources: the one-pass report against the separate operators."""
+    r = random.Random(12)
+
+    def some(n):
+        rows = []
+        for _ in range(n):
+            d = _day(r.randrange(12))
+            rows.append(bar(
+                r.randrange(6), d, r.choice([1.0, 1.0005, 2.0]), utc(d.year, d.month, d.day, r.choice([21, 21, 21, 20])), batch=r.randrange(2),
+                volume=r.choice([0, None, 100, 120, 200]), source=r.choice(["A", "AB", "B"]), open=r.choice([None, 1.0])))
+        return bars(spark, rows)
+
+    old, new = some(150), some(90)
+    cal = spark.createDataFrame([(_day(i), utc(2000, 1, 1 + i, 21)) for i in range(11)], "session_date date, close_utc timestamp")
+    got = rebuild.report(old, new, cal).first().asDict()
+    shared = rebuild.shared_pairs(old, new)
+    assert got["old_rows"] == 150 and got["new_rows"] == 90
+    assert got["coverage_missing"] == rebuild.coverage_missing(old, new).count()
+    assert got["duplicate_pairs"] == rebuild.duplicate_pairs(new).count()
+    assert got["knowledge_violations"] == rebuild.knowledge_violations(new, cal).count()
+    assert got["compared"] == shared.count()
+    assert got["price_diffs"] == rebuild.price_diffs(shared).count() and got["volume_diffs"] == rebuild.volume_diffs(shared).count()
+    rel = sorted(abs(p.old_volume - p.new_volume) / p.old_volume for p in shared.collect() if p.old_volume and p.new_volume is not None)
+    assert got["volume_rel_median"] == rel[len(rel) // 2]
+
+
 def test_many_overlapping_windows_of_one_key(spark):
     """100,000 windows, each overlapping tens of thousands of others: the blocks stay near n log n rows."""
     r = random.Random(8)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vintagelake import session
 from vintagelake.operators.asof import BAR_KEY, latest_bars
 from vintagelake.operators.calendar import bounded
 from vintagelake.operators.select import beside
+from vintagelake.operators.selection import upper_median
 
 # Size of a sample, where one is asked for, and relative price tolerance.
 SAMPLE_SIZE = 5000
@@ -83,78 +85,117 @@ def volume_diffs(pairs: DataFrame) -> DataFrame:
     return pairs.where(_volume_differs()).select(*BAR_KEY, "old_volume", "new_volume")
 
 
+def _differences(old: str, new: str, tolerance: float) -> Column:
+    """How many of the four prices differ."""
+    each = [_price_differs(F.col(f"{old}{c}"), F.col(f"{new}{c}"), tolerance).cast("int") for c in PRICES]
+    return sum(each[1:], each[0])
+
+
+def _volume_rel(old: Column, new: Column) -> Column:
+    """Relative volume difference; null where the old volume is null or 0 or the new one is null."""
+    return F.when((old != 0) & new.isNotNull(), F.abs(old - new) / old)
+
+
 def pairs_summary(pairs: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
-    """Number of pairs, difference counts, and the upper median of the relative volume difference."""
-    per_row = sum(
-        (_price_differs(F.col(f"old_{c}"), F.col(f"new_{c}"), tolerance).cast("int") for c in PRICES), F.lit(0)
+    """One row: number of pairs, difference counts, and the upper median of the relative volume difference.
+
+    The pairs are computed once, into the shared folder.
+    """
+    rel = _volume_rel(F.col("old_volume"), F.col("new_volume"))
+    seen, path = session.staged(
+        pairs.select(
+            _differences("old_", "new_", tolerance).alias("prices"), _volume_differs().cast("int").alias("volumes"), rel.alias("rel")
+        ),
+        "pairs",
     )
-    comparable = (F.col("old_volume") != 0) & F.col("new_volume").isNotNull()
-    rel = F.when(comparable, F.abs(F.col("old_volume") - F.col("new_volume")) / F.col("old_volume"))
-    counts = pairs.agg(
-        F.count(F.lit(1)).alias("compared"),
-        F.coalesce(F.sum(per_row), F.lit(0)).alias("price_diffs"),
-        F.count_if(_volume_differs()).alias("volume_diffs"),
+    counts = seen.agg(
+        F.count(F.lit(1)).alias("compared"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("prices", "volumes")]
+    ).first()
+    median = upper_median(seen, "rel")
+    session.discard(pairs.sparkSession, path)
+    return pairs.sparkSession.createDataFrame(
+        [(counts.compared, counts.prices, counts.volumes, median)],
+        "compared bigint, price_diffs bigint, volume_diffs bigint, volume_rel_median double",
     )
-    return beside(counts, upper_median(pairs.select(rel.alias("rel")), "rel").withColumnRenamed("rel", "volume_rel_median"))
 
 
-def upper_median(df: DataFrame, value: str) -> DataFrame:
-    """One row: the element floor(n / 2) of the sorted values, nulls left out; null when there are none.
+def _latest_first() -> Column:
+    """bar_order as one value whose maximum is the first row: a source that sorts earlier has the larger mirror."""
+    mirrored = F.translate(F.hex("source"), "0123456789ABCDEF", "FEDCBA9876543210")
+    mirror = F.coalesce(F.concat(mirrored, F.lit("G")), F.lit("H"))
+    fields = ("close", "volume", "open", "high", "low", "trade_count", "vwap")
+    return F.struct("knowledge_time", "batch_id", mirror.alias("mirror"), *fields)
 
-    A sketch brackets it within 0.1 % of the ranks; only the distinct values in the bracket are
-    ordered in one task.
-    """
-    values = df.select(F.col(value).alias("x")).where("x IS NOT NULL")
-    near = values.agg(F.percentile_approx("x", [0.499, 0.501], 10_000).alias("p"))
-    bracket = near.select(F.col("p")[0].alias("lo"), F.col("p")[1].alias("hi"))
-    placed = beside(values, bracket)
-    total = placed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") < F.col("lo")).alias("below"))
-    some = placed.where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = beside(some.withColumn("upto", upto), total)
-    return ranked.where(F.col("below") + F.col("upto") > F.floor(F.col("n") / 2)).agg(F.min("x").alias(value))
 
+def tagged(old: DataFrame, new: DataFrame, sessions: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
+    """Both lakes by (security, session), from one scan of each: a row for each pair of the old lake and for each
+    distinct version of the new one.
 
-def pair_summary(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Row counts, lost pairs and repeated pairs from one outer join of per-pair counts.
-
-    Each side is reduced to one row per (security, session) on the map side first.
+    copies: rows it stands for. is_new: its side. lost: a pair without a new row. repeated: the first version of a pair
+    with several new rows. off: its knowledge time is not the session's close. shared: a version with an old row;
+    prices, volumes, rel: its differences from the latest old row. Rows meet by a flag in one grouping, whose
+    sums start on the map side, then by pair; null keys are equal.
     """
-    def pairs(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*BAR_KEY).agg(F.count(F.lit(1)).alias(name))
-
-    both = pairs(old, "o").join(pairs(new, "n"), BAR_KEY, "full_outer")
-    zero = F.lit(0)
-    return both.agg(
-        F.coalesce(F.sum("o"), zero).alias("old_rows"),
-        F.coalesce(F.sum("n"), zero).alias("new_rows"),
-        F.count_if(F.col("o").isNotNull() & F.col("n").isNull()).alias("coverage_missing"),
-        F.count_if(F.col("n") > 1).alias("duplicate_pairs"),
+    version = F.struct(*PRICES, "volume", "knowledge_time")
+    sides = (
+        old.select(*BAR_KEY, F.lit(False).alias("is_new"), F.lit(None).cast(new.select(version.alias("v")).schema["v"].dataType).alias("v"),
+                   _latest_first().alias("rank"))
+        .unionByName(
+            new.select(*BAR_KEY, F.lit(True).alias("is_new"), version.alias("v"), F.lit(None).cast(old.select(_latest_first().alias("r")).schema["r"].dataType).alias("rank"))
+        )
+    )
+    reduced = sides.groupBy(*BAR_KEY, "is_new", "v").agg(F.count(F.lit(1)).alias("copies"), F.max("rank").alias("rank"))
+    pair = Window.partitionBy(*BAR_KEY)
+    news = F.sum(F.when(F.col("is_new"), F.col("copies"))).over(pair)
+    met = reduced.select(
+        "*", news.alias("news"), F.max("rank").over(pair).alias("last"), F.max(~F.col("is_new")).over(pair).alias("has_old"),
+        F.row_number().over(pair.orderBy("is_new", "v")).alias("at"), F.count_if(~F.col("is_new")).over(pair).alias("olds"),
     )
-
-
-def knowledge_summary(new: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Number of rows on offending dates, from one row per date."""
     closes = bounded(sessions).select("session_date", "close_utc")
-    off = F.col("close_utc").isNull() | F.coalesce(F.col("knowledge_time") != F.col("close_utc"), F.lit(True))
-    dates = new.join(closes, "session_date", "left").groupBy("session_date").agg(
-        F.count(F.lit(1)).alias("n"), F.max(off).alias("bad")
+    met = met.join(closes, "session_date", "left")
+    is_new, shared = F.col("is_new"), F.col("is_new") & F.col("has_old")
+    off = F.col("close_utc").isNull() | F.coalesce(F.col("v.knowledge_time") != F.col("close_utc"), F.lit(True))
+    return met.select(
+        "session_date", "copies", "is_new", (~is_new & F.col("news").isNull()).alias("lost"),
+        (is_new & (F.col("news") > 1) & (F.col("at") == F.col("olds") + 1)).alias("repeated"), (is_new & off).alias("off"),
+        shared.alias("shared"),
+        F.when(shared, _differences("last.", "v.", tolerance)).alias("prices"),
+        F.when(shared, (~F.col("last.volume").eqNullSafe(F.col("v.volume"))).cast("int")).alias("volumes"),
+        F.when(shared, _volume_rel(F.col("last.volume"), F.col("v.volume"))).alias("rel"),
     )
-    return dates.agg(F.coalesce(F.sum(F.when(F.col("bad"), F.col("n"))), F.lit(0)).alias("knowledge_violations"))
 
 
 def report(
     old: DataFrame, new: DataFrame, sessions: DataFrame, sample: int | None = None,
     seed: int = SAMPLE_SEED, tolerance: float = PRICE_TOLERANCE,
 ) -> DataFrame:
-    """All stages in one row, over all shared pairs or a sample of them. Lost pairs, duplicates and wrong knowledge times fail; value differences do not."""
-    pairs = shared_pairs(old, new)
-    parts = beside(
-        pair_summary(old, new),
-        knowledge_summary(new, sessions),
-        pairs_summary(pairs if sample is None else sampled(pairs, sample, seed), tolerance),
+    """All stages in one row, over all shared pairs or a sample of them. Lost pairs, duplicates and wrong knowledge times fail; value differences do not.
+
+    Both lakes are read once; what they say of each pair is stored in the shared folder and summed from there.
+    """
+    spark = old.sparkSession
+    seen, path = session.staged(tagged(old, new, sessions, tolerance), "rebuild")
+    n = F.col("copies")
+    count = lambda cond: F.sum(F.when(cond, n).otherwise(0))
+    dates = seen.groupBy("session_date").agg(
+        count(~F.col("is_new")).alias("old_rows"), count(F.col("is_new")).alias("new_rows"),
+        F.count_if("lost").alias("coverage_missing"), F.count_if("repeated").alias("duplicate_pairs"), F.max("off").alias("off"),
+        count(F.col("shared")).alias("compared"),
+        *[F.coalesce(F.sum(F.col(c) * n), F.lit(0)).alias(to) for c, to in (("prices", "price_diffs"), ("volumes", "volume_diffs"))],
     )
-    return parts.withColumn("passed", gate())
+    names = ["old_rows", "new_rows", "coverage_missing", "duplicate_pairs", "knowledge_violations", "compared", "price_diffs", "volume_diffs"]
+    # One wrong knowledge time makes all new rows of its date wrong.
+    dates = dates.withColumn("knowledge_violations", F.when(F.col("off"), F.col("new_rows")).otherwise(0))
+    totals = dates.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first().asDict()
+    if sample is None:
+        totals["volume_rel_median"] = upper_median(seen, "rel", "copies")
+    else:
+        totals |= pairs_summary(sampled(shared_pairs(old, new), sample, seed), tolerance).first().asDict()
+    session.discard(spark, path)
+    kinds = ", ".join(f"{c} bigint" for c in names)
+    order = [*names, "volume_rel_median"]
+    one = spark.createDataFrame([tuple(totals[c] for c in order)], f"{kinds}, volume_rel_median double")
+    return one.withColumn("passed", gate())
 
 
 def gate() -> Column:
