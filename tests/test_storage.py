@@ -74,6 +74,74 @@ def test_publication(spark):
     assert spark.read.parquet(lake.version_path(root, 1)).count() == 1  # the old version stays
 
 
+def test_readers_see_a_merge_whole_or_not_at_all(spark):
+    """A reader that started before a merge keeps its version, a later one has all of the new one, months of both never mix."""
+    days = [D(2020, m, 3) for m in range(1, 5)]
+    cal, path = sessions(spark, days), _tmp() + "/silver"
+    lake.merge_bars(bars(spark, [bar(1, d, 1.0, utc(2020, 1, 1)) for d in days]), cal, path, "TIINGO", 1)
+    before = lake.scan_bars(spark, path)
+    written, seen = lake.snapshots.commit, []
+
+    def watched(*args):
+        # All new months are stored, but not committed: the dataset is still the old one.
+        seen.append(pairs(lake.scan_bars(spark, path), "session_date", "close"))
+        return written(*args)
+
+    lake.snapshots.commit = watched
+    try:
+        lake.merge_bars(bars(spark, [bar(1, d, 2.0, utc(2020, 1, 1)) for d in days[1:]]), cal, path, "TIINGO", 2)
+    finally:
+        lake.snapshots.commit = written
+    assert seen == [[(d, 1.0) for d in days]] and pairs(before, "session_date", "close") == seen[0]
+    assert pairs(lake.scan_bars(spark, path), "session_date", "close") == [(days[0], 1.0), *((d, 2.0) for d in days[1:])]
+    version, months = lake.snapshot(spark, path)
+    assert version == 2 and sorted(months) == ["2020-01", "2020-02", "2020-03", "2020-04"]
+    assert lake.snapshot(spark, path, 1)[1]["2020-01"] == months["2020-01"] != months["2020-02"]
+    assert lake.vacuum_months(spark, path, keep=1) == 3
+    assert pairs(lake.scan_bars(spark, path), "session_date", "close") == [(days[0], 1.0), *((d, 2.0) for d in days[1:])]
+
+
+def test_a_lost_race_is_an_error_and_changes_nothing(spark):
+    cal, path = sessions(spark, [JUL30, JUL31]), _tmp() + "/silver"
+    k = utc(2026, 7, 31)
+    lake.merge_bars(bars(spark, [bar(1, JUL30, 1.0, k)]), cal, path, "TIINGO", 1)
+    written = lake.snapshots.commit
+
+    def overtaken(*args):
+        lake.snapshots.commit = written
+        lake.merge_bars(bars(spark, [bar(1, JUL31, 5.0, k)]), cal, path, "TIINGO", 2)
+        return written(*args)
+
+    lake.snapshots.commit = overtaken
+    try:
+        with pytest.raises(lake.snapshots.LostRace):
+            lake.merge_bars(bars(spark, [bar(1, JUL30, 9.0, k)]), cal, path, "TIINGO", 3)
+    finally:
+        lake.snapshots.commit = written
+    assert pairs(lake.scan_bars(spark, path), "session_date", "close") == [(JUL30, 1.0), (JUL31, 5.0)]
+    assert len([n for n in os.listdir(path) if n.startswith("part=")]) == 2 and lake.snapshot(spark, path)[0] == 2
+    root = _tmp() + "/p"
+    lake.stage(bars(spark, [bar(1, JUL30, 1.0, k)]), root, 1)
+    lake.publish(spark, root, 1, True, utc(2026, 8, 1))
+    with pytest.raises(lake.snapshots.LostRace):
+        lake.snapshots.commit(spark, root + "/_published", 0, {"version": 7})
+    assert pairs(lake.pointers(spark, root), "version", "published_at") == [(1, dt.datetime(2026, 8, 1))]
+
+
+def test_a_batch_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = bars(spark, [bar(1, d, 1.0, utc(2026, 7, 31)) for d in (JUL30, JUL31, SUN)]).mapInPandas(counted, schemas.BARS)
+    path = _tmp() + "/b"
+    skipped = lake.write_bars(rows, sessions(spark, [JUL30, JUL31]), path, "TIINGO", 1)
+    assert pairs(skipped, "session_date") == [(SUN,)] and lake.scan_bars(spark, path).count() == 2 and seen.value == 3
+
+
 def test_gold_of_one_security_leaves_the_others(spark):
     path = _tmp() + "/gold"
     row = lambda s, d, c: (s, "A", d, utc(2020, 1, 1), c, 1, *([None] * 8))

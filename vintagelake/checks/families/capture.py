@@ -348,7 +348,7 @@ SQL_VIEWS["merged"] = """
         WHERE b.volume > 2000
       UNION ALL
       SELECT b.* REPLACE (2 AS batch_id, 'TIINGO' AS source), s.close_utc FROM bars b JOIN sessions s USING (session_date)
-        WHERE b.volume <= 2500 AND session_date < DATE '1998-01-01')
+        WHERE b.volume <= 2500)
     QUALIFY row_number() OVER (PARTITION BY security_id, session_date ORDER BY close_utc DESC, batch_id DESC, source,
       close DESC, volume DESC, open DESC, high DESC, low DESC, trade_count DESC, vwap DESC) = 1"""
 
@@ -360,8 +360,7 @@ SQL_VIEWS["merged"] = """
 def _(v: Views):
     path = session.scratch(v.spark, "silver")
     lake.merge_bars(v.bars.where("volume > 2000"), v.sessions, path, "TIINGO", 1)
-    late = v.bars.where((F.col("volume") <= 2500) & (F.col("session_date") < F.lit(dt.date(1998, 1, 1))))
-    lake.merge_bars(late, v.sessions, path, "TIINGO", 2)
+    lake.merge_bars(v.bars.where("volume <= 2500"), v.sessions, path, "TIINGO", 2)
     return lake.scan_bars(v.spark, path).select("security_id", "session_date", "close", "volume", "batch_id")
 
 
@@ -402,8 +401,7 @@ def _(v: Views):
 def _(v: Views):
     path = session.scratch(v.spark, "silver")
     lake.merge_bars(v.bars.where("volume > 2000"), v.sessions, path, "TIINGO", 1)
-    late = v.bars.where((F.col("volume") <= 2500) & (F.col("session_date") < F.lit(dt.date(1998, 1, 1))))
-    lake.merge_bars(late, v.sessions, path, "TIINGO", 2)
+    lake.merge_bars(v.bars.where("volume <= 2500"), v.sessions, path, "TIINGO", 2)
     rows = lake.scan_months(v.spark, path, schemas.BARS, dt.date(1997, 2, 10), dt.date(1997, 11, 20))
     return rows.where("batch_id = 2").select("security_id", "session_date", "close", "volume")
 
