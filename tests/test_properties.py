@@ -11,7 +11,7 @@ from helpers import D, actions, bar, bars, identifiers, pairs, utc
 from pyspark.sql import functions as F
 
 from vintagelake.operators import (
-    adjust, asof, features, fundamentals, identity, intervals, rebuild, select, selection, stats, universe,
+    adjust, asof, features, fundamentals, identity, intervals, quality, rebuild, select, selection, stats, universe,
 )
 from vintagelake.operators.actions import derive_actions, write_outcomes
 
@@ -86,6 +86,27 @@ def test_rebuild_reads_each_lake_once(spark):
     assert plan.count("Exchange hashpartitioning") <= 3 and "NestedLoop" not in plan
 
 
+def test_the_quality_run_reads_bars_once(spark):
+    r = random.Random(3)
+    rows = [bar(r.randrange(4), _day(r.randrange(30)), r.choice([-1.0, 1.0]), utc(2000, 2, r.randrange(1, 4)), batch=r.randrange(3),
+                volume=r.choice([0, 5, None]), source=r.choice(["A", "AB"])) for _ in range(300)]
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/b"
+    bars(spark, rows).write.parquet(path)
+    stored = spark.read.parquet(path)
+    days = [_day(i) for i in range(25) if i % 7 < 5]
+    cal = spark.createDataFrame([(d, utc(d.year, d.month, d.day, 21)) for d in days], "session_date date, close_utc timestamp")
+    listed = spark.createDataFrame([(i,) for i in range(5)], "security_id bigint")
+    out = quality.run_all(stored, listed, cal, _day(24))
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    got = {m.metric: m.value for m in out.collect()}
+    latest = asof.latest_bars(stored)
+    assert got["duplicates"] == quality.duplicates(stored).count()
+    assert got["sanity_violations"] == quality.sanity(latest).first().violations
+    assert got["zero_volume"] == quality.zero_volume(latest).count() and got["coverage_pct"] == 80.0
+    assert got["interior_gaps"] == quality.gap_totals(latest, cal).first().interior_total
+    assert got["sessions_behind"] == max(0, quality.freshness(stored, cal, _day(24)).first().sessions_behind)
+
+
 def test_rebuild_report_equals_its_parts(spark):
     """Versions, repeats, lost and new pairs, nulls, all sources: the one-pass report against the separate operators."""
     r = random.Random(12)

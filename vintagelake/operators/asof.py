@@ -27,6 +27,17 @@ def bar_order() -> list[Column]:
     ]
 
 
+def latest_rank() -> Column:
+    """bar_order as one value, whose maximum is the first row; so a plain sum on the map side finds it.
+
+    A source that sorts earlier has the larger mirror. The payload is part of the value.
+    """
+    mirrored = F.translate(F.hex("source"), "0123456789ABCDEF", "FEDCBA9876543210")
+    mirror = F.coalesce(F.concat(mirrored, F.lit("G")), F.lit("H"))
+    payload = ("close", "volume", "open", "high", "low", "trade_count", "vwap")
+    return F.struct("knowledge_time", "batch_id", mirror.alias("mirror"), *payload)
+
+
 def bars_asof_raw(
     bars: DataFrame,
     as_of: dt.date | dt.datetime,

@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vintagelake import session
 from vintagelake.functions.temporal import listed_on
-from vintagelake.operators.asof import latest_bars
+from vintagelake.operators.asof import BAR_KEY, latest_rank
 from vintagelake.operators.calendar import bounded, session_index
 from vintagelake.operators.identity import tickers
 from vintagelake.operators.select import beside, first_n_per_key
@@ -97,13 +98,12 @@ def _session_flags(sessions: DataFrame) -> DataFrame:
     return F.broadcast(days.withColumn("is_session", F.lit(True)))
 
 
-def _with_expected(own: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Add missing = sessions in [first_bar, last_bar] minus observed, from a running session count.
+def _with_expected(own: DataFrame, index: DataFrame) -> DataFrame:
+    """Add missing = sessions in [first_bar, last_bar] minus observed, from a running session count (session_index).
 
     The count has one row per calendar day, so both look-ups are broadcast; nothing
     of size securities x sessions is built. Days outside the calendar are clamped.
     """
-    index = session_index(sessions)
     first = index.select(
         F.col("day").alias("_first"),
         (F.col("sessions_upto") - F.col("is_session").cast("bigint")).alias("before_first"),
@@ -130,7 +130,7 @@ def gaps(latest: DataFrame, sessions: DataFrame) -> DataFrame:
         F.max("session_date").alias("last_bar"),
         F.count("is_session").alias("observed"),
     )
-    return _with_expected(own, sessions).select("security_id", "symbol", "missing").where(F.col("missing") > 0)
+    return _with_expected(own, session_index(sessions)).select("security_id", "symbol", "missing").where(F.col("missing") > 0)
 
 
 def gap_dates(latest: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def gap_totals(latest: DataFrame, sessions: DataFrame) -> DataFrame:
     own = latest.join(_session_flags(sessions), "session_date", "left").groupBy("security_id").agg(
         F.min("session_date").alias("first_bar"), F.max("session_date").alias("last_bar"), F.count("is_session").alias("observed")
     )
-    return _with_expected(own, sessions).agg(
+    return _with_expected(own, session_index(sessions)).agg(
         F.coalesce(F.sum(F.greatest(F.col("missing"), F.lit(0))), F.lit(0)).alias("interior_total"),
         F.count_if(F.col("missing") < 0).alias("listing_era_leak"),
     )
@@ -176,25 +176,33 @@ def freshness(bars: DataFrame, sessions: DataFrame, today: dt.date) -> DataFrame
     )
 
 
-def _per_security(latest: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Everything the summary needs of the latest bars, in one pass: one row per security."""
-    marked = latest.join(_session_flags(sessions), "session_date", "left")
+def _per_security(bars: DataFrame, index: DataFrame) -> DataFrame:
+    """Everything the summary needs, in one pass over the raw bars: one row per security.
+
+    Versions of equal knowledge time are counted and reduced on the map side, then the versions of a session.
+    """
+    versions = bars.groupBy(*BAR_KEY, "knowledge_time").agg(F.count(F.lit(1)).alias("copies"), F.max(latest_rank()).alias("last"))
+    latest = versions.groupBy(*BAR_KEY).agg(F.max("last").alias("last"), F.count_if(F.col("copies") > 1).alias("repeats"))
+    days = F.broadcast(index.where("is_session").select(F.col("day").alias("session_date"), "is_session"))
+    marked = latest.select(*BAR_KEY, "repeats", "last.*").join(days, "session_date", "left")
     return marked.groupBy("security_id").agg(
         F.min("session_date").alias("first_bar"),
         F.max("session_date").alias("last_bar"),
         F.count("is_session").alias("observed"),
         *[F.count_if(cond).alias(name) for name, cond in _violations().items()],
         F.count_if(F.col("volume").isNull() | (F.col("volume") <= 0)).alias("zero_volume"),
+        F.sum("repeats").alias("repeats"),
     )
 
 
 def run_all(bars: DataFrame, securities: DataFrame, sessions: DataFrame, today: dt.date) -> DataFrame:
     """One row per check with its verdict; gaps, zero volume and freshness only report.
 
-    The latest bars are read once. listing_era_leak counts securities with more
-    sessions observed than their window holds, which is 0 unless windows are wrong.
+    The bars are read once. The calendar is counted once and stored: one row for each of its days. listing_era_leak
+    counts securities with more sessions observed than their window holds, which is 0 unless windows are wrong.
     """
-    own = _with_expected(_per_security(latest_bars(bars), sessions), sessions)
+    index = session.stored(session_index(sessions))
+    own = _with_expected(_per_security(bars, index), index)
     names = list(_violations())
     totals = own.agg(
         F.count(F.lit(1)).alias("with_bars"),
@@ -202,16 +210,17 @@ def run_all(bars: DataFrame, securities: DataFrame, sessions: DataFrame, today:
         F.sum("zero_volume").alias("zero_volume"),
         F.sum(F.greatest(F.col("missing"), F.lit(0))).alias("interior_gaps"),
         F.count_if(F.col("missing") < 0).alias("listing_era_leak"),
+        F.coalesce(F.sum("repeats"), F.lit(0)).alias("duplicates"),
+        F.max("last_bar").alias("lake_max"),
     )
+    upto = lambda day: F.coalesce(F.max(F.when(F.col("day") <= day, F.col("sessions_upto"))), F.lit(0))
     seeded = securities.agg(F.count(F.lit(1)).alias("seeded"))
-    dup = duplicates(bars).agg(F.count(F.lit(1)).alias("duplicates"))
-    one = beside(totals, seeded, dup)
-    upto = session_index(sessions).where(F.col("day") <= F.lit(today)).agg(F.max("sessions_upto").alias("upto_today"))
-    at_max = (
-        beside(session_index(sessions), bars.agg(F.max("session_date").alias("lake_max")))
-        .where(F.col("day") <= F.col("lake_max")).agg(F.max("sessions_upto").alias("upto_lake"))
+    one = beside(totals, seeded, index.agg(upto(F.lit(today)).alias("upto_today")))
+    # The last stored day is known only here: it meets the calendar's few rows in a broadcast join.
+    day = F.least("lake_max", index.agg(F.max("day").alias("d")).scalar())
+    one = one.withColumn("at", day).join(
+        F.broadcast(index.select(F.col("day").alias("at"), F.col("sessions_upto").alias("upto_lake"))), "at", "left"
     )
-    one = beside(one, upto, at_max)
     pct = F.when(F.col("seeded") > 0, F.round(F.col("with_bars") * 100.0 / F.col("seeded"), 2)).otherwise(0.0)
     behind = F.greatest(F.col("upto_today") - F.coalesce("upto_lake", F.lit(0)), F.lit(0))
 

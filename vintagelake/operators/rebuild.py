@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelake import session
-from vintagelake.operators.asof import BAR_KEY, latest_bars
+from vintagelake.operators.asof import BAR_KEY, latest_bars, latest_rank
 from vintagelake.operators.calendar import bounded
 from vintagelake.operators.select import beside
 from vintagelake.operators.selection import upper_median
@@ -119,14 +119,6 @@ def pairs_summary(pairs: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataF
     )
 
 
-def _latest_first() -> Column:
-    """bar_order as one value whose maximum is the first row: a source that sorts earlier has the larger mirror."""
-    mirrored = F.translate(F.hex("source"), "0123456789ABCDEF", "FEDCBA9876543210")
-    mirror = F.coalesce(F.concat(mirrored, F.lit("G")), F.lit("H"))
-    fields = ("close", "volume", "open", "high", "low", "trade_count", "vwap")
-    return F.struct("knowledge_time", "batch_id", mirror.alias("mirror"), *fields)
-
-
 def tagged(old: DataFrame, new: DataFrame, sessions: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
     """Both lakes by (security, session), from one scan of each: a row for each pair of the old lake and for each
     distinct version of the new one.
@@ -139,9 +131,9 @@ def tagged(old: DataFrame, new: DataFrame, sessions: DataFrame, tolerance: float
     version = F.struct(*PRICES, "volume", "knowledge_time")
     sides = (
         old.select(*BAR_KEY, F.lit(False).alias("is_new"), F.lit(None).cast(new.select(version.alias("v")).schema["v"].dataType).alias("v"),
-                   _latest_first().alias("rank"))
+                   latest_rank().alias("rank"))
         .unionByName(
-            new.select(*BAR_KEY, F.lit(True).alias("is_new"), version.alias("v"), F.lit(None).cast(old.select(_latest_first().alias("r")).schema["r"].dataType).alias("rank"))
+            new.select(*BAR_KEY, F.lit(True).alias("is_new"), version.alias("v"), F.lit(None).cast(old.select(latest_rank().alias("r")).schema["r"].dataType).alias("rank"))
         )
     )
     reduced = sides.groupBy(*BAR_KEY, "is_new", "v").agg(F.count(F.lit(1)).alias("copies"), F.max("rank").alias("rank"))
