@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import random
 import re
 import tempfile
 
@@ -11,8 +12,8 @@ from helpers import D, actions, bar, bars, identifiers, pairs, sessions, utc
 from pyspark.sql import functions as F
 
 from vintagelake import schemas, seeds, session
-from vintagelake.operators import asof, calendar
-from vintagelake.plans import capture, gold as gold_plan
+from vintagelake.operators import adjust, asof, calendar
+from vintagelake.plans import capture, gold as gold_plan, health
 from vintagelake.sources import bronze, lake, registry_files
 from vintagelake.streaming import capture as stream
 
@@ -180,6 +181,54 @@ def test_filters_reach_the_scan(spark):
     assert "symbol" not in re.search(r"ReadSchema: (.*)", _plan(narrow)).group(1)
 
 
+def test_total_return_range_reads_only_its_months(spark):
+    r = random.Random(4)
+    days = [D(2018, 1, 1) + dt.timedelta(days=i) for i in range(0, 900, 3)]
+    rows = [bar(s, d, r.uniform(5, 9), utc(d.year, d.month, d.day, 21) + dt.timedelta(days=r.randrange(4))) for s in (1, 2) for d in days]
+    acts = actions(spark, [
+        (r.choice([1, 2]), "SPLIT", d, 1.0, 2.0, None) if r.random() < 0.5 else (r.choice([1, 2]), "CASH_DIVIDEND", d, None, None, 0.25)
+        for d in r.sample([D(2018, 1, 1) + dt.timedelta(days=i) for i in range(900)], 30)])
+    path, as_of = _tmp() + "/months", D(2020, 5, 1)
+    lake.write_months(bars(spark, rows), path)
+    whole = adjust.bars_asof(bars(spark, rows), acts, as_of, start=D(2019, 3, 5), end=D(2019, 6, 9), adjustment="total_return")
+    segments = session.stored(adjust.total_return_segments(bars(spark, rows), acts, as_of))
+    some = lake.scan_months(spark, path, schemas.BARS, D(2019, 3, 5), D(2019, 6, 9))
+    got = adjust.bars_asof(some, None, as_of, start=D(2019, 3, 5), end=D(2019, 6, 9), adjustment="total_return", segments=segments)
+    assert re.search(r"PartitionFilters: \[[^\]]*year", _plan(got))
+    key = ("security_id", "session_date", "close", "volume")
+    want, have = pairs(whole, *key), pairs(got, *key)
+    assert len(have) == len(want) > 50 and all(
+        a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-12) and a[3] == pytest.approx(b[3], abs=1) for a, b in zip(have, want, strict=True))
+    with pytest.raises(Exception, match="factors are stored as of"):
+        adjust.bars_asof(some, None, D(2020, 5, 2), adjustment="total_return", segments=segments).collect()
+
+
+def test_pages_together_are_the_whole_table(spark):
+    r = random.Random(6)
+    stamps = [None, *(dt.datetime(2020, 1, 1, h) for h in range(5))]
+    rows = [(i, r.choice(stamps), r.choice(["failed", "succeeded"])) for i in range(230)]
+    r.shuffle(rows)
+    path = _tmp() + "/batches"
+    spark.createDataFrame(rows, "batch_id bigint, started_at timestamp, status string").write.parquet(path)
+    table = spark.read.parquet(path)
+    for failed in (False, True):
+        seen, before = [], None
+        while True:
+            page = health.recent_jobs(table, 40, failed, before).collect()
+            if not page:
+                break
+            seen += [p.batch_id for p in page]
+            before = (page[-1].started_at, page[-1].batch_id)
+        want = [x for x in rows if not failed or x[2] == "failed"]
+        assert seen == [x[0] for x in sorted(want, key=lambda x: (x[1] or dt.datetime.min, x[0]), reverse=True)]
+    assert "LessThan(started_at" in _plan(health.recent_jobs(table, 40, False, (dt.datetime(2020, 1, 1, 2), 9)))
+    results = table.selectExpr("batch_id AS result_id", "batch_id", "started_at AS run_at", "status = 'failed' AS passed", "'c' AS check_name", "'{}' AS observed", "'d' AS details")
+    checks = spark.createDataFrame([("c",)], "name string")
+    first = health.recent_dq(results, checks, 150).collect()
+    rest = health.recent_dq(results, checks, 150, before=(first[-1].run_at, first[-1].result_id)).collect()
+    assert len({x.result_id for x in first + rest}) == 230
+
+
 def test_nightly_reads_only_the_look_back(spark):
     days = [D(2018, 1, 1) + dt.timedelta(days=i) for i in range(0, 900, 3)]
     path = _tmp() + "/months"

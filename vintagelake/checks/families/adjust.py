@@ -4,9 +4,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from vintagelake import schemas, session
 from vintagelake.checks.registry import check
 from vintagelake.checks.views import AS_OF, SQL_VIEWS, Views, settle, settle_sql
 from vintagelake.operators import actions, adjust, asof
+from vintagelake.sources import lake
 
 _RANK = "CASE source WHEN 'MANUAL' THEN 0 WHEN 'SEC' THEN 1 WHEN 'TIINGO' THEN 2 WHEN 'BOOTSTRAP' THEN 3 ELSE 99 END"
 SQL_VIEWS["acts"] = f"""
@@ -138,11 +140,22 @@ def _(v: Views):
         WHERE b.session_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'""",
 )
 def _(v: Views):
-    return _rounded(
-        adjust.bars_asof(
-            v.bars, v.actions, AS_OF, start=dt.date(1998, 1, 1), end=dt.date(1998, 12, 31), adjustment="total_return"
-        )
-    )
+    # Months and factors are stored; the read takes the months of its range and one segment for each bar.
+    path, start, end = session.scratch(v.spark, "silver"), dt.date(1998, 1, 1), dt.date(1998, 12, 31)
+    lake.write_months(v.bars, path)
+    segments = session.stored(adjust.total_return_segments(v.bars, v.actions, AS_OF))
+    rows = lake.scan_months(v.spark, path, schemas.BARS, start, end)
+    return _rounded(adjust.bars_asof(rows, None, AS_OF, start=start, end=end, adjustment="total_return", segments=segments))
+
+
+@check(
+    "adj_segments",
+    f"SELECT {_FAC} FROM factors_total",
+)
+def _(v: Views):
+    days = asof.bars_asof_raw(v.bars, AS_OF).select("security_id", "session_date")
+    out = adjust.with_stored_factors(days, adjust.total_return_segments(v.bars, v.actions, AS_OF), AS_OF)
+    return out.select("security_id", "session_date", *[settle(F.col(c), 9).alias(c) for c in ("price_factor", "volume_factor")])
 
 
 # The ratio search in SQL: all denominators for every distinct factor.

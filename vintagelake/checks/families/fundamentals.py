@@ -222,8 +222,10 @@ def _stored(v: Views):
     f"""WITH s AS ({_STORED}), w AS (
           SELECT security_id, period_start, period_end, max(value) FILTER (WHERE concept = 'debt_current') AS dc,
             max(value) FILTER (WHERE concept = 'debt_noncurrent') AS dn, max(value) FILTER (WHERE concept = 'cfo') AS cfo,
-            max(value) FILTER (WHERE concept = 'capex') AS capex FROM s GROUP BY ALL)
+            max(value) FILTER (WHERE concept = 'capex') AS capex, max(value) FILTER (WHERE concept = 'operating_income') AS oi,
+            max(value) FILTER (WHERE concept = 'depreciation_amortization') AS da FROM s GROUP BY ALL)
         SELECT security_id, 'total_debt' AS concept, {_DATES}, dc + dn AS value FROM w WHERE dc + dn IS NOT NULL
+        UNION ALL SELECT security_id, 'ebitda', {_DATES}, oi + da FROM w WHERE oi + da IS NOT NULL
         UNION ALL SELECT security_id, 'fcf', {_DATES}, cfo + capex FROM w WHERE cfo + capex IS NOT NULL""",
 )
 def _(v: Views):

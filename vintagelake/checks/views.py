@@ -30,6 +30,9 @@ TAG_FAMILIES = [
      "NetCashProvidedByUsedInOperatingActivities"),
     ("capex", "PaymentsToAcquirePropertyPlantAndEquipment", "PaymentsToAcquireProductiveAssets",
      "PaymentsToAcquirePropertyPlantAndEquipment"),
+    ("operating_income", "OperatingIncomeLoss", "OperatingIncomeLossOther", "OperatingIncomeLoss"),
+    ("depreciation_amortization", "DepreciationDepletionAndAmortization", "DepreciationAndAmortization",
+     "DepreciationAmortizationAndAccretionNet"),
 ]
 DATASETS = [
     "bars_eod", "corporate_actions", "macro.observation", "fund.fundamental_fact",
@@ -238,7 +241,7 @@ class Views:
         base = self.table("orders").selectExpr(
             "o_orderkey AS k", "CAST(o_orderdate AS DATE) AS od", "floor(o_totalprice) AS total",
             "explode(sequence(0, CAST(2 + o_orderkey % 4 AS INT))) AS i",
-        ).selectExpr("*", "CAST((k div 7 + i div 3) % 6 AS INT) AS family")
+        ).selectExpr("*", f"CAST((k div 7 + i div 3) % {len(TAG_FAMILIES)} AS INT) AS family")
         return base.selectExpr(
             "*",
             f"element_at(array({tags}), family * 3 + i % 3 + 1) AS tag",
@@ -394,7 +397,7 @@ SQL_VIEWS: dict[str, str] = {
           CASE WHEN k % 11 = 0 THEN '8-K' WHEN k % 2 = 0 THEN '10-K' ELSE '10-Q' END AS form,
           CASE WHEN k % 2 = 0 THEN 'FY' ELSE 'Q1' END AS fiscal_period,
           od + CAST(k % 60 AS INTEGER) AS filed_date, i AS ordinal
-        FROM (SELECT *, (k // 7 + i // 3) % 6 AS family, ((k // 7 + i // 3) % 6) * 3 + i % 3 AS pick,
+        FROM (SELECT *, (k // 7 + i // 3) % {len(TAG_FAMILIES)} AS family, ((k // 7 + i // 3) % {len(TAG_FAMILIES)}) * 3 + i % 3 AS pick,
                 CAST(date_trunc('quarter', od) AS DATE) AS pe
               FROM (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS od, floor(o_totalprice) AS total,
                       CAST(unnest(generate_series(0, 2 + o_orderkey % 4)) AS INTEGER) AS i FROM orders))""",

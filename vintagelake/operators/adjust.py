@@ -12,11 +12,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelake.functions.pricing import adjusted_volume, dividend_price_factor, split_price_factor
-from vintagelake.functions.temporal import date_range
+from vintagelake.functions.temporal import as_of_instant, date_range
 from vintagelake.operators.actions import effective_actions
 from vintagelake.operators.asof import bars_asof_raw
 
@@ -95,12 +95,17 @@ def _previous_close():
     return F.last("close", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
 
 
+def _dividends() -> Column:
+    """Product of the factors of a day's dividends."""
+    step = lambda acc, c: acc * F.coalesce(dividend_price_factor(F.col("_ref"), c), F.lit(1.0))
+    return F.coalesce(F.aggregate("_cash", F.lit(1.0), step), F.lit(1.0))
+
+
 def _with_total_return_factors(bars: DataFrame, actions: DataFrame) -> DataFrame:
     """One shuffle by security: reference closes forward, then factor products backward."""
     timed = _events(bars, actions).withColumn("_ref", _previous_close())
-    dividend = F.aggregate("_cash", F.lit(1.0), lambda acc, c: acc * F.coalesce(dividend_price_factor(F.col("_ref"), c), F.lit(1.0)))
     split = F.coalesce("_split", F.lit(1.0))
-    timed = timed.withColumn("_f", split * F.coalesce(dividend, F.lit(1.0))).withColumn("_s", split)
+    timed = timed.withColumn("_f", split * _dividends()).withColumn("_s", split)
     # From the end of the line backwards, a bar sees exactly the actions of later days.
     back = (
         Window.partitionBy("security_id")
@@ -117,6 +122,48 @@ def _with_total_return_factors(bars: DataFrame, actions: DataFrame) -> DataFrame
     )
 
 
+def total_return_segments(bars: DataFrame, actions: DataFrame, as_of: dt.date | dt.datetime) -> DataFrame:
+    """Suffix products of a security's actions as date segments [after, before), for storing.
+
+    Every action day has one row: the factors of a bar on a day before it and not before the action day ahead of
+    it. They are what bars and actions known at as_of give, and the row says so (known_at). A range read with these
+    rows needs no bar outside the range.
+    """
+    known = bars_asof_raw(bars, as_of).select("security_id", "session_date", "close")
+    timed = _events(known, effective_actions(actions, as_of)).withColumn("_ref", _previous_close()).where("_bar = 0")
+    later = Window.partitionBy("security_id").orderBy(F.col("session_date").desc())
+    back = later.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    split = F.coalesce("_split", F.lit(1.0))
+    splits = F.product(split).over(back)
+    return timed.select(
+        "security_id",
+        F.lead("session_date").over(later).alias("after"),
+        F.col("session_date").alias("before"),
+        F.product(split * _dividends()).over(back).alias("price_factor"),
+        F.when(splits != 0, 1.0 / splits).otherwise(1.0).alias("volume_factor"),
+        F.lit(as_of_instant(as_of)).cast("timestamp").alias("known_at"),
+    )
+
+
+def with_stored_factors(bars: DataFrame, segments: DataFrame, as_of: dt.date | dt.datetime) -> DataFrame:
+    """Bars with the factors of the one segment that holds their day; segments made for another as_of are an error."""
+    wrong = F.raise_error(F.concat(F.lit("factors are stored as of "), F.col("known_at").cast("string"))).cast("double")
+    fits = F.col("known_at") == F.lit(as_of_instant(as_of))
+    seg = segments.select(
+        F.col("security_id").alias("_sec"), "after", "before",
+        *[F.when(fits, F.col(c)).otherwise(wrong).alias(f"_{c}") for c in ("price_factor", "volume_factor")],
+    )
+    hit = (
+        (F.col("security_id") == F.col("_sec"))
+        & (F.col("session_date") < F.col("before"))
+        & (F.col("after").isNull() | (F.col("session_date") >= F.col("after")))
+    )
+    one = F.lit(1.0)
+    return bars.join(seg, hit, "left").select(
+        *bars.columns, F.coalesce("_price_factor", one).alias("price_factor"), F.coalesce("_volume_factor", one).alias("volume_factor")
+    )
+
+
 def with_factors(bars: DataFrame, actions: DataFrame, mode: str | None) -> DataFrame:
     """Bars (one per security and session) with price_factor and volume_factor."""
     check_mode(mode)
@@ -149,17 +196,22 @@ def bars_asof(
     start: dt.date | None = None,
     end: dt.date | None = None,
     adjustment: str | None = None,
+    segments: DataFrame | None = None,
 ) -> DataFrame:
     """As-of bars, adjusted on read.
 
     Unadjusted reads push the date range into the scan. Split factors come from
     actions alone, so there the range is also safe below the factor join. A
-    total-return read needs the closes of the full history and is cut last.
+    total-return read needs the closes of the full history and is cut last, unless stored
+    total_return_segments of the same as_of are given: then it too reads the range alone.
     """
     check_mode(adjustment)
     ids = list(security_ids) if security_ids is not None else None
     if adjustment is None:
         return bars_asof_raw(bars, as_of, ids, start, end)
+    if adjustment == "total_return" and segments is not None:
+        own = segments if ids is None else segments.where(F.col("security_id").isin(ids))
+        return apply_factors(with_stored_factors(bars_asof_raw(bars, as_of, ids, start, end), own, as_of))
     if actions is None:
         raise ValueError("adjusted reads need the actions")
     acts = effective_actions(actions, as_of)

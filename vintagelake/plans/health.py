@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROWS = 500
@@ -39,15 +39,33 @@ def freshness(pipelines: DataFrame, sources: DataFrame, batches: DataFrame, now:
     )
 
 
-def recent_jobs(batches: DataFrame, limit: int = 50, only_failed: bool = False) -> DataFrame:
-    """Newest batches first; a top-n per task."""
+def _older(time: str, number: str, before: tuple[dt.datetime | None, int] | None) -> Column:
+    """Rows that come after a page's last row, newest first; rows without a time come last. Plain comparisons, so scans skip."""
+    if before is None:
+        return F.lit(True)
+    at, last = before
+    if at is None:
+        return F.col(time).isNull() & (F.col(number) < last)
+    same = (F.col(time) == F.lit(at)) & (F.col(number) < last)
+    return (F.col(time) < F.lit(at)) | same | F.col(time).isNull()
+
+
+def recent_jobs(
+    batches: DataFrame, limit: int = 50, only_failed: bool = False, before: tuple[dt.datetime | None, int] | None = None
+) -> DataFrame:
+    """Newest batches first; a top-n per task. before: (started_at, batch_id) of the last row of the page before."""
     rows = batches.where(F.col("status") == "failed") if only_failed else batches
+    rows = rows.where(_older("started_at", "batch_id", before))
     return rows.orderBy(F.col("started_at").desc(), F.col("batch_id").desc()).limit(check_limit(limit))
 
 
-def recent_dq(results: DataFrame, checks: DataFrame, limit: int = 50, only_failed: bool = False) -> DataFrame:
-    """Newest quality results first, with severity and count from the observed JSON."""
+def recent_dq(
+    results: DataFrame, checks: DataFrame, limit: int = 50, only_failed: bool = False,
+    before: tuple[dt.datetime | None, int] | None = None,
+) -> DataFrame:
+    """Newest quality results first, with severity and count from the observed JSON. before: (run_at, result_id) of the last row of the page before."""
     rows = results.where(~F.col("passed")) if only_failed else results
+    rows = rows.where(_older("run_at", "result_id", before))
     known = rows.join(checks.select(F.col("name").alias("check_name")), "check_name", "left_semi")
     top = known.orderBy(F.col("run_at").desc(), F.col("result_id").desc()).limit(check_limit(limit))
     return top.select(

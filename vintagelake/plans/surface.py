@@ -36,10 +36,12 @@ def security_of(identifiers: DataFrame, symbol: str, as_of: dt.date) -> int:
 def bars(
     bars_: DataFrame, actions: DataFrame, identifiers: DataFrame, symbol: str, as_of: dt.date,
     start: dt.date | None = None, end: dt.date | None = None, adjustment: str | None = None,
+    segments: DataFrame | None = None,
 ) -> DataFrame:
+    """segments: stored adjust.total_return_segments of the same as_of, so that a range reads its own months alone."""
     check_range(start, end)
     security_id = security_of(identifiers, symbol, as_of)
-    rows = adjust.bars_asof(bars_, actions, as_of, [security_id], start, end, adjustment)
+    rows = adjust.bars_asof(bars_, actions, as_of, [security_id], start, end, adjustment, segments)
     return rows.withColumn("symbol", F.lit(symbol.upper())).orderBy("session_date")
 
 
