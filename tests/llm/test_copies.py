@@ -103,3 +103,20 @@ def test_components(spark, edges):
 def test_lineage_is_stored(spark):
     df = cut(spark.range(5).withColumn("x", F.col("id") * 2))
     assert "ExistingRDD" in df._jdf.queryExecution().toString() or "Scan" in df._jdf.queryExecution().toString()
+
+
+def test_unique_texts_of_a_repeated_id_stay(spark):
+    t, other = "one two three four five six", "quite another text about something else"
+    rows = [(1, t), (5, t), (5, other), (7, other), (7, other), (8, None), (8, None), (None, t), (None, t), (9, "last words here"), (9, "last words here")]
+    left = near_dups.deduplicated(frame(spark, rows))
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
+        [(1, t), (5, other), (8, None), (None, t), (None, t), (9, "last words here")], key=str)
+    # Columns named like those inside stay what they are.
+    named = frame(spark, rows[:3]).selectExpr("doc_id", "text", "'a' AS id", "'b' AS text_mark", "'c' AS stays", "'d' AS place", "'e' AS doc", "'f' AS __place")
+    got = near_dups.deduplicated(named)
+    assert got.columns == named.columns and {r[2:] for r in got.collect()} == {("a", "b", "c", "d", "e", "f")}
+
+
+def test_similarities_below_the_tables_are_refused(spark):
+    with pytest.raises(ValueError, match="75"):
+        near_dups.near_duplicates(frame(spark, [(1, "a")]), percent=50)

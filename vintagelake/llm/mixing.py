@@ -192,16 +192,15 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST)
 
 
 def remixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """Rows of docs as the mix takes them: each row as many times as its copies, all columns unchanged."""
-    names = docs.columns
-    copies = mixed(docs, weights, most).where("copies > 0").select(
-        F.col("doc_id").alias("__id"), F.col("place").alias("__at"), F.col("copies").alias("__copies")
-    )
-    order = Window.partitionBy(F.col("doc_id").cast("bigint")).orderBy(F.xxhash64(F.col("text").cast("string")), F.col("source").cast("string"))
-    here = docs.withColumn("__place", F.row_number().over(order))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__place") == F.col("__at"))
-    return (
-        here.join(copies, same)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*[F.col(f"`{c}`") for c in names])
-    )
+    """Rows of docs as the mix takes them: each row as many times as its copies, all columns unchanged.
+
+    Null, empty and blank texts, repeated rows and null ids are drawn as `mixed` says. An empty table gives an empty result.
+    """
+    taken = mixed(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias("id"), F.col("place").alias("at"), "copies")
+    held = docs.select(F.struct("*").alias("doc"))  # no column of docs can meet those used here
+    number = F.col("doc.doc_id").cast("bigint")
+    order = Window.partitionBy(number).orderBy(F.xxhash64(F.col("doc.text").cast("string")), F.col("doc.source").cast("string"))
+    here = held.withColumn("place", F.row_number().over(order))
+    same = number.eqNullSafe(F.col("id")) & (F.col("place") == F.col("at"))
+    copy = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return here.join(taken, same).select("doc", copy).select("doc.*")

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelake.llm.common import ByteHash, cut, mapped, mix, prepare, runs, seeds, texts_of
@@ -64,8 +64,8 @@ def _sketch(width: int):
             ids.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest() if len(items) else None)
             signs.append(minhashes(items, factors).tobytes() if len(items) else None)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(signs, pa.binary())],
-            ["doc_id", "n_shingles", "set_id", "sign"],
+            [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(signs, pa.binary())],
+            ["doc_id", "mark", "n_shingles", "set_id", "sign"],
         )
 
     return run
@@ -268,11 +268,16 @@ def _across(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
 
 
 def linked_classes(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Each row of docs with its class; see near_duplicates."""
+    """Each row of docs with its class and the hash of its text (mark); see near_duplicates."""
+    if percent < PERCENT:
+        raise ValueError(f"the tables and the bound on equal minhashes are made for {PERCENT} percent and more, not for {percent}")
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = cut(
-        mapped(rows, _sketch(width), "doc_id bigint, n_shingles bigint, set_id binary, sign binary")
+        mapped(
+            rows.withColumn("mark", _mark(F.col("text"))), _sketch(width),
+            "doc_id bigint, mark bigint, n_shingles bigint, set_id binary, sign binary",
+        )
     )
     # Equal sets are one node; its smallest doc_id stands for it.
     nodes = cut(
@@ -308,8 +313,8 @@ def linked_classes(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT
     named = nodes.select("set_id", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_id", F.coalesce("component", "rep").alias("component_id")
     )
-    return sketches.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left").select(
-        "doc_id", "n_shingles",
+    return sketches.select("doc_id", "mark", "n_shingles", "set_id").join(named, "set_id", "left").select(
+        "doc_id", "mark", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
 
@@ -324,18 +329,36 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     share a doc_id are one document. Rows without doc_id take no part, have a null component
     and are kept. An empty table gives an empty result.
     """
-    return linked_classes(docs, width, percent).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    return linked_classes(docs, width, percent).drop("mark").withColumn("kept", _kept())
+
+
+def _kept() -> Column:
+    return F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+
+
+def _mark(text: Column) -> Column:
+    """Tells texts of one doc_id apart."""
+    return F.xxhash64(text.cast("string"))
 
 
 def deduplicated(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Rows of docs that are kept. Of rows that repeat a doc_id one stays, the first by text; rows without doc_id stay."""
-    gone = near_duplicates(docs, width, percent).where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return (
-        left.withColumn("__place", F.row_number().over(order))
-        .where("__place = 1 OR doc_id IS NULL")
-        .drop("__place")
+    """Rows of docs that are kept, with all their columns unchanged.
+
+    Each row is judged by its own text: it goes if that text's class is named by another doc_id. So of rows that share a
+    doc_id the unique texts stay where another of them is a copy. Of rows equal in doc_id and text one stays. Rows
+    without doc_id, and texts without words, stay. An empty table gives an empty result.
+    """
+    classes = linked_classes(docs, width, percent).where("doc_id IS NOT NULL")
+    # Most rows are alone and kept: only the others are named.
+    odd = cut(
+        classes.groupBy("doc_id", "mark").agg(F.min(_kept()).alias("stays"), F.count(F.lit(1)).alias("copies"))
+        .where("NOT stays OR copies > 1").select(F.col("doc_id").alias("id"), F.col("mark").alias("text_mark"), "stays")
     )
+    held = docs.select(F.struct("*").alias("doc"))  # no column of docs can meet those used here
+    same = (F.col("doc.doc_id").cast("bigint") == F.col("id")) & (_mark(F.col("doc.text")) == F.col("text_mark"))
+    alone = held.join(odd, same, "left_anti")
+    repeated = held.join(odd.where("stays"), same)
+    # The rank is cut off below the exchange: a hot doc_id costs a row of each task.
+    place = F.row_number().over(Window.partitionBy("id", "text_mark").orderBy(F.length("doc.text")))
+    one = repeated.withColumn("place", place).where("place = 1").select("doc")
+    return alone.unionByName(one).select("doc.*")
