@@ -116,6 +116,18 @@ def test_language_odd_rows(spark):
     assert language.identified(frame(spark, []), training).count() == 0
 
 
+def test_letters_are_of_category_l(spark):
+    prepare(spark)
+    training = spark.createDataFrame(
+        [(i, t, lang) for i, (t, lang) in enumerate([("the and of with", "en"), ("le la et avec", "fr")] * 40)], "doc_id bigint, text string, lang string"
+    )
+    texts = ["²", "½ ③", "— … ×÷ €", "Ⅷ", "４２", "ªx", "the—and—of—with", "the and of with"]
+    rows = [r for r in language.identified(frame(spark, texts), training).orderBy("doc_id").collect()]
+    assert [(r.lang_pred, r.score) for r in rows[:5]] == [("und", 0.0)] * 5 and rows[5].lang_pred != "und"
+    # Dashes part words as spaces do.
+    assert rows[6].score == rows[7].score and rows[6].lang_pred == "en"
+
+
 def test_language_ignores_other_columns(spark):
     docs = table(spark, SF, "documents").limit(200)
     seen = docs.where(~language.held_out())

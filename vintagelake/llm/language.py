@@ -6,20 +6,24 @@ softmax's weights are linear, their product is one small table: bucket to logits
 
 from __future__ import annotations
 
-import re
+import sys
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintagelake.llm.common import mapped, mix, prepare, texts_of
+from vintagelake.llm.common import mapped, mix, prepare, texts_of, worker_state
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
 WIDTH = 16
-# Training documents per language, at most: the lowest hashes of doc_id.
+# Training documents per language, at most: the lowest hashes of doc_id. Parts in which a language's ids are ranked first.
 DOCS_PER_LANGUAGE = 512
+PARTS = 32
+# Languages that a model can tell apart, at most; more is an error.
+MAX_LANGUAGES = 1_000
 EPOCHS = 6
 RATE = 0.5
 # Predictions below the score that keeps this share of right validation predictions are rejected.
@@ -27,7 +31,10 @@ RIGHT_KEPT = 0.995
 HELD_OUT = (4, 2)
 NO_LANGUAGE = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+
+def _word_table() -> np.ndarray:
+    """For each code point whether it stands inside words: letters (category L) and the marks on them (M)."""
+    return np.array([unicodedata.category(chr(i))[0] in "LM" for i in range(sys.maxunicode + 1)])
 
 
 def buckets(text: bytes | None) -> np.ndarray | None:
@@ -35,11 +42,10 @@ def buckets(text: bytes | None) -> np.ndarray | None:
     if not text:
         return None
     s = text.decode("utf-8", "replace").lower()
-    if not _LETTER.search(s):
+    if not any(map(str.isalpha, s)):  # a letter is of category L, whatever the script
         return None
     cp = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
-    inside = (cp > 0xBF) | ((cp >= 97) & (cp <= 122)) | (cp == 0xAA) | (cp == 0xB5) | (cp == 0xBA)
-    cp = np.where(inside, cp, np.uint32(0))
+    cp = np.where(worker_state(("word table",), _word_table)[cp], cp, np.uint32(0))
     first = np.empty(len(cp), bool)
     first[0] = True
     first[1:] = (cp[1:] != 0) | (cp[:-1] != 0)
@@ -138,7 +144,10 @@ def train(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model | Non
         F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("__mark"),
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    ids = known.select("doc_id", "lang", "__mark").withColumn("place", rank).where(F.col("place") <= per_language)
+    # The lowest hashes of a language are the lowest of its hashed parts: no task ranks more than PARTS * per_language ids.
+    part = Window.partitionBy("lang", F.pmod("__mark", F.lit(PARTS))).orderBy(*order)
+    ids = known.select("doc_id", "lang", "__mark").withColumn("place", F.row_number().over(part)).where(F.col("place") <= per_language)
+    ids = ids.withColumn("place", rank).where(F.col("place") <= per_language)
     ids = ids.select("doc_id").distinct()
     chosen = (
         known.join(F.broadcast(ids), "doc_id", "left_semi")  # bounded by per_language for each language
@@ -146,6 +155,8 @@ def train(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model | Non
         .where(F.col("place") <= per_language)
         .select("lang", "place", "text")
     )
+    if known.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     rows, validation = [], []
     for r in sorted(mapped(chosen, _counted, "lang string, place int, at binary, weight binary").collect(), key=lambda r: (r.lang, r.place)):
         weight = np.frombuffer(r.weight, np.float32)
