@@ -114,6 +114,8 @@ SPELLINGS = [
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A line that names who holds the copyright, or reserves all rights.
 _HOLDER = r"(^|\n)[ \t]*((copyright|\(c\)|©)[ \t]*(\(c\)|©|[0-9<\[{])[^\n]*|all rights reserved[ .\r]*)"
+# What separates words: all but line feeds, and letters, the marks on them and numbers of any script.
+_MARKS = r"[^a-z0-9\n\p{L}\p{M}\p{N}]+"
 # A line of these that reserves all rights.
 _RESERVED = r"(?im)^[ \t]*(?:(?:copyright|\(c\)|©)[^\n]*?)?all rights reserved[ .\r]*$"
 
@@ -130,7 +132,7 @@ def _canonical(text: str, engine: str) -> str:
         q, one, flags = _quoted, r"\1", ", 'g'"
     x = f"translate({text}, '{_UPPER}', '{_LOWER}')"
     x = f"regexp_replace({x}, {q(_HOLDER)}, {q(one)}{flags})"
-    x = f"regexp_replace({x}, {q('[^a-z0-9' + chr(92) + 'n]+')}, ' '{flags})"
+    x = f"regexp_replace({x}, {q(_MARKS)}, ' '{flags})"
     for old, new in SPELLINGS:
         x = f"replace({x}, '{old}', '{new}')"
     return x
