@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 
 import duckdb
 import pytest
@@ -194,3 +195,36 @@ def test_digest_columns(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
     empty = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where(F.lit(False))
     assert personal.found(empty).count() == personal.masked(empty).count() == licences.scanned(empty).count() == 0
+
+
+def test_licences_of_other_scripts(spark):
+    mit = next(t for n, t in licences.TEXTS if n == "MIT")
+    texts = [mit, mit + "\nКоммерческое использование запрещено.", "привет 5", "до свидания 5", "ПРИВЕТ — 5!", "привет, 5.", "日本語"]
+    rows = licences.scanned(frame(spark, texts)).orderBy("doc_id").collect()
+    assert rows[0].licence == "MIT" and rows[1].licence is None
+    digests = [r.digest for r in rows]
+    assert len(set(digests[2:4] + digests[6:])) == 3 and digests[5] == digests[2]
+
+
+@pytest.mark.parametrize("n, least", [(8, 0.9), (12, 0.95), (16, 0.95), (20, 0.95), (24, 0.95)])
+def test_random_strings_in_any_surroundings(n, least):
+    enc = secrets.encoding(vocabulary("byte_bpe_50k.tiktoken"), pattern())
+    rng = random.Random(n)
+    letters = string.ascii_letters + string.digits
+    for form in ("key {} here", "see https://example.com/path/{} now", "use production-database-{} please", "prod_db_{}_old", "?a={}&b=2"):
+        found = 0
+        for _ in range(500):
+            word = "".join(rng.choice(letters) for _ in range(n))
+            text = form.format(word)
+            at = text.index(word)
+            found += any(a <= at and at + n <= b for a, _, b in secrets.spans_of(text, enc))
+        assert found >= least * 500, form
+
+
+def test_ordinary_strings_are_left_alone():
+    enc = secrets.encoding(vocabulary("byte_bpe_50k.tiktoken"), pattern())
+    for text in (
+        "the getUserNameFromDatabase call", "version-2024-01-15", "commit a1b2c3d4e5", "id 550e8400-e29b-41d4-a716-446655440000",
+        "sha256-" + "ab12" * 16, "https://example.com/articles/how-to-cook-pasta", "x86architecture", "ISO8859 and UTF16", "Covid19", "",
+    ):
+        assert not [s for s in secrets.spans_of(text, enc) if s[1] == 3], text

@@ -24,9 +24,12 @@ HEX = r"[0-9a-f]+"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ["assign", "access", "hex", "random"]
 
-# Random strings: maximal runs, this long, at most so many characters a token. Among shorter runs the ratio
-# can't tell syllables of a language that the vocabulary has not seen from random letters.
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
+# Random strings have at most so many characters a token. Looked at are maximal runs of RUN_LEAST characters and more, and
+# the parts between their separators: of PART_LEAST characters and more whatever they hold, and of SHORT_LEAST and more
+# where digits and letters, or small and capital letters, follow each other as in no word. In a shorter part of
+# letters of one case the ratio can't tell random letters from syllables that the vocabulary has not seen.
+RUN_LEAST, PART_LEAST, SHORT_LEAST = 16, 16, 8
+RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % RUN_LEAST
 MOST_CHARS_PER_TOKEN = 2.1
 # Lengths of hexadecimal digests: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
@@ -43,6 +46,12 @@ _IDENTIFIER = re.compile(r"([A-Za-z]*[a-z]{2}|[A-Z]{2,}|[A-Za-z])?\d{0,6}([-_/=+
 # Numbers, dates, and numbers with a few letters before or after them; a run without letters is one of these.
 _NUMBERED = re.compile(r"[A-Za-z]{0,3}[0-9+/_=-]+[A-Za-z]?")
 _WORD = re.compile(r"[A-Za-z]{4,}")
+_PART = re.compile(r"[A-Za-z0-9]+")
+# Where a digit meets a letter or a small letter a capital.
+_CHANGE = re.compile(r"[a-z][A-Z]|[0-9][A-Za-z]|[A-Za-z][0-9]")
+# Parts made like words: capitals only in front of small letters or all through, digits only at the end.
+_WORDLIKE = re.compile(r"([A-Z]?[a-z]{2,})+\d{0,4}|[A-Z]{2,}\d{0,4}|[0-9]+[A-Za-z]{0,3}|[A-Za-z]{0,3}[0-9]+")
+_JOINS = "+/_=-"
 
 
 def encoding(path: str, pattern: str):
@@ -73,9 +82,51 @@ def looks_random(run: str, enc) -> bool:
     """Whether a run has so few characters a token that it is no text, digest, number or identifier."""
     if len(run) > MOST_CHARS_PER_TOKEN * len(enc.encode_ordinary(run)):
         return False
-    if _UUID.fullmatch(run) or (_HEXADECIMAL.fullmatch(run) and len(run) in DIGEST_LENGTHS):
+    return not _known(run) and not _identifier(run, enc)
+
+
+def _known(run: str) -> bool:
+    """UUIDs and digests, whose parts are not looked at either."""
+    return bool(_UUID.fullmatch(run) or (_HEXADECIMAL.fullmatch(run) and len(run) in DIGEST_LENGTHS))
+
+
+def _short_random(part: str, enc) -> bool:
+    """A part of 8 to 15 characters: mixed as no word, short hexadecimal number or abbreviated digest is."""
+    if _WORDLIKE.fullmatch(part) or _HEXADECIMAL.fullmatch(part):
         return False
-    return not _identifier(run, enc)
+    return len(part) <= MOST_CHARS_PER_TOKEN * len(enc.encode_ordinary(part))
+
+
+def _random_spans(text: str, enc) -> list[tuple[int, int]]:
+    """Spans of random runs, and of random parts of the other runs, in order."""
+    found, settled = [], []
+    for m in _RUN.finditer(text):
+        parts = any(c in m[0] for c in _JOINS)
+        holds_known = parts and (_UUID.search(m[0]) or any(map(_known, _PART.findall(m[0]))))
+        if _known(m[0]):
+            settled.append(m.span())
+        elif not holds_known and looks_random(m[0], enc):
+            settled.append(m.span())
+            found.append(m.span())
+        elif parts:
+            for p in _PART.finditer(text, *m.span()):
+                if p.end() - p.start() >= PART_LEAST and looks_random(p[0], enc):
+                    found.append(p.span())
+    at, end = 0, -1
+    for c in _CHANGE.finditer(text):
+        if c.start() < end:
+            continue
+        lo = c.start()
+        while lo > 0 and text[lo - 1].isascii() and text[lo - 1].isalnum():
+            lo -= 1
+        end = _PART.match(text, lo).end()
+        if not SHORT_LEAST <= end - lo < PART_LEAST:
+            continue
+        while at < len(settled) and settled[at][1] <= lo:
+            at += 1
+        if (at == len(settled) or lo < settled[at][0]) and _short_random(text[lo:end], enc):
+            found.append((lo, end))
+    return sorted(found)
 
 
 def spans_of(text: str, enc) -> list[tuple[int, int, int]]:
@@ -87,11 +138,14 @@ def spans_of(text: str, enc) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= LEAST["access"]]
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-    base = list(found)
-    for m in _RUN.finditer(text):
-        inside = any(a <= m.start() and m.end() <= b for a, _, b in base)
-        if not inside and looks_random(m[0], enc):
-            found.append((m.start(), 3, m.end()))
+    base = sorted((a, b) for a, _, b in found)
+    reach, at = -1, 0  # the farthest end of the base spans that start so far
+    for lo, end in _random_spans(text, enc):
+        while at < len(base) and base[at][0] <= lo:
+            reach = max(reach, base[at][1])
+            at += 1
+        if end > reach:
+            found.append((lo, 3, end))
     return sorted(found)
 
 
