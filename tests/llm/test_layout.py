@@ -1,5 +1,6 @@
 """Mixing, sharding, packing, neighbours and the pipeline: laws, exact round trips, brute force."""
 
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -290,3 +291,21 @@ def test_pipeline_odd_rows(spark):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, frame_, SF)
             assert out.count() == 0 if name == "quality" else out.count() <= 3
+
+
+def test_another_vocabulary_is_encoded_whole(tmp_path):
+    """A file that keeps case, parts numbers or closes words differently must not be taken for the usual one."""
+    state = json.loads(Tokenizer.from_file(WORDS).to_str())
+    texts = ["Hello WORLD, it's 2024!", "Été  naïve", "a\nb", ""]
+    for change in (
+        {"normalizer": None}, {"normalizer": {"type": "NFKC"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+        {"model": state["model"] | {"end_of_word_suffix": None}}, {},
+    ):
+        path = str(tmp_path / "t.json")
+        with open(path, "w") as f:
+            json.dump(state | change, f)
+        words = packing.WordTokens(path)
+        assert words.by_word == (not change)
+        plain = Tokenizer.from_file(path)
+        want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert words.ids(texts) == want

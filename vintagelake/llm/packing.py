@@ -33,6 +33,25 @@ _CLOSING = ".,;:!?\"#$%&()*+-/<=>@[\\]^_`{|}~"
 _CONTROL = [chr(c) for c in range(0x1C, 0x20)]
 
 
+# How a tokenizer file must treat a text for words to be encoded one by one.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 class WordTokens:
     """Ids of whole texts, from the ids of their words.
 
@@ -47,8 +66,14 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        state = json.loads(self.tokenizer.to_str())
+        # What the short cut takes for granted; with a file that says otherwise whole texts are encoded.
+        self.by_word = (
+            state["normalizer"] == _NORMALIZER and state["pre_tokenizer"] == _PRE_TOKENIZER and not state.get("post_processor")
+            and state["model"].get("end_of_word_suffix") == "</w>" and not state["model"].get("continuing_subword_prefix")
+        )
         # The same model for words that are lower-cased and parted by spaces already: no patterns to try.
-        plain = json.loads(self.tokenizer.to_str()) | {
+        plain = state | {
             "normalizer": None,
             "pre_tokenizer": {
                 "type": "Sequence",
@@ -102,7 +127,7 @@ class WordTokens:
         split: list[list[str] | None] = []
         for text in texts:
             low = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
-            plain = unicodedata.is_normalized("NFC", low) and not any(c in low for c in _CONTROL)
+            plain = self.by_word and unicodedata.is_normalized("NFC", low) and not any(c in low for c in _CONTROL)
             split.append(low.split() if plain else None)
         words = set().union(*(w for w in split if w))
         new = words.difference(self.known)
