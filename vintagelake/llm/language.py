@@ -19,9 +19,9 @@ from vintagelake.llm.common import mapped, mix, prepare, texts_of, worker_state
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
 WIDTH = 16
-# Training documents per language, at most: the lowest hashes of doc_id. Parts in which a language's ids are ranked first.
+# Training documents per language, at most: the lowest hashes of doc_id. How many times as many ids are ranked for it.
 DOCS_PER_LANGUAGE = 512
-PARTS = 32
+SPARE = 4
 # Languages that a model can tell apart, at most; more is an error.
 MAX_LANGUAGES = 1_000
 EPOCHS = 6
@@ -144,10 +144,16 @@ def train(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model | Non
         F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("__mark"),
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    # The lowest hashes of a language are the lowest of its hashed parts: no task ranks more than PARTS * per_language ids.
-    part = Window.partitionBy("lang", F.pmod("__mark", F.lit(PARTS))).orderBy(*order)
-    ids = known.select("doc_id", "lang", "__mark").withColumn("place", F.row_number().over(part)).where(F.col("place") <= per_language)
-    ids = ids.withColumn("place", rank).where(F.col("place") <= per_language)
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # Hashes are even, so the lowest of a language lie in the share of all hashes that holds SPARE times as many. Only
+    # those are ranked, however many documents the language has.
+    shares = [(r.lang, min(1.0, SPARE * per_language / max(1, r.n))) for r in sizes]
+    shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "of string, share double"))  # at most MAX_LANGUAGES rows
+    low = (F.col("__mark").cast("double") / 2.0**64 + 0.5) <= F.col("share")
+    ids = known.select("doc_id", "lang", "__mark").join(shares, F.col("lang") == F.col("of")).where(low)
+    ids = ids.select("doc_id", "lang", "__mark").distinct().withColumn("place", rank).where(F.col("place") <= per_language)
     ids = ids.select("doc_id").distinct()
     chosen = (
         known.join(F.broadcast(ids), "doc_id", "left_semi")  # bounded by per_language for each language
@@ -155,8 +161,6 @@ def train(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model | Non
         .where(F.col("place") <= per_language)
         .select("lang", "place", "text")
     )
-    if known.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     rows, validation = [], []
     for r in sorted(mapped(chosen, _counted, "lang string, place int, at binary, weight binary").collect(), key=lambda r: (r.lang, r.place)):
         weight = np.frombuffer(r.weight, np.float32)
