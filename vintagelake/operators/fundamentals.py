@@ -103,16 +103,18 @@ def group_summary(facts: DataFrame) -> DataFrame:
     )
 
 
-def resolve_groups(facts: DataFrame) -> DataFrame:
-    """Adds resolution: agreed, by_confidence or conflict."""
+def _resolution() -> Column:
+    """agreed, by_confidence or conflict, from the summary of a group."""
     base = F.greatest(F.abs("lo.value"), F.abs("hi.value"), F.lit(1.0))
     differ = (F.col("hi.value") - F.col("lo.value")) / base > CONFLICT_TOLERANCE
     disagree = (F.col("n_tags") > 1) & differ
     unique_best = F.col("first_strong.tag") == F.col("last_strong.tag")
-    return group_summary(facts).withColumn(
-        "resolution",
-        F.when(~disagree, "agreed").when(F.col("prefer") & unique_best, "by_confidence").otherwise("conflict"),
-    )
+    return F.when(~disagree, "agreed").when(F.col("prefer") & unique_best, "by_confidence").otherwise("conflict")
+
+
+def resolve_groups(facts: DataFrame) -> DataFrame:
+    """Adds resolution: agreed, by_confidence or conflict."""
+    return group_summary(facts).withColumn("resolution", _resolution())
 
 
 def chosen_facts(facts: DataFrame) -> DataFrame:
@@ -123,24 +125,33 @@ def chosen_facts(facts: DataFrame) -> DataFrame:
 
 
 def conflicts(facts: DataFrame) -> DataFrame:
-    """The two disagreeing facts: smallest and largest value, or the first differently tagged pair."""
-    bad = resolve_groups(facts).where(F.col("resolution") == "conflict")
-    same = F.col("lo.tag") == F.col("hi.tag")
-    # Only groups whose extremes have one tag need their first facts by tag.
-    key = [F.col(f"f.{c}").eqNullSafe(F.col(f"g.{c}")) for c in GROUP]
-    per_tag = (
-        facts.alias("f").join(bad.where(same).select(*GROUP).alias("g"), key, "left_semi")
-        .groupBy(*GROUP, "tag").agg(F.min(F.struct("ordinal", "value", "tag")).alias("first"))
-        .groupBy(*GROUP).agg(F.sort_array(F.collect_list("first")).alias("firsts"))
+    """The two disagreeing facts: smallest and largest value, or the first differently tagged pair.
+
+    One pass over the facts: each tag of a group is reduced to its first and extreme facts, then the tags of a
+    group meet. A group lists one struct for each tag, which the alias table bounds.
+    """
+    ranked = facts.withColumn("_rank", confidence_rank())
+    by_tag = ranked.groupBy(*GROUP, "tag").agg(
+        F.min(F.struct("ordinal", "value", "tag")).alias("first"),
+        F.min(F.struct("value", "ordinal", "tag")).alias("lo"),
+        F.max(F.struct("value", (-F.col("ordinal")).alias("ordinal"), "tag")).alias("hi"),
+        F.min(F.struct(F.col("_rank").alias("rank"), "tag")).alias("strong"),
+        F.max("prefer_higher_confidence").alias("prefer"),
+    )
+    weaker = F.struct((-F.col("strong.rank")).alias("r"), F.col("tag"))
+    groups = by_tag.groupBy(*GROUP).agg(
+        F.count("tag").alias("n_tags"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.min("strong").alias("first_strong"), F.max(weaker).alias("last_strong"), F.max("prefer").alias("prefer"),
+        F.sort_array(F.collect_list("first")).alias("firsts"),
     )
-    key = [F.col(f"b.{c}").eqNullSafe(F.col(f"t.{c}")) for c in GROUP]
-    a, b = F.col("firsts")[0], F.col("firsts")[1]
-    return bad.alias("b").join(per_tag.alias("t"), key, "left").select(
-        *[F.col(f"b.{c}").alias(c) for c in GROUP],
-        F.when(same, a["tag"]).otherwise(F.col("lo.tag")).alias("tag_a"),
-        F.when(same, a["value"]).otherwise(F.col("lo.value")).alias("value_a"),
-        F.when(same, b["tag"]).otherwise(F.col("hi.tag")).alias("tag_b"),
-        F.when(same, b["value"]).otherwise(F.col("hi.value")).alias("value_b"),
+    # Extremes of one tag say nothing about a disagreement of tags.
+    same = F.col("lo.tag") == F.col("hi.tag")
+    a = F.when(same, F.col("firsts")[0]).otherwise(F.struct("lo.ordinal", "lo.value", "lo.tag"))
+    b = F.when(same, F.col("firsts")[1]).otherwise(F.struct("hi.ordinal", "hi.value", "hi.tag"))
+    bad = groups.where(_resolution() == "conflict").select(*GROUP, a.alias("a"), b.alias("b"))
+    return bad.select(
+        *GROUP, F.col("a.tag").alias("tag_a"), F.col("a.value").alias("value_a"),
+        F.col("b.tag").alias("tag_b"), F.col("b.value").alias("value_b"),
     )
 
 
