@@ -401,5 +401,32 @@ def test_sessions_outside_the_calendar_are_an_error(spark):
         calendar.bounded(cal).collect()
 
 
+def test_each_exchange_has_its_own_sessions(spark):
+    """Closes, holidays and listings by exchange: two listings, a move, an overlap, no listing, no session."""
+    day, next_day = D(2024, 5, 24), D(2024, 5, 27)  # 27 May 2024: both exchanges rest; XPAR does not
+    cal = spark.createDataFrame(
+        [("XNYS", day, utc(2024, 5, 24, 20)), ("XLON", day, utc(2024, 5, 24, 15)), ("XPAR", next_day, utc(2024, 5, 27, 15))],
+        "exchange string, session_date date, close_utc timestamp")
+    listed = spark.createDataFrame(
+        [(1, "XNYS", D(2000, 1, 1), None), (2, "XLON", D(2000, 1, 1), None), (3, "XNYS", D(2000, 1, 1), None),
+         (3, "XLON", D(2024, 1, 1), None), (4, "XLON", D(2000, 1, 1), D(2024, 5, 24)), (5, "XPAR", D(2000, 1, 1), None)],
+        "security_id bigint, exchange string, valid_from date, valid_to date")
+    rows = bars(spark, [bar(s, d, 1.0, utc(2024, 6, 1)) for s in range(1, 7) for d in (day, next_day)]).drop("knowledge_time")
+
+    def hours(home):
+        kept, skipped = calendar.stamp_knowledge(rows, cal, listed, home)
+        assert "exchange" not in kept.columns
+        got = {(r.security_id, r.session_date): r.h for r in kept.withColumn("h", F.hour("knowledge_time")).collect()}
+        assert len(got) + skipped.count() == 12
+        return got
+
+    own = {(1, day): 20, (2, day): 15, (3, day): 15, (5, next_day): 15}
+    assert hours(None) == own
+    assert hours("XNYS") == own | {(4, day): 20, (6, day): 20}  # 4 was delisted that day, 6 never listed
+    with pytest.raises(Exception, match="several exchanges"):
+        calendar.bounded(cal).collect()
+    assert calendar.bounded(calendar.of_exchange(cal, "XLON")).count() == 1
+
+
 def test_shared_folder_follows_the_setting(spark):
     assert session.scratch(spark, "x").startswith(session.shared_root(spark))

@@ -39,6 +39,60 @@ def _(v: Views):
     return kept.select("security_id", "session_date", "batch_id", "close", "knowledge_time")
 
 
+# A second exchange that closes earlier, trades on New Year and rests on Boxing Day; a third of the securities moved there,
+# a third is listed there from the start, the rest has no listing and trades at the home exchange.
+SQL_VIEWS["exchange_sessions"] = """
+    SELECT 'XNYS' AS exchange, session_date, close_utc FROM sessions UNION ALL
+    SELECT 'XLON', d, d + INTERVAL 990 MINUTE FROM (SELECT CAST(unnest(generate_series(
+        CAST(min(l_shipdate) AS DATE), CAST(max(l_shipdate) AS DATE), INTERVAL 1 DAY)) AS DATE) AS d FROM lineitem)
+    WHERE isodow(d) < 6 AND NOT (month(d) = 12 AND day(d) IN (25, 26))"""
+SQL_VIEWS["listings"] = """
+    SELECT s_suppkey AS security_id, DATE '1998-07-01' AS moved, s_suppkey % 3 AS kind FROM supplier"""
+SQL_VIEWS["listed_bars"] = """
+    SELECT b.*, CASE WHEN l.kind = 0 OR (l.kind = 1 AND b.session_date >= l.moved) THEN 'XLON' ELSE 'XNYS' END AS exchange
+    FROM bars b LEFT JOIN listings l USING (security_id)"""
+
+
+def _exchanges(v: Views):
+    span = v.table("lineitem").selectExpr("CAST(min(l_shipdate) AS DATE) AS lo", "CAST(max(l_shipdate) AS DATE) AS hi")
+    london = span.selectExpr("explode(sequence(lo, hi)) AS session_date").where(
+        "weekday(session_date) < 5 AND NOT (month(session_date) = 12 AND day(session_date) IN (25, 26))"
+    )
+    closes = london.selectExpr("'XLON' AS exchange", "session_date", "CAST(session_date AS TIMESTAMP) + INTERVAL 990 MINUTE AS close_utc")
+    return v.sessions.selectExpr("'XNYS' AS exchange", "session_date", "close_utc").unionByName(closes)
+
+
+def _listings(v: Views):
+    # The old listing of a security that moved stays open; the later one counts.
+    return v.table("supplier").where("s_suppkey % 3 < 2").selectExpr(
+        "s_suppkey AS security_id",
+        """explode(CASE WHEN s_suppkey % 3 = 0 THEN array(struct('XLON' AS exchange, DATE'1980-01-01' AS valid_from))
+           ELSE array(struct('XNYS' AS exchange, DATE'1980-01-01' AS valid_from),
+                      struct('XLON' AS exchange, DATE'1998-07-01' AS valid_from)) END) AS l""",
+    ).select("security_id", "l.*", F.lit(None).cast("date").alias("valid_to"))
+
+
+@check(
+    "cal_knowledge_time_listed",
+    f"""SELECT b.security_id, b.exchange, {_DAY.replace('session_date', 'b.session_date', 1)}, b.batch_id, b.close,
+          strftime(s.close_utc, '%Y-%m-%d %H:%M:%S') AS knowledge_time
+        FROM listed_bars b JOIN exchange_sessions s ON s.exchange = b.exchange AND s.session_date = b.session_date""",
+)
+def _(v: Views):
+    bars = v.bars.withColumn("exchange", F.lit(None).cast("string"))
+    kept, _ = calendar.stamp_knowledge(bars, _exchanges(v), _listings(v), home="XNYS")
+    return kept.select("security_id", "exchange", "session_date", "batch_id", "close", "knowledge_time")
+
+
+@check(
+    "cal_non_session_listed",
+    f"""SELECT b.security_id, b.symbol, {_DAY.replace('session_date', 'b.session_date', 1)}, 'non_session_date' AS reason FROM listed_bars b
+        ANTI JOIN exchange_sessions s ON s.exchange = b.exchange AND s.session_date = b.session_date""",
+)
+def _(v: Views):
+    return calendar.stamp_knowledge(v.bars, _exchanges(v), _listings(v), home="XNYS")[1]
+
+
 @check(
     "cal_non_session_bars",
     f"SELECT security_id, symbol, {_DAY}, 'non_session_date' AS reason FROM bars ANTI JOIN sessions USING (session_date)",

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vintagelake.operators.intervals import attach, latest_start_segments
 from vintagelake.operators.select import first_per_key, upsert
 
 # First and last session of the pinned calendar.
@@ -19,14 +20,27 @@ FIRST_SESSION = dt.date(1962, 1, 1)
 LAST_SESSION = dt.date(2030, 12, 31)
 
 
-def bounded(sessions: DataFrame) -> DataFrame:
-    """One row per date: at most 25,202 rows, safe to broadcast. A session outside the pinned period is an error."""
+def _pinned(sessions: DataFrame) -> DataFrame:
+    """Sessions of the pinned period; one outside it is an error."""
     outside = F.raise_error(
         F.concat(F.lit("session outside the calendar: "), F.coalesce(F.col("session_date").cast("string"), F.lit("no date")))
     )
     inside = F.col("session_date").between(F.lit(FIRST_SESSION), F.lit(LAST_SESSION))
-    day = F.when(inside, F.col("session_date")).otherwise(outside.cast("date"))
-    return F.broadcast(first_per_key(sessions.withColumn("session_date", day), ["session_date"], [F.col("close_utc").desc()]))
+    return sessions.withColumn("session_date", F.when(inside, F.col("session_date")).otherwise(outside.cast("date")))
+
+
+def bounded(sessions: DataFrame) -> DataFrame:
+    """One row per date: at most 25,202 rows, safe to broadcast. A session outside the pinned period is an error.
+
+    In a table keyed by exchange, two exchanges on one date are an error too: choose one by of_exchange.
+    """
+    pinned = _pinned(sessions)
+    if "exchange" in sessions.columns:
+        here = Window.partitionBy("session_date")
+        several = F.min("exchange").over(here) != F.max("exchange").over(here)
+        mixed = F.raise_error(F.lit("sessions of several exchanges: choose one")).cast("string")
+        pinned = pinned.withColumn("exchange", F.when(several, mixed).otherwise(F.col("exchange")))
+    return F.broadcast(first_per_key(pinned, ["session_date"], [F.col("close_utc").desc()]))
 
 
 def of_exchange(sessions: DataFrame, exchange: str) -> DataFrame:
@@ -34,15 +48,36 @@ def of_exchange(sessions: DataFrame, exchange: str) -> DataFrame:
     return sessions.where(F.col("exchange") == exchange)
 
 
-def with_close(bars: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Add close_utc of each bar's session; null on a day without a session."""
-    closes = bounded(sessions).select("session_date", "close_utc")
-    return bars.join(closes, "session_date", "left")
+def on_exchange(bars: DataFrame, listings: DataFrame, home: str | None = None) -> DataFrame:
+    """Add the exchange that lists each bar's security on its day.
+
+    listings: security_id, exchange, valid_from, valid_to (half-open, null while it lasts). Of overlapping listings the
+    one that began last counts. A security without a listing on that day trades at `home`; null if none is given.
+    """
+    rules = latest_start_segments(listings, "security_id", ["exchange"])
+    listed = attach(bars.drop("exchange"), rules, "security_id", "session_date", ["exchange"])
+    return listed.withColumn("exchange", F.coalesce("exchange", F.lit(home).cast("string")))
 
 
-def stamp_knowledge(bars: DataFrame, sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bars with knowledge_time = session close, and the bars of non-session days as anomalies."""
-    timed = with_close(bars, sessions)
+def with_close(bars: DataFrame, sessions: DataFrame, listings: DataFrame | None = None, home: str | None = None) -> DataFrame:
+    """Add close_utc of each bar's session; null on a day without a session.
+
+    With listings, the session is that of the exchange of the bar (on_exchange), and sessions is keyed by exchange and
+    session_date. Its size is exchanges x 25,202 rows, so Spark chooses the join by the measured size.
+    """
+    if listings is None:
+        return bars.join(bounded(sessions).select("session_date", "close_utc"), "session_date", "left")
+    one = first_per_key(_pinned(sessions), ["exchange", "session_date"], [F.col("close_utc").desc()])
+    closes = one.select("exchange", "session_date", "close_utc")
+    timed = on_exchange(bars, listings, home).join(closes, ["exchange", "session_date"], "left")
+    return timed if "exchange" in bars.columns else timed.drop("exchange")
+
+
+def stamp_knowledge(
+    bars: DataFrame, sessions: DataFrame, listings: DataFrame | None = None, home: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Bars with knowledge_time = close of their (exchange's) session, and the bars of non-session days as anomalies."""
+    timed = with_close(bars, sessions, listings, home)
     kept = timed.where(F.col("close_utc").isNotNull()).withColumn("knowledge_time", F.col("close_utc"))
     skipped = timed.where(F.col("close_utc").isNull()).select(
         "security_id", "symbol", "session_date", F.lit("non_session_date").alias("reason")

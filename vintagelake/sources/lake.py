@@ -116,14 +116,17 @@ def export_observations(observations: DataFrame, path: str) -> None:
     observations.select("series_id", "obs_date", "vintage_date", "value").write.mode("overwrite").parquet(path)
 
 
-def write_bars(bars: DataFrame, sessions: DataFrame, path: str, source: str, batch_id: int) -> DataFrame:
-    """Store a batch and return the skipped non-session bars.
+def write_bars(
+    bars: DataFrame, sessions: DataFrame, path: str, source: str, batch_id: int,
+    listings: DataFrame | None = None, home: str | None = None,
+) -> DataFrame:
+    """Store a batch and return the skipped non-session bars; with listings, sessions are those of each exchange.
 
     The batch is a partition of its own: running it again replaces it. A batch whose bars are all skipped
     writes nothing. The bars are computed once, into the shared folder, and counted while they are written there.
     """
     counts = Observation()
-    timed = with_close(bars, sessions).observe(counts, F.count("close_utc").alias("kept"))
+    timed = with_close(bars, sessions, listings, home).observe(counts, F.count("close_utc").alias("kept"))
     held, staged = session.staged(timed, "timed")
     if counts.get["kept"]:
         kept = held.where("close_utc IS NOT NULL").withColumn("knowledge_time", F.col("close_utc")).drop("close_utc")
