@@ -9,7 +9,7 @@ from vintagelake import schemas, session
 from vintagelake.checks.registry import check
 from vintagelake.checks.views import AS_OF, SQL_VIEWS, Views, settle, settle_sql
 from vintagelake.operators import asof, features
-from vintagelake.plans import gold as gold_plan
+from vintagelake.plans import gold as gold_plan, gold_state
 from vintagelake.sources import lake
 
 SQL_VIEWS["feat"] = """
@@ -192,6 +192,22 @@ def _(v: Views):
     )
 
 
+@check(
+    "gold_nightly_state",
+    f"""SELECT {GOLD_SQL} FROM wide WHERE session_date >= DATE '2000-03-01' AND session_date < DATE '2000-05-01'""",
+)
+def _(v: Views):
+    # A state built in January, when bars of November were still to come, taken on in March, and used in April.
+    paths = [session.scratch(v.spark, name) for name in ("bars", "january", "march")]
+    lake.write_months(v.bars, paths[0])
+    bars = lake.scan_months(v.spark, paths[0], schemas.BARS)
+    gold_state.advance(None, bars, v.actions, dt.date(2000, 1, 5), dt.date(1999, 12, 1)).write.parquet(paths[1])
+    january = v.spark.read.parquet(paths[1])
+    gold_state.advance(january, bars, v.actions, dt.date(2000, 3, 20), dt.date(2000, 2, 1)).write.parquet(paths[2])
+    march = v.spark.read.parquet(paths[2])
+    return rounded_gold(gold_state.nightly(march, bars, v.actions, v.identifiers, dt.date(2000, 4, 4), as_of=AS_OF))
+
+
 @check(
     "gold_asof",
     f"""SELECT {GOLD_SQL} FROM wide WHERE known <= DATE '2000-03-31'

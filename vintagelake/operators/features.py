@@ -8,6 +8,7 @@ security holds at most one row per calendar day, so no partition outgrows it.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,8 +60,10 @@ def momentum_12_1() -> Column:
     return F.try_divide(_lag(21), _lag(252)) - 1.0
 
 
-def with_ema(df: DataFrame, span: int, name: str) -> DataFrame:
-    """Exponential moving average, recursive from the first close (no warm-up).
+def with_ema(
+    df: DataFrame, span: int, name: str, value: str = "close", keys: Sequence[str] = ("security_id",)
+) -> DataFrame:
+    """Exponential moving average, recursive from the first value of each key (no warm-up).
 
     EMA_i = q^i * sum(term_j * q^-j) is a running sum, so it stays linear where a
     sliding fold would not. Blocks keep q^-j inside the range of a double; a
@@ -70,12 +73,12 @@ def with_ema(df: DataFrame, span: int, name: str) -> DataFrame:
     alpha = 2.0 / (span + 1)
     q = 1.0 - alpha
     block = int(600 / -math.log(q))
-    inside = Window.partitionBy("security_id", "_block").orderBy("session_date")
-    across = Window.partitionBy("security_id").orderBy("_block", "session_date")
+    inside = Window.partitionBy(*keys, "_block").orderBy("session_date")
+    across = Window.partitionBy(*keys).orderBy("_block", "session_date")
     power = F.pow(F.lit(q), F.col("_k"))
     seed = (F.col("_block") == 0) & (F.col("_k") == 0)
-    term = F.when(seed, F.col("close")).otherwise(F.col("close") * alpha / power)
-    ordinal = F.row_number().over(series()) - 1
+    term = F.when(seed, F.col(value)).otherwise(F.col(value) * alpha / power)
+    ordinal = F.row_number().over(Window.partitionBy(*keys).orderBy("session_date")) - 1
     carry = F.last(F.when(F.col("_k") == block - 1, F.col("_own")), ignorenulls=True).over(
         across.rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -89,11 +92,12 @@ def with_ema(df: DataFrame, span: int, name: str) -> DataFrame:
     )
 
 
-def gold(bars: DataFrame, knowledge: str = "own") -> DataFrame:
+def gold(bars: DataFrame, knowledge: str = "own", seeded: bool = False) -> DataFrame:
     """Wide feature rows from adjusted bars (security_id, symbol, session_date, close, volume, knowledge_time).
 
     knowledge='own' keeps each bar's knowledge time; 'max_inputs' takes the latest
-    knowledge time of the closes the longest look-back touches.
+    knowledge time of the closes the longest look-back touches. Seeded bars also carry `ema_input`, the
+    average on the last row of a stored look-back and the close elsewhere, and `warm`, true on rows before it.
     """
     if knowledge not in ("own", "max_inputs"):
         raise ValueError(f"unknown knowledge rule {knowledge!r}")
@@ -108,7 +112,7 @@ def gold(bars: DataFrame, knowledge: str = "own") -> DataFrame:
     )
     if knowledge == "max_inputs":
         out = out.withColumn("knowledge_time", F.max("knowledge_time").over(_last(253)))
-    out = with_ema(out, 20, "ema20")
+    out = with_ema(out, 20, "ema20", "ema_input", ("security_id", "warm")) if seeded else with_ema(out, 20, "ema20")
     return out.withColumnRenamed("close", "adj_close").withColumnRenamed("volume", "adj_volume").select(
         *GOLD_COLUMNS
     )

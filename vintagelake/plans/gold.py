@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintagelake.operators.adjust import bars_asof
@@ -32,14 +32,16 @@ def refresh(
     rows = gold(
         named.select("security_id", "symbol", "session_date", "knowledge_time", "close", "volume"), knowledge
     )
-    if months is not None:
-        keep = F.lit(False)
-        for y, m in months:
-            first = dt.date(y, m, 1)
-            following = dt.date(y + m // 12, m % 12 + 1, 1)
-            keep = keep | ((F.col("session_date") >= F.lit(first)) & (F.col("session_date") < F.lit(following)))
-        rows = rows.where(keep)
-    return rows
+    return rows if months is None else rows.where(in_months(months))
+
+
+def in_months(months: list[tuple[int, int]]) -> Column:
+    keep = F.lit(False)
+    for y, m in months:
+        first = dt.date(y, m, 1)
+        following = dt.date(y + m // 12, m % 12 + 1, 1)
+        keep = keep | ((F.col("session_date") >= F.lit(first)) & (F.col("session_date") < F.lit(following)))
+    return keep
 
 
 def months_to_emit(today: dt.date) -> list[tuple[int, int]]:
