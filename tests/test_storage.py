@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vintagelake import schemas, seeds, session
 from vintagelake.operators import adjust, asof, calendar
-from vintagelake.plans import capture, gold as gold_plan, health
+from vintagelake.plans import capture, gold as gold_plan, health, validators
 from vintagelake.sources import bronze, lake, registry_files
 from vintagelake.streaming import capture as stream
 
@@ -428,5 +428,23 @@ def test_each_exchange_has_its_own_sessions(spark):
     assert calendar.bounded(calendar.of_exchange(cal, "XLON")).count() == 1
 
 
+def test_vendor_check_sends_each_row_once(spark):
+    """Bars, actions and vendor rows meet in one partitioning; an action at the first bar or after the last is a boundary."""
+    days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(30)]
+    root = _tmp()
+    bars(spark, [bar(1, d, 100.0 if d < days[10] else 50.0, utc(2024, 1, d.day, 21)) for d in days[2:20]]).write.parquet(root + "/b")
+    acts = [(1, "SPLIT", days[10], 1.0, 2.0, None), (1, "CASH_DIVIDEND", days[2], None, None, 1.0)]
+    actions(spark, acts).write.parquet(root + "/a")
+    rows = [(1, d, 100.0 if d < days[10] else 50.0, 50.0, 2.0 if d in (days[10], days[25]) else 1.0, 1.0 if d == days[2] else 0.0) for d in days]
+    kind = "security_id bigint, session_date date, close double, adj_close double, split_factor double, div_cash double"
+    spark.createDataFrame(rows, kind).write.parquet(root + "/v")
+    out = validators.against_vendor(*(spark.read.parquet(f"{root}/{x}") for x in "bav"), D(2024, 12, 31))
+    r = out.first()
+    assert (r.raw_n, r.adj_n, r.expected, r.applicable, r.boundary, r.retrieved) == (18, 18, 3, 1, 2, 2)
+    assert r.raw_max == 0.0
+    assert r.adj_max == pytest.approx(0.0, abs=1e-12) and r.passed
+    assert _plan(out).split("Initial Plan")[0].count("Exchange hashpartitioning") <= 4
+
+
 def test_shared_folder_follows_the_setting(spark):
     assert session.scratch(spark, "x").startswith(session.shared_root(spark))

@@ -95,7 +95,7 @@ def _previous_close():
     return F.last("close", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _dividends() -> Column:
+def dividend_product() -> Column:
     """Product of the factors of a day's dividends."""
     step = lambda acc, c: acc * F.coalesce(dividend_price_factor(F.col("_ref"), c), F.lit(1.0))
     return F.coalesce(F.aggregate("_cash", F.lit(1.0), step), F.lit(1.0))
@@ -105,7 +105,7 @@ def _with_total_return_factors(bars: DataFrame, actions: DataFrame) -> DataFrame
     """One shuffle by security: reference closes forward, then factor products backward."""
     timed = _events(bars, actions).withColumn("_ref", _previous_close())
     split = F.coalesce("_split", F.lit(1.0))
-    timed = timed.withColumn("_f", split * _dividends()).withColumn("_s", split)
+    timed = timed.withColumn("_f", split * dividend_product()).withColumn("_s", split)
     # From the end of the line backwards, a bar sees exactly the actions of later days.
     back = (
         Window.partitionBy("security_id")
@@ -139,7 +139,7 @@ def total_return_segments(bars: DataFrame, actions: DataFrame, as_of: dt.date |
         "security_id",
         F.lead("session_date").over(later).alias("after"),
         F.col("session_date").alias("before"),
-        F.product(split * _dividends()).over(back).alias("price_factor"),
+        F.product(split * dividend_product()).over(back).alias("price_factor"),
         F.when(splits != 0, 1.0 / splits).otherwise(1.0).alias("volume_factor"),
         F.lit(as_of_instant(as_of)).cast("timestamp").alias("known_at"),
     )
