@@ -28,11 +28,11 @@ PATTERNS = {
 BASE = ["email", "ip", "card", "phone"]
 # What a text must hold for a pattern to be tried.
 NEEDS = {
-    "email": "contains(__text, '@')",
-    "ip": r"__text RLIKE '[0-9]\\.[0-9]++\\.[0-9]++\\.[0-9]'",
-    "card": r"__text RLIKE '[0-9](?:[\\x20-]?[0-9]){12}'",
-    "phone": r"__text RLIKE '\\+[0-9]'",
-    "iban": r"__text RLIKE '[A-Z]{2}[0-9]{2}[\\x20A-Z0-9]{11}'",
+    "email": lambda text: F.contains(text, F.lit("@")),
+    "ip": lambda text: text.rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"),
+    "card": lambda text: text.rlike(r"[0-9](?:[\x20-]?[0-9]){12}"),
+    "phone": lambda text: text.rlike(r"\+[0-9]"),
+    "iban": lambda text: text.rlike(r"[A-Z]{2}[0-9]{2}[\x20A-Z0-9]{11}"),
 }
 # Score of a confirmed span, and words nearby that raise it.
 SCORES = {"email": 0.9, "ip": 0.5, "card": 0.7, "phone": 0.6, "iban": 0.9}
@@ -46,6 +46,8 @@ CONTEXT = {
 CONTEXT_GAIN = 0.1
 NEARBY = 40  # code points before a span in which context words count
 
+_BITS = 8  # a text is cut in blocks of 256 code points
+
 _MARK, _OTHER = "\ue000", "\ue001"
 
 
@@ -54,7 +56,7 @@ def _pieces(text: Column, kind: str) -> Column:
     private character first; no pattern tells them apart."""
     plain = F.translate(text, _MARK, _OTHER)
     marked = F.regexp_replace(plain, PATTERNS[kind], f"{_MARK}$0{_MARK}")
-    return F.when(F.expr(NEEDS[kind]), F.split(marked, _MARK, -1)).otherwise(F.array(text))
+    return F.when(NEEDS[kind](text), F.split(marked, _MARK, -1)).otherwise(F.array(text))
 
 
 def _luhn(digits: Column) -> Column:
@@ -102,28 +104,38 @@ def _valid(match: Column, kind: str) -> Column:
     return F.lit(True)
 
 
-def _spans(kind: str) -> Column:
-    """Confirmed spans of one kind, in order: kind, start, end, match and the text before it."""
-    pieces = F.col(f"__pieces_{kind}")
-    walked = F.aggregate(
-        F.sequence(F.lit(0), F.size(pieces) - 1),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<i:int,start:int,end:int>>").alias("found")),
-        lambda acc, i: F.struct(
-            (acc["at"] + F.length(F.get(pieces, i))).alias("at"),
-            F.when(i % 2 == 0, acc["found"])
-            .otherwise(
-                F.concat(acc["found"], F.array(F.struct(i.alias("i"), acc["at"].alias("start"), (acc["at"] + F.length(F.get(pieces, i))).alias("end"))))
-            )
-            .alias("found"),
-        ),
-    )
-    found = F.filter(walked["found"], lambda s: _valid(F.get(pieces, s["i"]), kind))
-    near = lambda s: F.lower(F.right(F.get(pieces, s["i"] - 1), F.lit(NEARBY)))
+def _running(values: Column, size: Column, step) -> Column:
+    """Running fold of an array by `step` (associative), by doubling: n log n, where appending to an array is n * n."""
+    levels = F.sequence(F.lit(0), F.length(F.bin(size)) - 1)
+
+    def doubled(acc: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(acc, lambda x, i: F.when(i >= back, step(x, F.get(acc, i - back))).otherwise(x))
+
+    return F.aggregate(levels, values, doubled)
+
+
+def _own(docs: DataFrame) -> str:
+    """A beginning of column names that no column of docs has."""
+    start = "__work"
+    while any(c.lower().startswith(start) for c in docs.columns):
+        start += "_"
+    return start
+
+
+def _spans(pieces: Column, kind: str) -> Column:
+    """Confirmed spans of one kind, in order: kind, start, end and score, from the piece and the text before it."""
+    ends = _running(F.transform(pieces, lambda p: F.length(p)), F.size(pieces), lambda x, y: x + y)
+    placed = F.zip_with(pieces, ends, lambda p, e: F.struct(p.alias("match"), e.alias("end")))
+    beside = F.transform(placed, lambda s, i: F.struct(s["match"].alias("match"), s["end"].alias("end"), F.get(pieces, i - 1).alias("gap")))
+    confirmed = F.filter(beside, lambda s, i: (i % 2 == 1) & _valid(s["match"], kind))
+    near = lambda s: F.lower(F.right(s["gap"], F.lit(NEARBY)))
     gain = lambda s: F.when(near(s).rlike(rf"\b({CONTEXT[kind]})\b"), CONTEXT_GAIN).otherwise(0.0)
     full = F.transform(
-        found,
+        confirmed,
         lambda s: F.struct(
-            F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), (F.lit(SCORES[kind]) + gain(s)).alias("score")
+            F.lit(kind).alias("kind"), (s["end"] - F.length(s["match"])).alias("start"), s["end"].alias("end"),
+            (F.lit(SCORES[kind]) + gain(s)).alias("score"),
         ),
     )
     none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
@@ -138,9 +150,10 @@ def found(docs: DataFrame, into: str = "spans") -> DataFrame:
     so is replaced; rows are neither joined nor shuffled.
     """
     prepare(docs.sparkSession)
-    rows = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = rows.withColumns({f"__pieces_{k}": _pieces(F.col("__text"), k) for k in PATTERNS})
-    rows = rows.withColumn(into, F.concat(*[_spans(k) for k in PATTERNS]))
+    own = _own(docs)
+    rows = docs.withColumn(f"{own}text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = rows.withColumns({f"{own}{k}": _pieces(F.col(f"{own}text"), k) for k in PATTERNS})
+    rows = rows.withColumn(into, F.concat(*[_spans(F.col(f"{own}{k}"), k) for k in PATTERNS]))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c != into], into)
 
 
@@ -154,28 +167,40 @@ def rendered(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _between(blocks: Column, start: Column, end: Column) -> Column:
+    """Text from code point start to end, out of its blocks, so that a cut does not walk from the beginning."""
+    first, last = F.shiftright(start, _BITS), F.shiftright(end - 1, _BITS)
+    near = F.array_join(F.slice(blocks, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+    return F.substring(near, start % (1 << _BITS) + 1, end - start)
+
+
 def masked(docs: DataFrame) -> DataFrame:
     """docs with each span of personal data in text replaced by its kind in brackets, overlapping spans by the first one's.
 
-    n_chars, where present, follows the text. Other columns, null texts and clean texts stay as they are.
+    n_chars, where present, follows the text. Other columns, null texts, empty and clean texts stay as they are; an
+    empty table gives an empty one, and repeated rows are masked alike. The work grows as n log n with a text's spans.
     """
-    rows = found(docs, "__spans")
-    ordered = F.array_sort(F.transform("__spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    text = F.col("text").cast("string")
-    walked = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] < acc["at"], acc["out"])
-            .otherwise(F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
-            .alias("out"),
+    own = _own(docs)
+    spans, blocks, ordered, clean = (F.col(own + x) for x in ("spans", "blocks", "ordered", "clean"))
+    rows = found(docs, f"{own}spans")
+    text, hit = F.col("text").cast("string"), F.size(spans) > 0
+    whole = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << _BITS}}}"), F.lit(0))
+    listed = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    rows = rows.withColumns({f"{own}blocks": F.when(hit, whole), f"{own}ordered": listed})
+    # Where the text is masked up to before each span, and after the last one.
+    upto = F.concat(F.array(F.lit(0)), F.transform(ordered, lambda s: s["end"]))
+    at = _running(upto, F.size(ordered) + 1, lambda x, y: F.greatest(x, y))
+    parts = F.zip_with(ordered, at, lambda s, a: F.struct(s.alias("span"), a.alias("at")))
+    kept = F.filter(parts, lambda p: p["span"].isNull() | (p["span"]["start"] >= p["at"]))
+    pieces = F.transform(
+        kept,
+        lambda p: F.when(p["span"].isNull(), _between(blocks, p["at"], F.length(text))).otherwise(
+            F.concat(_between(blocks, p["at"], p["span"]["start"]), F.lit("["), F.upper(p["span"]["kind"]), F.lit("]"))
         ),
     )
-    clean = F.when(F.size("__spans") > 0, F.concat(walked["out"], F.substring(text, walked["at"] + 1, F.length(text)))).otherwise(text)
-    rows = rows.withColumn("__clean", clean)
+    rows = rows.withColumn(f"{own}clean", F.when(hit, F.array_join(pieces, "")).otherwise(text))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("__clean").cast(kind)).otherwise(F.col("n_chars")))
-    rows = rows.withColumn("text", F.col("__clean"))
+        rows = rows.withColumn("n_chars", F.when(hit, F.length(clean).cast(kind)).otherwise(F.col("n_chars")))
+    rows = rows.withColumn("text", clean)
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
