@@ -120,3 +120,57 @@ def test_unique_texts_of_a_repeated_id_stay(spark):
 def test_similarities_below_the_tables_are_refused(spark):
     with pytest.raises(ValueError, match="75"):
         near_dups.near_duplicates(frame(spark, [(1, "a")]), percent=50)
+
+
+def test_small_blocks_change_nothing(spark, monkeypatch):
+    """Families cut into many blocks, with size classes and large components of their own."""
+    monkeypatch.setattr(near_dups, "BLOCK_ITEMS", 300)
+    rng = random.Random(21)
+    rows = []
+    for length in (60, 75, 90):
+        base = [f"w{i}" for i in range(length)]
+        rows += [(len(rows) + i, edited(rng, base, rng.randrange(1, 4))) for i in range(60)]
+    rng.shuffle(rows)
+    assert result(near_dups.near_duplicates(frame(spark, rows))) == brute(rows)
+
+
+def meeting_rows(spark, members):
+    df = spark.createDataFrame([(7, 3, *m) for m in members], "key bigint, place int, rep bigint, n bigint, comp bigint")
+    return near_dups._meetings(df, 75).collect()
+
+
+def test_a_family_does_not_meet_itself(spark, monkeypatch):
+    """Strays in a bucket meet the family once; the family's own pairs cost nothing."""
+    prepare(spark)
+    monkeypatch.setattr(near_dups, "BLOCK_ITEMS", 1000)
+    for family in (400, 800, 1600):
+        members = [(i, 100, 0) for i in range(family)] + [(5000 + i, 100, 5000 + i) for i in range(3)]
+        met = meeting_rows(spark, members)
+        blocks = -(-family * 100 // 1000)
+        assert sum(r.rep < 5000 for r in met) == family
+        assert len(met) <= family + 3 * blocks + 3
+    assert meeting_rows(spark, [(i, 100, 0) for i in range(50)]) == []
+
+
+def test_every_pair_of_components_meets_once(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(near_dups, "BLOCK_ITEMS", 500)
+    rng = random.Random(4)
+    members = [(i, rng.choice([60, 70, 80, 100, 130]), rng.choice([0, 1, i])) for i in range(120)]
+    found = {}
+    for r in meeting_rows(spark, members):
+        found.setdefault(r.meet, []).append(r)
+    seen = []
+    for rows in found.values():
+        left = [r for r in rows if r.side != near_dups.RIGHT]
+        right = [r for r in rows if r.side != near_dups.LEFT]
+        for x in left:
+            for y in right:
+                if x.comp != y.comp and (x.side != near_dups.BOTH or x.rep < y.rep):
+                    seen.append((min(x.rep, y.rep), max(x.rep, y.rep)))
+    assert len(seen) == len(set(seen))
+    wanted = {
+        (a, b) for k, (a, n, c) in enumerate(members) for b, m, d in members[k + 1 :]
+        if c != d and 100 * min(n, m) >= 75 * max(n, m)
+    }
+    assert wanted <= set(seen)

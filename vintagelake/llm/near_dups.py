@@ -9,6 +9,7 @@ only if it misses all of A or all of B: 2 * (1 - s**2)**12, 1 in 10,000 at s = 0
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,8 @@ SHINGLE = 5
 COLLECTION = 12  # keys in each of the two collections
 PER_KEY = 2  # minhashes in each key
 PERCENT = 75
-# Shingles in a block of documents that are compared with another block at once.
-BLOCK_ITEMS = 1 << 17
+# Shingles in a block of documents that are compared with another block at once, on average.
+BLOCK_ITEMS = 1 << 16
 # Equal minhashes below which a pair counts as unlike: 4.7 standard deviations under the mean at 75 %.
 LEAST_EQUAL = 22
 
@@ -139,42 +140,61 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return rows.sortWithinPartitions("a").mapInArrow(_confirm(width, percent), "u bigint, v bigint").distinct()
 
 
+def _keys_of(sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    part = _collection(sign.astype(np.uint64))
+    return part[:, :COLLECTION], part[:, COLLECTION:]
+
+
 def _half_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
     """A row per document and key of the collection A."""
-    n = batch.num_rows
-    sign = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint32).reshape(n, -1).astype(np.uint64)
-    keys = _collection(sign)[:, :COLLECTION].reshape(-1).view(np.int64)
+    keys, _ = _keys_of(_signs(batch))
     rest = {c: pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), COLLECTION)) for c in ("rep", "n", "comp")}
-    place = pa.array(np.tile(np.arange(COLLECTION, dtype=np.int32), n))
-    return pa.RecordBatch.from_arrays([pa.array(keys), place, *rest.values()], ["key", "place", *rest])
+    place = pa.array(np.tile(np.arange(COLLECTION, dtype=np.int32), batch.num_rows))
+    return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), place, *rest.values()], ["key", "place", *rest])
+
+
+def _tables_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A row per table of one A key: the key with each key of the collection B."""
+    _, second = _keys_of(_signs(batch))
+    first = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+    with np.errstate(over="ignore"):
+        keys = mix(first[:, None] * np.uint64(3) + second)
+    place = batch.column("place").to_numpy(zero_copy_only=False)[:, None] * COLLECTION + np.arange(COLLECTION)
+    rest = {c: pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), COLLECTION)) for c in ("rep", "n", "comp")}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys.reshape(-1).view(np.int64)), pa.array(place.reshape(-1).astype(np.int32)), *rest.values()],
+        ["key", "place", *rest],
+    )
 
 
 def _candidates(t: pa.Table, sign: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """A row of block p and its likely partners in block q, in another component.
+    """A row of one side and its likely partners of the other side, in another component.
 
-    Each pair comes up once: under the first key of A that the two share.
+    Each pair comes up once: in the first table that the two share.
     """
-    comp, n, block = (t[c].to_numpy() for c in ("comp", "n", "block"))
-    p, q, place = (t[c][0].as_py() for c in ("p", "q", "place"))
-    keys = _collection(sign.astype(np.uint64))[:, :COLLECTION]
-    right = np.flatnonzero(block == q)
-    for i in np.flatnonzero(block == p).tolist():
+    comp, n, side = (t[c].to_numpy() for c in ("comp", "n", "side"))
+    a, b = divmod(t["place"][0].as_py(), COLLECTION)
+    first, second = _keys_of(sign)
+    right = np.flatnonzero(side != LEFT)
+    for i in np.flatnonzero(side != RIGHT).tolist():
         js = right[comp[right] != comp[i]]
-        if p == q:
+        if side[i] == BOTH:
             js = js[js > i]
         js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
         js = js[(sign[js] == sign[i]).sum(axis=1) >= LEAST_EQUAL]
-        if place and len(js):
-            js = js[~(keys[js, :place] == keys[i, :place]).any(axis=1)]
+        if len(js):
+            met = (first[js, :a] == first[i, :a]).any(axis=1) | (second[js, :b] == second[i, :b]).any(axis=1)
+            js = js[~met]
         if len(js):
             yield i, js
 
 
-def _signs(t: pa.Table) -> np.ndarray:
+def _signs(t: pa.Table | pa.RecordBatch) -> np.ndarray:
     return np.frombuffer(b"".join(t["sign"].to_pylist()), np.uint32).reshape(t.num_rows, -1)
 
 
-_MEETING = ["key", "p", "q"]
+LEFT, RIGHT, BOTH = 0, 1, 2  # sides of a meeting: one block with another, or a block with itself
+_MEETING = ["key", "meet"]
 
 
 def _likely(percent: int):
@@ -227,34 +247,83 @@ def _sets(width: int):
     return run
 
 
-def _across(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(u, v) links between components, in buckets that hold several.
+def _several(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component."""
+    keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    return members.join(keys.select("key"), "key", "left_semi")
 
-    nodes: rep, n, sign, comp. The members of a bucket of collection A are cut into blocks of bounded
-    size, and blocks meet in pairs. Signatures choose the likely pairs, then the full sets of the
-    documents in them decide. Only links leave a block pair, however many pairs it tried.
+
+def _meetings(members: DataFrame, percent: int) -> DataFrame:
+    """key, place, meet, side, rep, n, comp: the members of each bucket in pairs of blocks.
+
+    members: key, place, rep, n, comp. A bucket falls into size classes, of which only equal and adjacent
+    ones can be alike; in a class, a component of a block's weight or more is a group of its own and the
+    others share one. Groups are dealt into blocks by a hash, so no bucket is gathered, and two groups
+    meet only if they hold more than one component between them: a family never meets itself.
     """
-    inside = Window.partitionBy("key")
-    by_size = inside.orderBy("n", "rep")
-    members = mapped(
-        nodes.select("rep", "n", "comp", "sign"), _half_keys, "key bigint, place int, rep bigint, n bigint, comp bigint"
-    ).select(
-        "*",
-        (F.min("comp").over(inside) < F.max("comp").over(inside)).alias("several"),
-        F.floor(F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, 0)) / BLOCK_ITEMS).alias("block"),
-    ).where("several")
-    members = members.withColumn("last", F.max("block").over(inside)).withColumn("least", F.min("block").over(inside))
+    step = max(math.log(100 / percent), 0.01) * 1.000001  # a hair wider, so that rounding can't part two classes
+    rows = members.withColumn("size", F.floor(F.log("n") / step).cast("int"))
+    owners = (
+        rows.groupBy("key", "size", "comp").agg(F.sum("n").alias("weight"))
+        .withColumn("own", F.when(F.col("weight") >= BLOCK_ITEMS, F.col("comp")))
+    )
+    groups = owners.groupBy("key", "size", "own").agg(
+        F.ceil(F.sum("weight") / BLOCK_ITEMS).alias("parts"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
+    ).withColumn("group", F.xxhash64("key", "size", F.coalesce(F.col("own").cast("string"), F.lit("rest"))))
+    groups = cut(groups.drop("own").withColumn("alone", F.col("lo") == F.col("hi")))
+    near = groups.withColumn("at", F.explode(F.array("size", F.col("size") + 1)))
+    other = groups.select("key", *[F.col(c).alias(f"other_{c}") for c in ("size", "group", "parts", "lo", "alone")])
+    pairs = near.join(other, (near.key == other.key) & (F.col("at") == F.col("other_size"))).drop(other.key).where(
+        "(size < other_size OR group <= other_group)"
+        " AND NOT (alone AND other_alone AND lo = other_lo)"
+    )
+    same = F.col("group") == F.col("other_group")
+    left = pairs.select(
+        "key", "group", F.when(same, BOTH).otherwise(LEFT).alias("side"), "parts", F.col("other_group").alias("other"),
+        F.col("other_parts").alias("other_parts"),
+    )
+    right = pairs.where(~same).select(
+        "key", F.col("other_group").alias("group"), F.lit(RIGHT).alias("side"), F.col("other_parts").alias("parts"),
+        F.col("group").alias("other"), F.col("parts").alias("other_parts"),
+    )
+    own = owners.where("own IS NOT NULL").select("key", "size", "comp", "own")
+    dealt = rows.join(own, ["key", "size", "comp"], "left").select(
+        "key", "place", "rep", "n", "comp",
+        F.xxhash64("key", "size", F.coalesce(F.col("own").cast("string"), F.lit("rest"))).alias("group"),
+    )
     met = (
-        members.withColumn("other", F.explode(F.sequence("least", "last")))
-        .withColumn("p", F.least("block", "other"))
-        .withColumn("q", F.greatest("block", "other"))
-        .select("key", "place", "p", "q", "block", "rep", "n", "comp")
+        dealt.join(left.union(right), ["key", "group"])
+        .withColumn("part", F.pmod(F.xxhash64("rep", "n"), F.col("parts")))
+        .withColumn("other_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("other_parts") - 1)))
+        # Inside one group a block meets itself once, and another block from one side each.
+        .withColumn(
+            "side",
+            F.when((F.col("side") != BOTH) | (F.col("part") == F.col("other_part")), F.col("side"))
+            .otherwise(F.when(F.col("part") < F.col("other_part"), LEFT).otherwise(RIGHT)),
+        )
     )
+    mine, yours = F.struct("group", "part"), F.struct(F.col("other").alias("group"), F.col("other_part").alias("part"))
+    meet = F.when(F.col("side") == RIGHT, F.xxhash64(yours, mine)).otherwise(F.xxhash64(mine, yours))
+    return met.select("key", "place", meet.alias("meet"), "side", "rep", "n", "comp")
+
+
+def _across(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(u, v) links between components, in tables whose buckets hold several.
+
+    nodes: rep, n, sign, comp. Keys of collection A find the buckets with several components; their members
+    alone are tried in the tables, which are such a key with each key of collection B. What is in one bucket of a
+    table meets as _meetings says. Signatures choose the likely pairs, then the full sets of the
+    documents in them decide. Only links leave a block pair, however many pairs it tried.
+    """
+    member = "key bigint, place int, rep bigint, n bigint, comp bigint"
     signs = nodes.select("rep", "n", "sign")
-    schema = "key bigint, place int, p bigint, q bigint, block bigint, rep bigint, n bigint, comp bigint, sign binary"
-    ordered = [*_MEETING, "block", "rep", "n"]
+    halves = _several(mapped(nodes.select("rep", "n", "comp", "sign"), _half_keys, member))
+    tables = mapped(halves.join(signs, ["rep", "n"]).select("key", "place", "rep", "n", "comp", "sign"), _tables_of, member)
+    met = _meetings(cut(_several(tables)), percent)
+    schema = "key bigint, place int, meet bigint, side int, rep bigint, n bigint, comp bigint, sign binary"
+    ordered = [*_MEETING, "side", "rep", "n"]
     likely = cut(
-        met.join(signs, ["rep", "n"]).select("key", "place", "p", "q", "block", "rep", "n", "comp", "sign")
+        met.join(signs, ["rep", "n"]).select("key", "place", "meet", "side", "rep", "n", "comp", "sign")
         .repartition(*_MEETING).sortWithinPartitions(*ordered).mapInArrow(_likely(percent), schema)
     )
     texts = docs.join(likely.select("rep").distinct(), docs.doc_id == F.col("rep"), "left_semi")
