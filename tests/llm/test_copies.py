@@ -122,9 +122,11 @@ def test_similarities_below_the_tables_are_refused(spark):
         near_dups.near_duplicates(frame(spark, [(1, "a")]), percent=50)
 
 
-def test_small_blocks_change_nothing(spark, monkeypatch):
-    """Families cut into many blocks, with size classes and large components of their own."""
+@pytest.mark.parametrize("split", [0, 4])
+def test_small_blocks_change_nothing(spark, monkeypatch, split):
+    """Families cut into many blocks, with size classes, large components of their own and large buckets split."""
     monkeypatch.setattr(near_dups, "BLOCK_ITEMS", 300)
+    monkeypatch.setattr(near_dups, "SPLIT_BLOCKS", split)
     rng = random.Random(21)
     rows = []
     for length in (60, 75, 90):

@@ -26,6 +26,8 @@ PER_KEY = 2  # minhashes in each key
 PERCENT = 75
 # Shingles in a block of documents that are compared with another block at once, on average.
 BLOCK_ITEMS = 1 << 16
+# A bucket of a key of A whose small components fill more blocks than this is split by the keys of B.
+SPLIT_BLOCKS = 4
 # Equal minhashes below which a pair counts as unlike: 4.7 standard deviations under the mean at 75 %.
 LEAST_EQUAL = 22
 
@@ -149,7 +151,7 @@ def _half_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
     """A row per document and key of the collection A."""
     keys, _ = _keys_of(_signs(batch))
     rest = {c: pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), COLLECTION)) for c in ("rep", "n", "comp")}
-    place = pa.array(np.tile(np.arange(COLLECTION, dtype=np.int32), batch.num_rows))
+    place = pa.array(np.tile(np.arange(COLLECTION, dtype=np.int32) * COLLECTION, batch.num_rows))
     return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), place, *rest.values()], ["key", "place", *rest])
 
 
@@ -159,7 +161,7 @@ def _tables_of(batch: pa.RecordBatch) -> pa.RecordBatch:
     first = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
     with np.errstate(over="ignore"):
         keys = mix(first[:, None] * np.uint64(3) + second)
-    place = batch.column("place").to_numpy(zero_copy_only=False)[:, None] * COLLECTION + np.arange(COLLECTION)
+    place = batch.column("place").to_numpy(zero_copy_only=False)[:, None] + np.arange(COLLECTION)
     rest = {c: pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), COLLECTION)) for c in ("rep", "n", "comp")}
     return pa.RecordBatch.from_arrays(
         [pa.array(keys.reshape(-1).view(np.int64)), pa.array(place.reshape(-1).astype(np.int32)), *rest.values()],
@@ -308,18 +310,22 @@ def _meetings(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(u, v) links between components, in tables whose buckets hold several.
+    """(u, v) links between components, in buckets that hold several.
 
-    nodes: rep, n, sign, comp. Keys of collection A find the buckets with several components; their members
-    alone are tried in the tables, which are such a key with each key of collection B. What is in one bucket of a
-    table meets as _meetings says. Signatures choose the likely pairs, then the full sets of the
+    nodes: rep, n, sign, comp. Keys of collection A find the buckets with several components; one that is large
+    falls into its tables, which are such a key with each key of collection B. What is in one bucket
+    meets as _meetings says. Signatures choose the likely pairs, then the full sets of the
     documents in them decide. Only links leave a block pair, however many pairs it tried.
     """
     member = "key bigint, place int, rep bigint, n bigint, comp bigint"
     signs = nodes.select("rep", "n", "sign")
-    halves = _several(mapped(nodes.select("rep", "n", "comp", "sign"), _half_keys, member))
-    tables = mapped(halves.join(signs, ["rep", "n"]).select("key", "place", "rep", "n", "comp", "sign"), _tables_of, member)
-    met = _meetings(cut(_several(tables)), percent)
+    halves = cut(_several(mapped(nodes.select("rep", "n", "comp", "sign"), _half_keys, member)))
+    weights = halves.groupBy("key", "comp").agg(F.sum("n").alias("weight")).where(F.col("weight") < BLOCK_ITEMS)
+    large = weights.groupBy("key").agg(F.sum("weight").alias("weight")).where(F.col("weight") > SPLIT_BLOCKS * BLOCK_ITEMS)
+    large = cut(large.select("key"))
+    split = halves.join(large, "key", "left_semi").join(signs, ["rep", "n"])
+    tables = _several(mapped(split.select("key", "place", "rep", "n", "comp", "sign"), _tables_of, member))
+    met = _meetings(cut(halves.join(large, "key", "left_anti").union(tables)), percent)
     schema = "key bigint, place int, meet bigint, side int, rep bigint, n bigint, comp bigint, sign binary"
     ordered = [*_MEETING, "side", "rep", "n"]
     likely = cut(
