@@ -90,6 +90,30 @@ def test_paths_shorten_for_odd_rows():
     assert forest.score(bad).min() > forest.score(good).max()
 
 
+def test_fit_takes_every_labelled_row(spark):
+    """More labelled rows than the 20,000 that once counted: ranges, weights, node counts and threshold are those of all rows."""
+    n = 24_000
+    counted = spark.range(n).selectExpr(
+        "id AS doc_id", "100L AS n_words", "500L AS word_chars", "0L AS n_symbols", "0L AS n_dup_lines", "0L AS n_repeat_words",
+        f"transform(sequence(0, {len(quality.RULES) - 1}), k -> IF(id % 40 = 7, 2, 0) * (k % 3) + pmod(xxhash64(id, k), 1000) / 1000D) AS rules",
+    )
+    known = counted.selectExpr("doc_id", "IF(doc_id % 40 = 7, 0, 1) AS quality")
+    forest, at = quality.fit(counted, known)
+    rows = np.array([r.rules for r in counted.orderBy("doc_id").collect()])
+    good = np.arange(n) % 40 != 7
+    want = quality.grown(rows, good)
+    assert np.allclose(forest.weights, want.weights) and np.array_equal(forest.path, want.path)
+    assert forest.path.shape == (quality.TREES, 2**quality.TREE_DEPTH)
+    score = want.score(rows)
+    balance = {
+        s: np.mean(score[~good] > s) - np.mean(score[good] > s) for s in np.unique(score) if np.mean(score[good] > s) <= quality.GOOD_LOST
+    }
+    best = max(balance.values())
+    chosen = min(s for s, b in balance.items() if b == best)
+    above = score[score > chosen]
+    assert at == pytest.approx((chosen + above.min()) / 2 if len(above) else chosen, abs=1e-12)
+
+
 def test_language_held_out_accuracy(spark):
     docs = table(spark, SF, "documents")
     seen = docs.where(~language.held_out())
