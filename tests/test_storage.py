@@ -448,3 +448,30 @@ def test_vendor_check_sends_each_row_once(spark):
 
 def test_shared_folder_follows_the_setting(spark):
     assert session.scratch(spark, "x").startswith(session.shared_root(spark))
+
+
+def test_vendor_rows_compile(spark):
+    """Methods of more than 8,000 bytes are never compiled by the JVM; such a plan took three times as long."""
+    docs = spark.range(10).selectExpr("id AS security_id", "concat('S', id) AS symbol", "concat('[{\"date\": \"', id, '\"}]') AS text")
+    for rows in (bronze.vendor_rows(docs), *bronze.vendor_bars(docs)):
+        text = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) < 8000
+
+
+def test_vendor_causes_come_in_order(spark):
+    fields = {"date": "2020-01-02", "open": "1", "high": "2", "low": "0.5", "close": "1.5", "volume": "7.9"}
+    cases = [
+        ({}, None), ({"date": None}, "missing_date"), ({"date": ""}, "missing_date"), ({"date": "2020-13-01"}, "ValueError"),
+        ({"high": None, "low": "x"}, "TypeError"), ({"open": "x", "high": None}, "ValueError"), ({"close": "NaN"}, "ValueError"),
+        ({"volume": None}, None), ({"volume": ""}, None), ({"volume": "x"}, "ValueError"), ({"volume": "x", "close": None}, "TypeError"),
+    ]
+    rows = [(n, "S", json.dumps([fields | change])) for n, (change, _) in enumerate(cases)]
+    without = {k: v for k, v in fields.items() if k != "low"}
+    rows.append((len(rows), "S", json.dumps([without | {"close": None}])))
+    docs = spark.createDataFrame(rows, "security_id long, symbol string, text string")
+    want = [c if c in (None, "missing_date") else f"malformed_row:{c}" for c in (*(c for _, c in cases), "KeyError")]
+    assert [r.reason for r in bronze.vendor_rows(docs).orderBy("security_id").collect()] == want
+    good, bad = bronze.vendor_bars(docs)
+    assert sorted(r.security_id for r in good.collect()) == [n for n, c in enumerate(want) if c is None]
+    assert sorted(r.reason for r in bad.collect()) == sorted(c for c in want if c)

@@ -20,6 +20,14 @@ _ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+# Fields of a vendor's daily row; the prices in the order in which they are read.
+_PRICES = ("open", "high", "low", "close")
+_VENDOR_FIELDS = {
+    "date": "date", **{f: f for f in _PRICES}, "volume": "volume",
+    "split_factor": "splitFactor", "div_cash": "divCash", "adj_close": "adjClose",
+}
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: document name and text."""
     return spark.read.text(path, wholetext=True).select(
@@ -126,35 +134,42 @@ def vendor_rows(docs: DataFrame) -> DataFrame:
 
     The first failing step names the cause: date, then open, high, low, close,
     then volume. KeyError: no such field; TypeError: null; ValueError: not readable.
+    Fields are looked up, then read, then judged, each in a projection of its own: in one expression every
+    look-up and pattern would be repeated, and the generated method would be too long to be compiled.
     """
     rows = docs.select(
         "security_id", "symbol",
         F.posexplode(F.from_json("text", "array<map<string,string>>")).alias("entry", "r"),
     )
-    raw = F.col("r")["date"]
-    day = iso_day(F.substring(raw, 1, 10))
-    volume = F.coalesce(F.when(F.col("r")["volume"] != "", F.col("r")["volume"]), F.lit("0"))
-    whole = F.floor(number(volume)).cast("bigint")
-    cause = F.when(day.isNull(), "ValueError")
-    for field in ("open", "high", "low", "close"):
-        cause = (
-            cause.when(~F.map_contains_key("r", F.lit(field)), "KeyError")
-            .when(F.col("r")[field].isNull(), "TypeError")
-            .when(number(F.col("r")[field]).isNull(), "ValueError")
+    fields = {name: F.try_element_at("r", F.lit(key)).alias(f"_{name}") for name, key in _VENDOR_FIELDS.items()}
+    named = rows.select("security_id", "symbol", "entry", "r", *fields.values())
+    cut = F.substring("_date", 1, 10)
+    volume = F.coalesce(F.when(F.col("_volume") != "", F.col("_volume")), F.lit("0"))
+    read = named.select(
+        "security_id", "symbol", "entry", "r", *[f"_{f}" for f in ("date", *_PRICES)],
+        cut.alias("raw_date"), iso_day(cut).alias("session_date"),
+        *[number(F.col(f"_{f}")).alias(f) for f in _PRICES],
+        F.floor(number(volume)).cast("bigint").alias("volume"),
+        number(F.col("_split_factor")).alias("split_factor"),
+        F.coalesce(number(F.col("_div_cash")), F.lit(0.0)).alias("div_cash"),
+        number(F.col("_adj_close")).alias("adj_close"),
+    )
+    cause = F.when(F.col("session_date").isNull(), "ValueError")
+    for field in _PRICES:
+        failed = (
+            F.when(F.col(f"_{field}").isNotNull(), "ValueError")
+            .when(F.map_contains_key("r", F.lit(field)), "TypeError")
+            .otherwise("KeyError")
         )
-    cause = cause.when(whole.isNull(), "ValueError")
-    reason = F.when(raw.isNull() | (raw == ""), "missing_date").otherwise(
+        cause = cause.when(F.col(field).isNull(), failed)
+    cause = cause.when(F.col("volume").isNull(), "ValueError")
+    reason = F.when(F.col("_date").isNull() | (F.col("_date") == ""), "missing_date").otherwise(
         F.when(cause.isNotNull(), F.concat(F.lit("malformed_row:"), cause))
     )
-    prices = [number(F.col("r")[f]).alias(f) for f in ("open", "high", "low", "close")]
-    return rows.select(
-        "security_id", "symbol", "entry", F.substring(raw, 1, 10).alias("raw_date"), day.alias("session_date"),
-        *prices, whole.alias("volume"),
+    return read.select(
+        "security_id", "symbol", "entry", "raw_date", "session_date", *_PRICES, "volume",
         F.lit(None).cast("bigint").alias("trade_count"), F.lit(None).cast("double").alias("vwap"),
-        number(F.col("r")["splitFactor"]).alias("split_factor"),
-        F.coalesce(number(F.col("r")["divCash"]), F.lit(0.0)).alias("div_cash"),
-        number(F.col("r")["adjClose"]).alias("adj_close"),
-        reason.alias("reason"),
+        "split_factor", "div_cash", "adj_close", reason.alias("reason"),
     )
 
 
@@ -164,8 +179,13 @@ BAR_FIELDS = ["security_id", "symbol", "session_date", "open", "high", "low", "c
 def vendor_bars(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable bars and the anomalies."""
     rows = vendor_rows(docs)
-    bars = rows.where(F.col("reason").isNull()).select(*BAR_FIELDS)
-    bad = rows.where(F.col("reason").isNotNull()).select("security_id", "symbol", "raw_date", "reason")
+    # As `reason IS NULL`, said of the few fields that decide it: a filter is computed apart from the row's other columns.
+    needed = ["session_date", *_PRICES, "volume"]
+    bars = rows.dropna(subset=needed).select(*BAR_FIELDS)
+    lacking = F.col(needed[0]).isNull()
+    for field in needed[1:]:
+        lacking = lacking | F.col(field).isNull()
+    bad = rows.where(lacking).select("security_id", "symbol", "raw_date", "reason")
     return bars, bad
 
 
