@@ -12,7 +12,7 @@ from helpers import D, actions, bar, bars, identifiers, pairs, sessions, utc
 from pyspark.sql import functions as F
 
 from vintagelake import schemas, seeds, session
-from vintagelake.operators import adjust, asof, calendar
+from vintagelake.operators import adjust, asof, calendar, identity
 from vintagelake.plans import capture, gold as gold_plan, health, validators
 from vintagelake.sources import bronze, lake, registry_files
 from vintagelake.streaming import capture as stream
@@ -475,3 +475,22 @@ def test_vendor_causes_come_in_order(spark):
     good, bad = bronze.vendor_bars(docs)
     assert sorted(r.security_id for r in good.collect()) == [n for n, c in enumerate(want) if c is None]
     assert sorted(r.reason for r in bad.collect()) == sorted(c for c in want if c)
+
+
+def test_documents_are_read_once_to_resolve_them(spark):
+    """Symbols resolve with the documents themselves: no pass for their distinct symbols and no exchange of texts."""
+    root = _tmp()
+    spark.range(50).selectExpr("concat('A', id % 5) AS symbol", "'[]' AS text").write.parquet(root + "/docs")
+    identifiers(spark, [(n, f"A{n}", D(2000, 1, 1), None) for n in range(3)]).write.parquet(root + "/ids")
+    docs, ids = (spark.read.parquet(f"{root}/{n}") for n in ("docs", "ids"))
+    for found in (identity.resolve_batch(docs, ids, D(2020, 1, 1))[0], identity.resolve_any_time(docs, ids)[0]):
+        assert found.columns == ["symbol", "text", "security_id"] and found.count() == 30
+        assert _plan(found).count("docs") == 1
+
+
+def test_other_taxonomies_are_not_converted(spark):
+    entry = {"end": "2020-03-31", "val": 7, "accn": "A", "fy": 2020, "fp": "Q1", "form": "10-Q", "filed": "2020-05-01"}
+    facts = {"dei": {"X": 5, "Y": {"units": "none"}}, "us-gaap": {"Assets": {"units": {"USD": [entry]}}}}
+    docs = spark.createDataFrame([(1, json.dumps({"cik": 12, "facts": facts}))], "security_id long, text string")
+    assert pairs(bronze.company_facts(docs), "tag", "unit", "value") == [("Assets", "USD", 7.0)]
+    assert "dei" not in schemas.COMPANY_FACTS_JSON and "`us-gaap`" in schemas.COMPANY_FACTS_JSON

@@ -48,11 +48,11 @@ def resolve_on(identifiers: DataFrame, day: dt.date) -> DataFrame:
 
 
 def resolve_batch(symbols: DataFrame, identifiers: DataFrame, today: dt.date) -> tuple[DataFrame, DataFrame]:
-    """Symbols resolved as of today, and those to skip and report."""
+    """Symbols resolved as of today, and those to skip and report; other columns of symbols (documents) are kept."""
     now = resolve_on(identifiers, today).select("ticker_key", "security_id")
     keyed = symbols.withColumn("ticker_key", F.upper("symbol"))
-    found = keyed.join(now, "ticker_key").select("symbol", "security_id")
-    skipped = keyed.join(now, "ticker_key", "left_anti").select("symbol")
+    found = keyed.join(now, "ticker_key").select(*symbols.columns, "security_id")
+    skipped = keyed.join(now, "ticker_key", "left_anti").select(*symbols.columns)
     return found, skipped
 
 
@@ -62,7 +62,7 @@ def resolve_any_time(
     """Resolve without a date. A ticker with several identifier rows is ambiguous and left out.
 
     With distinct_securities, several rows of one security are not ambiguous.
-    The lookup is case-sensitive, unlike the dated one.
+    The lookup is case-sensitive, unlike the dated one. Other columns of symbols (documents) are kept.
     """
     use = tickers(identifiers).groupBy("ticker").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -72,8 +72,8 @@ def resolve_any_time(
     hits = symbols.join(use, F.col("symbol") == F.col("ticker")).drop("ticker")
     size = F.col("n_securities" if distinct_securities else "n_rows")
     return (
-        hits.where(size == 1).select("symbol", "security_id"),
-        hits.where(size > 1).select("symbol", "n_rows", "n_securities"),
+        hits.where(size == 1).select(*symbols.columns, "security_id"),
+        hits.where(size > 1).select(*symbols.columns, "n_rows", "n_securities"),
     )
 
 

@@ -51,9 +51,9 @@ def due_sessions(bars: DataFrame, sessions: DataFrame, now: dt.datetime) -> Data
     return sessions.where((F.col("session_date") > last) & (F.col("close_utc") <= F.lit(now))).select("session_date")
 
 
-def parsed_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of vendor documents of resolved symbols, with the reason why a row is unusable, or null."""
-    rows = bronze.vendor_rows(docs.join(found, "symbol"))
+def parsed_rows(docs: DataFrame) -> DataFrame:
+    """Rows of vendor documents (security_id, symbol, text), with the reason why a row is unusable, or null."""
+    rows = bronze.vendor_rows(docs)
     return rows.select(*bronze.BAR_FIELDS, "raw_date", "reason")
 
 
@@ -139,8 +139,9 @@ def backfill(
     resolved without a date; ambiguous ones are left out and reported. Documents are parsed once, into
     the shared folder; bars, counts and samples are read from there.
     """
-    found, ambiguous = identity.resolve_any_time(docs.select("symbol").distinct(), identifiers)
-    rows = graded(parsed_rows(docs, found), sessions).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    _, ambiguous = identity.resolve_any_time(docs.select("symbol").distinct(), identifiers)
+    named, _ = identity.resolve_any_time(docs, identifiers)
+    rows = graded(parsed_rows(named), sessions).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     parsed, path = session.staged(rows, "parsed")
     kept, _ = calendar.stamp_knowledge(usable(parsed), sessions)
     staged = lake.stage(kept.withColumn("source", F.lit(source)), root, version)
@@ -160,8 +161,8 @@ def capture_sessions(
     is repeated.
     """
     spark, days = docs.sparkSession, sorted(targets)
-    found, _ = identity.resolve_batch(docs.select("symbol").distinct(), identifiers, days[-1])
-    rows = assigned(parsed_rows(docs, found), sessions, days, first_batch)
+    named, _ = identity.resolve_batch(docs, identifiers, days[-1])
+    rows = assigned(parsed_rows(named), sessions, days, first_batch)
     parsed, staged = session.staged(rows, "parsed")
     lake.merge_batches(usable(parsed), sessions, path, source)
     batches = [first_batch + n for n in range(len(days))]

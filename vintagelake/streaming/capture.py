@@ -23,9 +23,11 @@ from vintagelake.sources import lake
 def documents(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """Stream of whole documents in arrival order."""
     raw = spark.readStream.format("text").option("wholetext", str(not per_line).lower()).load(path)
-    return raw.select(
+    parts = F.struct(
         F.get_json_object("value", "$.symbol").alias("symbol"), F.get_json_object("value", "$.rows").alias("text")
     )
+    # From a generator, since a column would be computed again by each filter and key made of it.
+    return raw.select(F.inline(F.array(parts)))
 
 
 def merge_documents(
@@ -33,8 +35,8 @@ def merge_documents(
     dq_path: str, batch_id: int, today: dt.date, source: str,
 ) -> None:
     """One micro-batch: parse, resolve as of today, merge bars, store the quality rows under the batch."""
-    found, _ = identity.resolve_batch(docs.select("symbol").distinct(), identifiers, today)
-    rows = graded(parsed_rows(docs, found), sessions).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    named, _ = identity.resolve_batch(docs, identifiers, today)
+    rows = graded(parsed_rows(named), sessions).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     parsed, path = session.staged(rows, "parsed")
     lake.merge_batches(usable(parsed), sessions, lake_path, source)
     quality = batch_quality(parsed, checks, [batch_id])
