@@ -110,7 +110,8 @@ FACTS = T.StructType(
 
 # Documents as vendors deliver them.
 _ENTRY = "array<struct<start:string,end:string,val:string,accn:string,fy:int,fp:string,form:string,filed:string>>"
-COMPANY_FACTS_JSON = f"cik string, facts map<string,map<string,struct<units:map<string,{_ENTRY}>>>>"
+# Only the taxonomy that is read: the parser skips the others unconverted.
+COMPANY_FACTS_JSON = f"facts struct<`us-gaap`:map<string,struct<units:map<string,{_ENTRY}>>>>"
 VINTAGES_JSON = (
     "single_vintage boolean, "
     "observations array<struct<date:string,realtime_start:string,realtime_end:string,value:string>>"
