@@ -93,20 +93,21 @@ class WordTokens:
 
     def _learn(self, words: set[str]) -> None:
         """Ids of new words. A plain word with closing marks is made of its two parts."""
-        parts: dict[str, tuple[str, str]] = {}
+        parts: list[tuple[str, str, str]] = []
         plain, other = set(), set()
         for w in words:
             core = w.rstrip(_CLOSING)
-            if core and core.isalpha() and max(core) < "\u2000":
-                tail = w[len(core) :]
-                parts[w] = (core, tail)
+            if core and core.isalpha() and (core.isascii() or max(core) < "\u2000"):
                 if core not in self.known:
                     plain.add(core)
-                if tail and tail not in self.known:
-                    other.add(tail)
+                if len(core) < len(w):
+                    tail = w[len(core) :]
+                    parts.append((w, core, tail))
+                    if tail not in self.known:
+                        other.add(tail)
             else:
                 other.add(w)
-        cores = sorted(plain)
+        cores = list(plain)
         some = [cores[lo : lo + 128] for lo in range(0, len(cores), 128)]
         coded = self.plain.encode_batch_fast([" ".join(c) for c in some], add_special_tokens=False)
         for names, e in zip(some, coded, strict=True):
@@ -115,12 +116,11 @@ class WordTokens:
             for name, end in zip(names, (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist(), strict=True):
                 self.known[name] = raw[at:end]
                 at = end
-        rest = sorted(other)
+        rest = list(other)
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.known[w] = np.array(e.ids, "<u4").tobytes()
-        for w, (core, tail) in parts.items():
-            if tail:
-                self.known[w] = self.known[core] + self.known[tail]
+        for w, core, tail in parts:
+            self.known[w] = self.known[core] + self.known[tail]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
