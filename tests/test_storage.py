@@ -494,3 +494,16 @@ def test_other_taxonomies_are_not_converted(spark):
     docs = spark.createDataFrame([(1, json.dumps({"cik": 12, "facts": facts}))], "security_id long, text string")
     assert pairs(bronze.company_facts(docs), "tag", "unit", "value") == [("Assets", "USD", 7.0)]
     assert "dei" not in schemas.COMPANY_FACTS_JSON and "`us-gaap`" in schemas.COMPANY_FACTS_JSON
+
+
+def test_paged_documents_are_parsed_once(spark):
+    """No filter made for an explode parses a document again; rows, order and columns stay."""
+    root = _tmp() + "/docs"
+    bar_of = lambda t, c: {"t": t, "o": c, "h": c, "l": c, "c": c, "v": 5.0, "n": 1, "vw": c}
+    pages = [{"bars": {"A": [bar_of(None, 1.0), bar_of("2020-01-02T05:00:00Z", 2.0)]}}, {"bars": {}}, {"bars": None}]
+    texts = [json.dumps({"fetched_at": "2020-01-03", "pages": pages}), json.dumps({"fetched_at": "x", "pages": None}), "{", None]
+    spark.createDataFrame([(f"d{n}", t) for n, t in enumerate(texts)], "doc string, text string").write.parquet(root)
+    rows = bronze.paged_bars(spark.read.parquet(root))
+    assert pairs(rows, "doc", "fetched_at", "page", "entry", "symbol", "close") == [("d0", "2020-01-03", 0, 1, "A", 2.0)]
+    for some in (rows, rows.select("symbol", "close", "page"), rows.select("symbol")):
+        assert _plan(some).count("from_json") == 1

@@ -113,11 +113,12 @@ def series_metadata(docs: DataFrame) -> DataFrame:
 
 
 def paged_bars(docs: DataFrame) -> DataFrame:
-    """Bars of paged documents (doc, text), with where each was found; rows without a time are dropped."""
-    d = F.from_json("text", schemas.PAGED_BARS_JSON)
-    pages = docs.withColumn("d", d).select(
-        "doc", F.col("d.fetched_at").alias("fetched_at"), F.posexplode("d.pages").alias("page", "p")
-    )
+    """Bars of paged documents (doc, text), with where each was found; rows without a time are dropped.
+
+    Parsed by a generator: the filters that Spark derives for an explode would each parse a plain column again.
+    """
+    parsed = docs.select("doc", F.inline(F.array(F.from_json("text", schemas.PAGED_BARS_JSON))))
+    pages = parsed.select("doc", "fetched_at", F.posexplode("pages").alias("page", "p"))
     symbols = pages.select("doc", "fetched_at", "page", F.explode("p.bars").alias("symbol", "list"))
     rows = symbols.select("doc", "fetched_at", "page", "symbol", F.posexplode("list").alias("entry", "b"))
     return rows.where(F.col("b.t").isNotNull()).select(
