@@ -507,3 +507,18 @@ def test_paged_documents_are_parsed_once(spark):
     assert pairs(rows, "doc", "fetched_at", "page", "entry", "symbol", "close") == [("d0", "2020-01-03", 0, 1, "A", 2.0)]
     for some in (rows, rows.select("symbol", "close", "page"), rows.select("symbol")):
         assert _plan(some).count("from_json") == 1
+
+
+def test_results_of_few_checks_are_not_gathered_by_name(spark, monkeypatch):
+    path = _tmp() + "/results"
+    spark.range(400).selectExpr(
+        "id AS result_id", "concat('c', id % 4) AS check_name", "id AS batch_id", "timestamp_seconds(id) AS run_at",
+        "false AS passed", "'{}' AS observed", "'d' AS details",
+    ).write.parquet(path)
+    checks = spark.createDataFrame([("c1",), ("c3",), ("c3",)], "name string")
+    want = [n for n in reversed(range(400)) if n % 2][:50]
+    few = health.recent_dq(spark.read.parquet(path), checks)
+    assert [r.result_id for r in few.collect()] == want
+    assert "SortMergeJoin" not in _plan(few)
+    monkeypatch.setattr(health, "MAX_SENT", 1)  # more names than may be sent
+    assert [r.result_id for r in health.recent_dq(spark.read.parquet(path), checks).collect()] == want

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 MAX_ROWS = 500
 SUMMARY_ROWS = 20
+MAX_SENT = 10_000  # check names that are sent to every task; more of them are joined by name
 
 
 def check_limit(limit: int) -> int:
@@ -59,6 +60,12 @@ def recent_jobs(
     return rows.orderBy(F.col("started_at").desc(), F.col("batch_id").desc()).limit(check_limit(limit))
 
 
+def _of_checks(results: DataFrame, names: DataFrame) -> DataFrame:
+    """Results of named checks. A few names hold all results and would gather them in as many tasks, so few names go to the results."""
+    few = names.limit(MAX_SENT + 1).count() <= MAX_SENT
+    return results.join(F.broadcast(names) if few else names, "check_name", "left_semi")
+
+
 def recent_dq(
     results: DataFrame, checks: DataFrame, limit: int = 50, only_failed: bool = False,
     before: tuple[dt.datetime | None, int] | None = None,
@@ -66,7 +73,7 @@ def recent_dq(
     """Newest quality results first, with severity and count from the observed JSON. before: (run_at, result_id) of the last row of the page before."""
     rows = results.where(~F.col("passed")) if only_failed else results
     rows = rows.where(_older("run_at", "result_id", before))
-    known = rows.join(checks.select(F.col("name").alias("check_name")), "check_name", "left_semi")
+    known = _of_checks(rows, checks.select(F.col("name").alias("check_name")).distinct())
     top = known.orderBy(F.col("run_at").desc(), F.col("result_id").desc()).limit(check_limit(limit))
     return top.select(
         "result_id", "check_name", "batch_id", "run_at", "passed",
