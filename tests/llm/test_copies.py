@@ -1,6 +1,7 @@
 """Near-duplicates and their components, against brute force."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,3 +177,22 @@ def test_every_pair_of_components_meets_once(spark, monkeypatch):
         if c != d and 100 * min(n, m) >= 75 * max(n, m)
     }
     assert wanted <= set(seen)
+
+
+def test_shuffles_of_what_was_cut_are_deleted(spark):
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(blocks.apply(i).getName().startswith("shuffle_") for i in range(blocks.size()))
+
+    cut(spark.range(1))  # what earlier tests left goes now, or later, but never comes
+    time.sleep(2)
+    before = files()
+    rows = [cut(spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count()) for _ in range(4)]
+    for _ in range(2):
+        cut(spark.range(1))
+        time.sleep(1)
+    until = time.time() + 10
+    while files() > before and time.time() < until:
+        time.sleep(0.2)
+    assert files() <= before
+    assert all(r.count() == 700 for r in rows)

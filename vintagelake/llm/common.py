@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
@@ -42,9 +43,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: store the rows in the checkpoint folder, so a lost executor costs no earlier work."""
-    prepare(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: store the rows in the checkpoint folder, so a lost executor costs no earlier work.
+
+    Shuffle files of what earlier cuts stored go when the driver's garbage is collected, on Python's side and then on the
+    JVM's, which may be half an hour later; a chain of cuts would hold all of them until then. So both are asked to.
+    """
+    spark = prepare(df.sparkSession)
+    gc.collect()
+    rows = df.checkpoint(eager=True)
+    spark._jvm.System.gc()
+    return rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -432,6 +432,8 @@ def deduplicated(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
     held = docs.select(F.struct("*").alias("doc"))  # no column of docs can meet those used here
     same = (F.col("doc.doc_id").cast("bigint") == F.col("id")) & (_mark(F.col("doc.text")) == F.col("text_mark"))
     alone = held.join(odd, same, "left_anti")
+    if odd.where("stays").isEmpty():  # no repeated rows: the texts need not be exchanged once more
+        return alone.select("doc.*")
     repeated = held.join(odd.where("stays"), same)
     # The rank is cut off below the exchange: a hot doc_id costs a row of each task.
     place = F.row_number().over(Window.partitionBy("id", "text_mark").orderBy(F.length("doc.text")))
