@@ -12,7 +12,7 @@ from helpers import D, actions, bar, bars, identifiers, pairs, sessions, utc
 from pyspark.sql import functions as F
 
 from vintagelake import schemas, seeds, session
-from vintagelake.operators import adjust, asof, calendar, identity
+from vintagelake.operators import adjust, asof, calendar, identity, quality
 from vintagelake.plans import capture, gold as gold_plan, health, validators
 from vintagelake.sources import bronze, lake, registry_files
 from vintagelake.streaming import capture as stream
@@ -522,3 +522,51 @@ def test_results_of_few_checks_are_not_gathered_by_name(spark, monkeypatch):
     assert "SortMergeJoin" not in _plan(few)
     monkeypatch.setattr(health, "MAX_SENT", 1)  # more names than may be sent
     assert [r.result_id for r in health.recent_dq(spark.read.parquet(path), checks).collect()] == want
+
+
+def test_stored_rows_hold_what_is_read_of_their_state(spark):
+    """Bars of kept rows, causes of refused ones; the others keep whose day they are."""
+    texts = [[_vendor_json("2026-07-30")], [{**_vendor_json("2026-07-30"), "open": None}], [_vendor_json("2026-08-01")]]
+    docs = spark.createDataFrame([(n, "A", json.dumps(t)) for n, t in enumerate(texts)], "security_id long, symbol string, text string")
+    rows = capture.graded(capture.parsed_rows(docs), sessions(spark, [JUL30, JUL31]))
+    held, path = capture.stored_rows(rows)
+    assert held.columns == rows.columns and held.count() == 3
+    got = {r.state: r for r in held.collect()}
+    assert {s: (r.close, r.volume is None, r.raw_date, r.reason) for s, r in got.items()} == {
+        "kept": (10.0, False, None, None), "refused": (None, True, "2026-07-30", "malformed_row:TypeError"), "non_session": (None, True, None, None),
+    }
+    assert {r.session_date for r in got.values()} == {JUL30, D(2026, 8, 1)}
+    session.discard(spark, path)
+
+
+def test_heads_of_anomalies_are_compiled(spark):
+    """No function is interpreted for each row; a row with several flags counts for each."""
+    root = _tmp() + "/rows"
+    spark.range(90).selectExpr(
+        "id % 2 AS batch_id", "concat('l', lpad(id, 2, '0')) AS label", "id % 3 = 0 AS a", "CASE WHEN id % 5 > 0 THEN id % 5 = 1 END AS b"
+    ).write.parquet(root)
+    counts = quality.anomaly_counts(spark.read.parquet(root), ["a", "b"], sample=3)
+    assert "lambda" not in _plan(counts)
+    want = []
+    for name, hit in (("a", lambda n: n % 3 == 0), ("b", lambda n: n % 5 == 1)):
+        for batch in (0, 1):
+            found = [n for n in range(90) if hit(n) and n % 2 == batch]
+            want.append((name, batch, 45, len(found), [f"l{n:02d}" for n in found[:3]]))
+    assert pairs(counts, "check_name", "batch_id", "batch_size", "anomalies", "sample") == want
+
+
+def test_next_session_is_found_in_one_pass(spark):
+    """A frame up to the end of the calendar is read again for each of its days."""
+    days = calendar.next_sessions(sessions(spark, [D(2024, 1, 5), D(2024, 1, 8)]))
+    assert "unboundedfollowing" not in _plan(days).lower()
+    got = {r.day: r.next_session for r in days.where("day >= DATE'2024-01-04'").collect()}
+    assert got == {D(2024, 1, 4): D(2024, 1, 5), D(2024, 1, 5): D(2024, 1, 5), **{D(2024, 1, n): D(2024, 1, 8) for n in (6, 7, 8)}}
+
+
+def test_odd_numbers_and_days(spark):
+    texts = ["1", "+1.5", " -.5 ", "1.", "1e3", "\t2\n", "1E-2", "", " ", "NaN", "inf", "1d", "1f", "0x1p3", "1 2", "--1", "1e", ".", "1,5", "\u00011"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(bronze.number(F.col("t")).alias("n")).collect()
+    assert [r.n for r in rows] == [1.0, 1.5, -0.5, 1.0, 1000.0, 2.0, 0.01, *[None] * 13]
+    days = ["2024-02-29", "2023-02-29", "2024-13-01", "2024-00-10", "2024-01-32", "2024-1-1", "20240101", " 2024-01-01", "2024-01-01T"]
+    rows = spark.createDataFrame([(t,) for t in days], "t string").select(bronze.iso_day(F.col("t")).alias("d")).collect()
+    assert [r.d for r in rows] == [D(2024, 2, 29), *[None] * 8]

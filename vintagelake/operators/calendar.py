@@ -134,8 +134,9 @@ def session_index(sessions: DataFrame) -> DataFrame:
 def next_sessions(sessions: DataFrame) -> DataFrame:
     """Every day from the start of the pinned period to the last session, with the first session at or after it.
 
-    One window over the calendar, as above; at most 25,202 rows, marked for broadcast.
+    One window over the calendar, as above; at most 25,202 rows, marked for broadcast. It runs from the last day
+    backwards, since a frame that ends with the table is read again for each row.
     """
-    onward = Window.orderBy("day").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    first = F.first("session_date", ignorenulls=True).over(onward)
+    onward = Window.orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.last("session_date", ignorenulls=True).over(onward)
     return F.broadcast(_every_day(sessions, FIRST_SESSION).select("day", first.alias("next_session")))

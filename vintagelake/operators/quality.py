@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -287,8 +289,10 @@ def anomaly_counts(
         "c.check_name", "batch_id", "batch_size", "c.anomalies"
     )
     key = ["check_name", "batch_id"]
-    hit = F.filter(F.array(*[F.when(F.col(n), n) for n in names]), lambda x: x.isNotNull())
-    found = rows.where(F.size(hit) > 0).select("batch_id", "label", F.explode(hit).alias("check_name"))
+    # An array of plain values, so that scan, filter and explode are one compiled loop.
+    some = reduce(or_, [F.col(n) for n in names])
+    hit = F.array(*[F.when(F.col(n), F.lit(n)) for n in names])
+    found = rows.where(some).select("batch_id", "label", F.explode(hit).alias("check_name")).where("check_name IS NOT NULL")
     head = (
         first_n_per_key(found, key, [F.col("label")], sample)
         .groupBy(*key)

@@ -107,6 +107,17 @@ def accounts(rows: DataFrame, batches: list[int]) -> DataFrame:
     return named.join(counts, "batch_id", "left").select("batch_id", *zero)
 
 
+def stored_rows(rows: DataFrame) -> tuple[DataFrame, str]:
+    """Parsed rows with their state, computed once into the shared folder, and that folder.
+
+    Each keeps what is read of its state: a kept row its bar, a refused one why, all of them whose day they are.
+    """
+    kept, refused = F.col("state") == KEPT, F.col("state") == REFUSED
+    held = {c: F.when(kept, F.col(c)).alias(c) for c in bronze.BAR_FIELDS if c not in ("security_id", "symbol", "session_date")}
+    held |= {c: F.when(refused, F.col(c)).alias(c) for c in ("raw_date", "reason")}
+    return session.staged(rows.select(*[held.get(c, F.col(c)) for c in rows.columns]), "parsed")
+
+
 def usable(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("state") == KEPT).drop("raw_date", "reason", "state")
 
@@ -142,7 +153,7 @@ def backfill(
     _, ambiguous = identity.resolve_any_time(docs.select("symbol").distinct(), identifiers)
     named, _ = identity.resolve_any_time(docs, identifiers)
     rows = graded(parsed_rows(named), sessions).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    parsed, path = session.staged(rows, "parsed")
+    parsed, path = stored_rows(rows)
     kept, _ = calendar.stamp_knowledge(usable(parsed), sessions)
     staged = lake.stage(kept.withColumn("source", F.lit(source)), root, version)
     results = session.stored(batch_quality(parsed, checks, [batch_id]))
@@ -163,7 +174,7 @@ def capture_sessions(
     spark, days = docs.sparkSession, sorted(targets)
     named, _ = identity.resolve_batch(docs, identifiers, days[-1])
     rows = assigned(parsed_rows(named), sessions, days, first_batch)
-    parsed, staged = session.staged(rows, "parsed")
+    parsed, staged = stored_rows(rows)
     lake.merge_batches(usable(parsed), sessions, path, source)
     batches = [first_batch + n for n in range(len(days))]
     results = session.stored(batch_quality(parsed, checks, batches))

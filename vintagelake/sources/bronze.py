@@ -16,8 +16,10 @@ from vintagelake.operators.select import first_per_key
 TAXONOMY = "us-gaap"
 FORMS = ("10-K", "10-Q", "10-K/A", "10-Q/A")
 
-_ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Months and days in range: each that is not would cost an exception inside the cast.
+_ISO_DAY = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])$"
+# Of the texts that the cast reads, those with another character are names (NaN), hexadecimal or carry a type's letter.
+_NO_NUMBER = r"[^0-9eE+.\s-]"
 
 
 # Fields of a vendor's daily row; the prices in the order in which they are read.
@@ -41,7 +43,8 @@ def iso_day(text: Column) -> Column:
 
 
 def number(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
+    """A decimal number, else null."""
+    return F.when(~text.rlike(_NO_NUMBER), F.trim(text).try_cast("double"))
 
 
 def company_facts(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vintagelake import session
 from vintagelake.operators import identity, lineage
-from vintagelake.plans.capture import batch_quality, graded, parsed_rows, usable
+from vintagelake.plans.capture import batch_quality, graded, parsed_rows, stored_rows, usable
 from vintagelake.sources import lake
 
 
@@ -37,7 +37,7 @@ def merge_documents(
     """One micro-batch: parse, resolve as of today, merge bars, store the quality rows under the batch."""
     named, _ = identity.resolve_batch(docs, identifiers, today)
     rows = graded(parsed_rows(named), sessions).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    parsed, path = session.staged(rows, "parsed")
+    parsed, path = stored_rows(rows)
     lake.merge_batches(usable(parsed), sessions, lake_path, source)
     quality = batch_quality(parsed, checks, [batch_id])
     (
