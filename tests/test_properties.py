@@ -279,6 +279,16 @@ def test_split_ratios(spark):
         assert (r.warning is None) == exact
 
 
+def test_closest_fraction_equals_brute_force(spark):
+    from vintagelake.functions.pricing import best_ratio
+
+    rng = random.Random(3)
+    factors = [0.5, 1 / 3, 0.333333, 2.5, 1000.0, 1e-4, 0.0005, 1 / 1999, 123456.789, *[rng.uniform(0, 3) for _ in range(25)], *[rng.randrange(1, 40) / rng.randrange(1, 1100) for _ in range(25)]]
+    found = spark.createDataFrame([(f,) for f in factors], "f double").select("f", best_ratio(F.col("f")).alias("r"))
+    for row in found.collect():
+        assert tuple(row.r) == min((abs(row.f - round(row.f * d) / d), float(d), float(round(row.f * d))) for d in range(1, 1001))
+
+
 def test_appending_twice_adds_nothing(spark):
     a = actions(spark, [(1, "SPLIT", DAY0, 1.0, 2.0, None), (1, "SPLIT", DAY0, 1.0, 2.0 + 1e-12, None), (1, "SPLIT", DAY0, 1.0, 3.0, None), (2, "CASH_DIVIDEND", DAY0, None, None, 0.5)])
     first = write_outcomes(a.limit(0), a, ["action_id"])

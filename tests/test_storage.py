@@ -570,3 +570,18 @@ def test_odd_numbers_and_days(spark):
     days = ["2024-02-29", "2023-02-29", "2024-13-01", "2024-00-10", "2024-01-32", "2024-1-1", "20240101", " 2024-01-01", "2024-01-01T"]
     rows = spark.createDataFrame([(t,) for t in days], "t string").select(bronze.iso_day(F.col("t")).alias("d")).collect()
     assert [r.d for r in rows] == [D(2024, 2, 29), *[None] * 8]
+
+
+def test_self_contained_reads_the_vendor_once(spark):
+    """Splits and dividends are counted where prices are adjusted; both ranks of the errors come from one table."""
+    days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(12)]
+    kind = "security_id bigint, session_date date, close double, adj_close double, split_factor double, div_cash double"
+    rows = [(s, d, 10.0, 10.0 if d >= days[6] else 5.0, 2.0 if d == days[6] else 1.0, 0.5 if s == 2 and d == days[9] else 0.0) for s in (1, 2) for d in days]
+    root = _tmp()
+    spark.createDataFrame(rows, kind).write.parquet(root + "/v")
+    out = validators.self_contained(spark.read.parquet(root + "/v"))
+    plan = _plan(out).split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+    assert len(re.findall(r"sequence\(1, 1000|\[1\.0,2\.0,3\.0", plan)) <= 1  # one search for each row
+    assert pairs(out, "security_id", "splits", "dividends", "split_n", "total_n") == [(1, 1, 0, 12, 12), (2, 1, 1, 12, 12)]
+    assert out.where("security_id = 1").first().passed

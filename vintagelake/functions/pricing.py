@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,17 +23,22 @@ def source_rank(source: str = "source") -> Column:
     return out
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def best_ratio(factor: Column) -> Column:
-    """Closest fraction with a denominator up to 1000, as struct(err, d, n)."""
-    tries = F.transform(
-        F.sequence(F.lit(1), F.lit(MAX_DENOMINATOR)),
-        lambda d: F.struct(
-            F.abs(factor - F.rint(factor * d) / d).alias("err"),
-            d.cast("double").alias("d"),
-            F.rint(factor * d).alias("n"),
-        ),
-    )
-    return F.array_min(tries)
+    """Closest fraction with a denominator up to 1000, as struct(err, d, n); the smallest denominator among equals."""
+    denominators = F.sequence(F.lit(1), F.lit(MAX_DENOMINATOR)).cast("array<double>")
+
+    def search(f: Column) -> Column:
+        errors = F.transform(denominators, lambda d: F.abs(f - F.rint(f * d) / d))
+        at = lambda e, least: F.struct(least.alias("err"), F.array_position(e, least).cast("double").alias("d"))
+        nearest = bound(errors, lambda e: bound(F.array_min(e), lambda least: at(e, least)))
+        return bound(nearest, lambda x: F.struct(x["err"].alias("err"), x["d"].alias("d"), F.rint(f * x["d"]).alias("n")))
+
+    return bound(factor, search)
 
 
 def ratio_is_exact(ratio: Column, factor: Column) -> Column:

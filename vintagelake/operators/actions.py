@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vintagelake.functions.pricing import (
     SPLIT_EPSILON,
     best_ratio,
+    bound,
     ratio_is_exact,
     source_rank,
 )
@@ -31,8 +32,7 @@ def row_split() -> tuple[Column, Column]:
     """Of a vendor row: whether it carries a split, and the price factor of that split (null without one)."""
     f = _factor()
     is_split = F.abs(f - 1.0) > SPLIT_EPSILON
-    ratio = best_ratio(f)
-    factor = F.when(ratio_is_exact(ratio, f), ratio["d"] / ratio["n"]).otherwise(1.0 / f)
+    factor = bound(best_ratio(f), lambda r: F.when(ratio_is_exact(r, f), r["d"] / r["n"]).otherwise(1.0 / f))
     return is_split, F.when(is_split, factor)
 
 

@@ -56,8 +56,8 @@ def error_stats(pairs: DataFrame, *group: str) -> DataFrame:
     out = kept.groupBy(*group).agg(
         F.count("rel").alias("n"),
         zero(F.avg("rel")).alias("mean"),
-        zero(F.percentile("rel", F.lit(0.5))).alias("median"),
-        zero(F.percentile("rel", F.lit(0.95))).alias("p95"),
+        # Both from one table of counts.
+        F.percentile("rel", F.array(F.lit(0.5), F.lit(0.95))).alias("_ranks"),
         zero(F.max("rel")).alias("max"),
         worst.alias("_worst"),
         _correlation().alias("correlation"),
@@ -65,5 +65,6 @@ def error_stats(pairs: DataFrame, *group: str) -> DataFrame:
     return (
         out.withColumn("worst_date", F.date_from_unix_date(-F.col("_worst.day")))
         .withColumn("r2", F.col("correlation") * F.col("correlation"))
-        .drop("_worst")
+        .withColumns({c: zero(F.get("_ranks", F.lit(i))) for i, c in enumerate(("median", "p95"))})
+        .drop("_worst", "_ranks")
     )

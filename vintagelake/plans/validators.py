@@ -48,7 +48,7 @@ def self_contained(vendor: DataFrame, sample: int | None = None) -> DataFrame:
     """Vendor raw prices, adjusted with actions derived from the same rows, against the vendor's adjusted close.
 
     vendor holds one row per (security, session), and an action lies on its day's row: prices are adjusted by
-    running products over a security's rows, without a join. Every day is compared, or about `sample` days per
+    running products over a security's rows and actions counted there, without a join. Every day is compared, or about `sample` days per
     security where given. Split-only prices are gated only
     where no dividend was paid, since the vendor series contains dividends.
     """
@@ -59,6 +59,7 @@ def self_contained(vendor: DataFrame, sample: int | None = None) -> DataFrame:
     later = Window.partitionBy("security_id").orderBy(F.col("session_date").desc()).rowsBetween(Window.unboundedPreceding, -1)
     own = F.coalesce("_split", F.lit(1.0))
     paid = F.when(pays, dividend_price_factor(F.last("close", ignorenulls=True).over(line), F.col("div_cash")))
+    own_rows = Window.partitionBy("security_id")
     both = (
         vendor.withColumn("_split", split)
         .withColumn("_own", own)
@@ -68,15 +69,12 @@ def self_contained(vendor: DataFrame, sample: int | None = None) -> DataFrame:
             "security_id", "session_date", "close", "adj_close",
             (F.col("close") * F.coalesce(F.product("_all").over(later), F.lit(1.0))).alias("total_return"),
             (F.col("close") * F.col("_splits")).alias("split_only"),
+            F.count_if(is_split).over(own_rows).alias("splits"), F.count_if(pays).over(own_rows).alias("dividends"),
         )
     )
-    pairs = _sampled(both, sample)
-    counted = vendor.groupBy("security_id").agg(F.count_if(is_split).alias("splits"), F.count_if(pays).alias("dividends"))
+    kinds = {"split": ("split_only", "adj_close"), "total": ("total_return", "adj_close")}
     return (
-        _stats(pairs, {"split": ("split_only", "adj_close"), "total": ("total_return", "adj_close")})
-        .join(counted, "security_id", "left")
-        .withColumn("splits", F.coalesce("splits", F.lit(0)))
-        .withColumn("dividends", F.coalesce("dividends", F.lit(0)))
+        _stats(_sampled(both, sample), kinds, ("splits", "dividends"))
         .withColumn(
             "total_ok",
             (F.col("total_n") > 0) & (F.col("total_max") < TOTAL_RETURN_TOLERANCE)
