@@ -2,10 +2,13 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from helpers import D, actions, bar, bars, identifiers, utc
+from pyspark.sql import functions as F
 
+from vintagelake.operators import features
 from vintagelake.operators.features import GOLD_COLUMNS
 from vintagelake.plans import gold as gold_plan
 from vintagelake.plans import gold_state
@@ -122,3 +125,18 @@ def test_refused_uses(spark, state):
 
 def test_empty_state_reads_everything(spark, state):
     assert _night(spark, state.where("false"), _lake(), SPLITS) == {1, 2, 3, 4, 6, 7}
+
+
+def test_features_sort_rows_before_they_are_wide(spark):
+    """Two sorts serve all windows, and neither carries a feature; a seeded run exchanges rows once."""
+    kind = "security_id bigint, symbol string, session_date date, knowledge_time timestamp, close double, volume bigint"
+    rows = [(s, "A", D(2000, 1, 1) + dt.timedelta(days=i), utc(2020, 1, 1), 10.0 + (i * 7 + s) % 13, 5) for s in (1, 2) for i in range(300)]
+    df = spark.createDataFrame(rows, kind)
+    seeded = df.withColumn("warm", F.col("volume") > 7).withColumn("ema_input", F.col("close"))
+    plain, warm = features.gold(df), features.gold(seeded, seeded=True)
+    for out in (plain, warm):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"- Sort ", plan)) == 2 and plan.count("Exchange ") == 1
+        top = plan[: plan.index("- Sort ")]
+        assert all(f" AS {c}" in top for c in ("return_1d", "sma20", "sma50", "roc20", "momentum_12_1", "ema20"))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, warm.collect()))

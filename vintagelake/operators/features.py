@@ -20,44 +20,45 @@ GOLD_COLUMNS = [
 ]
 
 
-def series():
-    return Window.partitionBy("security_id").orderBy("session_date")
+def series(ahead: Sequence[str] = ()):
+    """Rows of a security by session. `ahead` names columns that ascend with it: the same order, as another step sorts."""
+    return Window.partitionBy("security_id").orderBy(*ahead, "session_date")
 
 
-def _last(n: int):
-    return series().rowsBetween(-(n - 1), Window.currentRow)
+def _last(n: int, ahead: Sequence[str] = ()):
+    return series(ahead).rowsBetween(-(n - 1), Window.currentRow)
 
 
-def _lag(n: int) -> Column:
-    return F.lag("close", n).over(series())
+def _lag(n: int, ahead: Sequence[str] = ()) -> Column:
+    return F.lag("close", n).over(series(ahead))
 
 
-def simple_return(period: int = 1) -> Column:
-    return F.try_divide(F.col("close"), _lag(period)) - 1.0
+def simple_return(period: int = 1, ahead: Sequence[str] = ()) -> Column:
+    return F.try_divide(F.col("close"), _lag(period, ahead)) - 1.0
 
 
-def log_return(period: int = 1) -> Column:
-    return F.ln(F.try_divide(F.col("close"), _lag(period)))
+def log_return(period: int = 1, ahead: Sequence[str] = ()) -> Column:
+    return F.ln(F.try_divide(F.col("close"), _lag(period, ahead)))
 
 
-def sma(window: int) -> Column:
-    full = F.count("close").over(_last(window)) == window
-    return F.when(full, F.avg("close").over(_last(window)))
+def sma(window: int, ahead: Sequence[str] = ()) -> Column:
+    full = F.count("close").over(_last(window, ahead)) == window
+    return F.when(full, F.avg("close").over(_last(window, ahead)))
 
 
-def realized_vol(log_returns: str, window: int = 20) -> Column:
+def realized_vol(log_returns: str, window: int = 20, ahead: Sequence[str] = ()) -> Column:
     """Annualised sample deviation of a log-return column; null until it is full."""
-    frame = _last(window)
+    frame = _last(window, ahead)
     full = F.count(log_returns).over(frame) == window
     return F.when(full, F.stddev_samp(log_returns).over(frame) * math.sqrt(TRADING_DAYS))
 
 
-def roc(window: int = 20) -> Column:
-    return simple_return(window)
+def roc(window: int = 20, ahead: Sequence[str] = ()) -> Column:
+    return simple_return(window, ahead)
 
 
-def momentum_12_1() -> Column:
-    return F.try_divide(_lag(21), _lag(252)) - 1.0
+def momentum_12_1(ahead: Sequence[str] = ()) -> Column:
+    return F.try_divide(_lag(21, ahead), _lag(252, ahead)) - 1.0
 
 
 def with_ema(
@@ -70,25 +71,43 @@ def with_ema(
     block's start adds the decayed value of the block before it. Two blocks back
     the weight is below exp(-600) and cannot change a double.
     """
+    return _averaged(_placed(df, span, keys), span, name, value, keys).drop("_block", "_k")
+
+
+def _decay(span: int) -> tuple[float, int]:
+    """The weight a value keeps from one row to the next, and the rows of a block."""
+    q = 1.0 - 2.0 / (span + 1)
+    return q, int(600 / -math.log(q))
+
+
+def _placed(df: DataFrame, span: int, keys: Sequence[str]) -> DataFrame:
+    """Add the block of each row and its place in the block."""
+    _, block = _decay(span)
+    ordinal = F.row_number().over(Window.partitionBy(*keys).orderBy("session_date")) - 1
+    return (
+        df.withColumn("_i", ordinal)
+        .withColumn("_block", F.floor(F.col("_i") / block))
+        .withColumn("_k", F.col("_i") % block)
+        .drop("_i")
+    )
+
+
+def _averaged(df: DataFrame, span: int, name: str, value: str, keys: Sequence[str]) -> DataFrame:
+    """The average of placed rows, which are sorted by key, block and session."""
+    q, block = _decay(span)
     alpha = 2.0 / (span + 1)
-    q = 1.0 - alpha
-    block = int(600 / -math.log(q))
     inside = Window.partitionBy(*keys, "_block").orderBy("session_date")
     across = Window.partitionBy(*keys).orderBy("_block", "session_date")
     power = F.pow(F.lit(q), F.col("_k"))
     seed = (F.col("_block") == 0) & (F.col("_k") == 0)
     term = F.when(seed, F.col(value)).otherwise(F.col(value) * alpha / power)
-    ordinal = F.row_number().over(Window.partitionBy(*keys).orderBy("session_date")) - 1
     carry = F.last(F.when(F.col("_k") == block - 1, F.col("_own")), ignorenulls=True).over(
         across.rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        df.withColumn("_i", ordinal)
-        .withColumn("_block", F.floor(F.col("_i") / block))
-        .withColumn("_k", F.col("_i") % block)
-        .withColumn("_own", power * F.sum(term).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        df.withColumn("_own", power * F.sum(term).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn(name, F.col("_own") + power * q * F.coalesce(carry, F.lit(0.0)))
-        .drop("_i", "_block", "_k", "_own")
+        .drop("_own")
     )
 
 
@@ -101,18 +120,26 @@ def gold(bars: DataFrame, knowledge: str = "own", seeded: bool = False) -> DataF
     """
     if knowledge not in ("own", "max_inputs"):
         raise ValueError(f"unknown knowledge rule {knowledge!r}")
-    out = bars.withColumn("log_return_1d", log_return(1)).select(
+    # Rows are sorted twice, before they carry a feature: by session to place them, then by what the average is summed
+    # by. In that order sessions still ascend, so all windows use it.
+    keys, value = ["security_id"], "close"
+    if seeded:
+        # Exchanged by security alone; behind it a look-back is a key of its own, and its rows come first.
+        bars, value = bars.repartition("security_id").withColumn("_live", ~F.col("warm")), "ema_input"
+        keys.append("_live")
+    ahead = [*keys[1:], "_block"]
+    averaged = _averaged(_placed(bars, 20, keys), 20, "ema20", value, keys)
+    out = averaged.withColumn("log_return_1d", log_return(1, ahead)).select(
         "*",
-        simple_return(1).alias("return_1d"),
-        sma(20).alias("sma20"),
-        sma(50).alias("sma50"),
-        realized_vol("log_return_1d", 20).alias("realized_vol20"),
-        roc(20).alias("roc20"),
-        momentum_12_1().alias("momentum_12_1"),
+        simple_return(1, ahead).alias("return_1d"),
+        sma(20, ahead).alias("sma20"),
+        sma(50, ahead).alias("sma50"),
+        realized_vol("log_return_1d", 20, ahead).alias("realized_vol20"),
+        roc(20, ahead).alias("roc20"),
+        momentum_12_1(ahead).alias("momentum_12_1"),
     )
     if knowledge == "max_inputs":
-        out = out.withColumn("knowledge_time", F.max("knowledge_time").over(_last(253)))
-    out = with_ema(out, 20, "ema20", "ema_input", ("security_id", "warm")) if seeded else with_ema(out, 20, "ema20")
+        out = out.withColumn("knowledge_time", F.max("knowledge_time").over(_last(253, ahead)))
     return out.withColumnRenamed("close", "adj_close").withColumnRenamed("volume", "adj_volume").select(
         *GOLD_COLUMNS
     )

@@ -184,4 +184,4 @@ def nightly(
     line = attach_symbol(new, identifiers).withColumnRenamed("ticker", "symbol")
     if behind is not None:
         line = line.unionByName(behind.withColumn("symbol", F.lit(None).cast("string")))
-    return gold(line, knowledge, seeded=True).where(in_months(months))
+    return gold(line, knowledge, seeded=behind is not None).where(in_months(months))
